@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, functions as F
 
 from faqspark.functions.times import minute_of
@@ -32,7 +35,7 @@ def attach_replies(heads: DataFrame, replies: DataFrame, same_day: bool = True)
     splits that partition, and the single head row is repeated for each piece.
     """
     right = replies.select(
-        *THREAD,
+        *[F.col(c).alias(f"reply_{c}") for c in THREAD],
         F.col("ts").alias("reply_ts"),
         F.col("event_ts").alias("reply_event_ts"),
         F.col("role").alias("reply_role"),
@@ -40,10 +43,10 @@ def attach_replies(heads: DataFrame, replies: DataFrame, same_day: bool = True)
         F.to_date("event_ts").alias("reply_day"),
     )
     left = heads.withColumn("head_day", F.to_date("event_ts"))
-    on = [left[c] == right[c] for c in THREAD]
+    on = reduce(and_, [F.col(c) == F.col(f"reply_{c}") for c in THREAD])
     if same_day:
-        on.append(left["head_day"] == right["reply_day"])
-    return left.join(right, on, "left").drop(*[right[c] for c in THREAD])
+        on = on & (F.col("head_day") == F.col("reply_day"))
+    return left.join(right, on, "left").drop(*[f"reply_{c}" for c in THREAD])
 
 
 def question_threads(heads: DataFrame, verdicts: DataFrame) -> DataFrame:

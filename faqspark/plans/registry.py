@@ -28,18 +28,23 @@ from faqspark.streaming import jobs
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 RUN_AT = "2024-08-16T02:00:00Z"
-AS_OF = "2024-08-14T06:00:00Z"
+AS_OF = "2024-08-13T06:00:00Z"
 
 
-def query(fn: Query) -> Query:
+def query(fn: Query, name: str | None = None) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(prepare(spark), sf_dir)
 
-    QUERIES[fn.__name__] = run
+    QUERIES[name or fn.__name__] = run
     return run
 
 
+def query_named(name: str) -> Callable[[Query], Query]:
+    """For queries named like a function they use."""
+    return lambda fn: query(fn, name)
+
+
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.enrich_messages(fx.messages(spark, sf), fx.courses(spark))
 
@@ -438,7 +443,7 @@ def flatten_paragraphs(spark, sf):
     )
 
 
-@query
+@query_named("embed_text")
 def embed_texts(spark, sf):
     return _chunks(spark, sf).select(
         "doc_id", "chunk_no", embed_text(F.col("question"), F.col("answer")).alias("text")
@@ -450,7 +455,7 @@ def point_ids(spark, sf):
     return faq_documents.with_point_id(_chunks(spark, sf)).select("doc_id", "chunk_no", "id")
 
 
-@query
+@query_named("scrub_pii")
 def scrub_messages(spark, sf):
     return fx.messages(spark, sf).select(
         "channel_id", "ts", "user_id", "fetched_at", scrub_pii(F.col("text")).alias("text")
@@ -462,7 +467,7 @@ def scrub_documents(spark, sf):
     return fx.table(spark, sf, "documents").select("doc_id", scrub_pii(F.col("text")).alias("text"))
 
 
-@query
+@query_named("strip_file_urls")
 def strip_file_links(spark, sf):
     """Messages with a file link added to every one."""
     link = F.concat(F.lit(" <https://files.example.com/"), "user_id", F.lit("/x.png> "))
@@ -561,7 +566,7 @@ def questions_by_lang(spark, sf):
 # --- streaming and incremental -------------------------------------------------------------
 
 
-def _arrivals(spark: SparkSession, sf: str, name: str, parts: list[Column]) -> list[DataFrame]:
+def _arrivals(spark: SparkSession, sf: str, parts: list[Column]) -> list[DataFrame]:
     source = fx.messages(spark, sf)
     return [source.where(part) for part in parts]
 
@@ -569,7 +574,7 @@ def _arrivals(spark: SparkSession, sf: str, name: str, parts: list[Column]) -> l
 def _feed(spark: SparkSession, batches: list[DataFrame], name: str, start) -> str:
     """Write each arrival and run the stream over what is new, on one checkpoint."""
     inbox, root, state = (scratch_path(spark, f"{name}-{part}") for part in ("in", "out", "state"))
-    for number, batch in enumerate(batches):
+    for batch in batches:
         batch.write.mode("append").json(inbox)
         start(jobs.message_stream(spark, inbox), root, state).awaitTermination()
     return root
@@ -582,7 +587,7 @@ def _by_fetch() -> list[Column]:
 @query
 def stream_ingest(spark, sf):
     root = _feed(
-        spark, _arrivals(spark, sf, "ingest", _by_fetch()), "ingest",
+        spark, _arrivals(spark, sf, _by_fetch()), "ingest",
         lambda stream, out, state: jobs.start_ingest(stream, fx.courses(spark), out, state),
     )
     return msgs.read_messages(spark, root).select(
@@ -594,7 +599,7 @@ def stream_ingest(spark, sf):
 def stream_dedupe(spark, sf):
     """The second arrival replays copies from the whole history, so the delay must span it."""
     root = _feed(
-        spark, _arrivals(spark, sf, "dedupe", _by_fetch()), "dedupe",
+        spark, _arrivals(spark, sf, _by_fetch()), "dedupe",
         lambda stream, out, state: jobs.start_dedupe(stream, fx.courses(spark), out, state, "3650 days"),
     )
     return spark.read.parquet(root).select("course_id", "channel_id", "ts", "fetched_at")
@@ -633,7 +638,7 @@ def stream_thread_upsert(spark, sf):
     early = F.pmod(F.unix_seconds(event_time(F.col("ts"))), F.lit(86400)) < 43200
     parts = [F.coalesce(early, F.lit(True)), ~F.coalesce(early, F.lit(True))]
     root = _feed(
-        spark, _arrivals(spark, sf, "threads", parts), "threads",
+        spark, _arrivals(spark, sf, parts), "threads",
         lambda stream, out, state: jobs.start_thread_updates(stream, fx.courses(spark), out, state),
     )
     return jobs.read_threads(spark, root).select(
