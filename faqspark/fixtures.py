@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from faqspark.runtime import prepare
+from faqspark.runtime import prepare, spread
 
 SALT = "fixture-salt"
 FIRST_FETCH = "2024-08-14T06:00:00Z"
@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text table, spread over all cores when it comes in few splits."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw messages: threads, late replies, bad times, re-fetched copies, personal data."""
     conv, turn = F.col("conv_id"), F.col("turn")
@@ -93,7 +98,7 @@ def styled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("paragraph"))
 
     content = F.transform(F.split("text", "\n"), paragraph)
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         F.concat(F.lit("faq-"), (F.col("doc_id") % 4).cast("string")).alias("google_doc_id"),
         F.struct(content.alias("content")).alias("body"),

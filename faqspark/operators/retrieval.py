@@ -12,17 +12,23 @@ never a row per (query, point). Building those pairs with joins would shuffle al
 from __future__ import annotations
 
 import heapq
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 from math import ceil
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faqspark.operators.embedding import idf, term_stats
 
+# Tasks get this module's functions by value, so workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUERY_BLOCK = 1024
 SLAB = 2048
 RRF_K = 60
@@ -93,11 +99,11 @@ def _keep_best(
 
 def _candidates(points: DataFrame, block: QueryBlock, depth: int) -> DataFrame:
     """Best ``depth`` points per query of each task, for the vector kinds the block has."""
-    sent = points.sparkSession.sparkContext.broadcast(block)
+    sent = points.sparkSession.sparkContext.broadcast(vars(block))
     kinds = (["dense"] if block.dense is not None else []) + (["sparse"] if block.sparse else [])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = sent.value
+        queries = SimpleNamespace(**sent.value)
         if not queries.ids:
             return
         score = {"dense": _dense_scores, "sparse": _sparse_scores}
@@ -123,7 +129,7 @@ def _candidates(points: DataFrame, block: QueryBlock, depth: int) -> DataFrame:
             names=["kind", "query_id", "id", "score"],
         )
 
-    columns = ["id", *kinds] + (["scope"] if block.scopes is not None else [])
+    columns = ["id", *kinds, *(["scope"] if block.scopes is not None else [])]
     return points.select(*columns).mapInArrow(search, CANDIDATE)
 
 

@@ -276,7 +276,7 @@ def question_threads(spark, sf):
 
 @query
 def memoized_verdicts(spark, sf):
-    documents = fx.table(spark, sf, "documents").select("doc_id", "text")
+    documents = fx.documents(spark, sf).select("doc_id", "text")
     scored = classify.memoized(documents, "text", classify.classify)
     return scored.select(
         "doc_id", "text_key", "verdict.is_question", "verdict.question_type", "verdict.confidence", "verdict.title"
@@ -299,7 +299,7 @@ def stale_embeddings(spark, sf):
 
 @query
 def golden_eval(spark, sf):
-    documents = classify.classify(fx.table(spark, sf, "documents").select("doc_id", "text"))
+    documents = classify.classify(fx.documents(spark, sf).select("doc_id", "text"))
     predicted = documents.select("doc_id", F.col("verdict.is_question").alias("predicted"))
     labelled = fx.table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("labelled"))
     out = classify.golden_eval(predicted, labelled, "doc_id")
@@ -464,7 +464,7 @@ def scrub_messages(spark, sf):
 
 @query
 def scrub_documents(spark, sf):
-    return fx.table(spark, sf, "documents").select("doc_id", scrub_pii(F.col("text")).alias("text"))
+    return fx.documents(spark, sf).select("doc_id", scrub_pii(F.col("text")).alias("text"))
 
 
 @query_named("strip_file_urls")
@@ -503,7 +503,7 @@ def normalize_verdicts(spark, sf):
         F.lit("model answer").alias("reason"), F.lit("m1").alias("llm_model"),
         F.lit(5).alias("latency_ms"), F.lit(None).cast("string").alias("request_id"),
     )
-    answered = fx.table(spark, sf, "documents").select(
+    answered = fx.documents(spark, sf).select(
         "doc_id", F.when(number % 10 != 9, raw).alias("verdict")
     )
     return classify.normalize(answered, "verdict", "m1").select(
@@ -516,7 +516,7 @@ def normalize_verdicts(spark, sf):
 
 @query
 def dense_embed(spark, sf):
-    coded = fx.table(spark, sf, "documents").select("doc_id", token_codes(F.col("text")).alias("codes"))
+    coded = fx.documents(spark, sf).select("doc_id", token_codes(F.col("text")).alias("codes"))
     vectors = coded.select("doc_id", F.posexplode(dense_vector(F.col("codes"))).alias("bucket", "value"))
     return vectors.where("value != 0").select(
         "doc_id", "bucket", F.round(F.col("value").cast("double"), 6).alias("value")
@@ -525,7 +525,7 @@ def dense_embed(spark, sf):
 
 @query
 def sparse_embed(spark, sf):
-    documents = embedding.with_vectors(fx.table(spark, sf, "documents").select("doc_id", "text"))
+    documents = embedding.with_vectors(fx.documents(spark, sf).select("doc_id", "text"))
     return embedding.weighted_terms(documents.select("doc_id", "sparse"), "doc_id").select(
         "doc_id", "idx", F.round("weight", 6).alias("weight")
     )
@@ -555,12 +555,12 @@ def faq_items(spark, sf):
 
 @query
 def canonical_groups(spark, sf):
-    return canonical.canonical_groups(fx.table(spark, sf, "documents"), "doc_id", "text", 0.6)
+    return canonical.canonical_groups(fx.documents(spark, sf), "doc_id", "text", 0.6)
 
 
 @query
 def questions_by_lang(spark, sf):
-    return classify.questions_by_language(fx.table(spark, sf, "documents"))
+    return classify.questions_by_language(fx.documents(spark, sf))
 
 
 # --- streaming and incremental -------------------------------------------------------------

@@ -39,3 +39,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, for plans that are read more than once or grow in a loop."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than the session has cores.
+
+    Meant for expensive per-row work on a few files with large row groups; ``key`` must be
+    unique or nearly so. Large inputs have more splits than that and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
