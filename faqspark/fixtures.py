@@ -115,7 +115,7 @@ def document_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors joined with the texts they stand for, in four collections."""
     vectors = table(spark, sf_dir, "embeddings")
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    texts = documents(spark, sf_dir).select(F.col("doc_id").alias("vec_id"), "text")
     number = (F.col("vec_id") % 4).cast("string")
     return vectors.join(texts, "vec_id").select(
         F.col("vec_id").cast("string").alias("id"),

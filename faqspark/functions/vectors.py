@@ -28,7 +28,7 @@ def sparse_vector(codes: Column) -> Column:
         F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("values")
     )
     filled = let(
-        F.array_sort(F.transform(codes, term_index)),
+        F.sort_array(F.transform(codes, term_index)),
         lambda ordered: let(
             run_starts(ordered),
             lambda starts: F.struct(
@@ -58,7 +58,7 @@ def dense_vector(codes: Column, dim: int = DENSE_DIM) -> Column:
         ).cast("int"),
     )
     counts = let(
-        F.array_sort(F.concat(signed, F.sequence(F.lit(0), F.lit(2 * dim - 1)))),
+        F.sort_array(F.concat(signed, F.sequence(F.lit(0), F.lit(2 * dim - 1)))),
         lambda ordered: let(
             run_starts(ordered), lambda starts: run_lengths(starts, F.size(ordered))
         ),

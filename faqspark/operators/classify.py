@@ -46,7 +46,7 @@ def memoized(
     (``text_key``, ``verdict``); those texts are not scored again.
     """
     keyed = df.withColumn("text_key", F.concat_ws(":", F.sha2(F.col(text), 256), F.lit(model)))
-    todo = keyed.select("text_key", text).dropDuplicates(["text_key"])
+    todo = keyed.select("text_key", text).distinct()
     if known is not None:
         todo = todo.join(known.select("text_key"), "text_key", "left_anti")
     scored = score(todo, text).select("text_key", "verdict")

@@ -65,10 +65,11 @@ def chunk_blocks(blocks: Column) -> Column:
 
 
 def faq_chunks(documents: DataFrame) -> DataFrame:
-    """Chunks of styled documents (``body`` plus key columns); blank answers are dropped."""
+    """Chunks of styled documents (``body`` plus key columns); blank answers are dropped, and
+    with them the one empty row of a document without chunks."""
     keys = [c for c in documents.columns if c != "body"]
     return (
-        documents.select(*keys, F.inline(chunk_blocks(paragraph_blocks(F.col("body.content")))))
+        documents.select(*keys, F.inline_outer(chunk_blocks(paragraph_blocks(F.col("body.content")))))
         .where("answer != ''")
     )
 

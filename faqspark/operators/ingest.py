@@ -68,7 +68,7 @@ def course_day_pages(messages: DataFrame, page: int = PAGE) -> DataFrame:
     return (
         placed.withColumn("page", page_number(page))
         .groupBy(*DAY, "page")
-        .agg(F.count("*").alias("n"), F.array_sort(F.collect_list(item)).alias("messages"))
+        .agg(F.count("*").alias("n"), F.sort_array(F.collect_list(item)).alias("messages"))
     )
 
 

@@ -13,11 +13,14 @@ def with_position(
     """Add ``position`` (from 1) and ``group_size`` of each row in its ordered group.
 
     ``slice_by`` must never fall as ``order`` rises. It cuts a group into consecutive slices:
-    rows are ranked inside their slice, and slice sizes, counted map-side first, give the
-    offsets. A group holding a third of all rows is thus spread over as many tasks as it has
-    slices; only one row per slice ever meets in one task.
+    rows are ranked inside their slice, and the slice sizes give the offsets. A group holding a
+    third of all rows is thus spread over as many tasks as it has slices; only one row per slice
+    ever meets in one task.
+
+    The exchange is spelled out because rows that arrive partitioned by the group alone, say
+    from a join, would pass as clustered by (group, slice) and stay in one task.
     """
-    sliced = df.withColumn("_slice", slice_by)
+    sliced = df.withColumn("_slice", slice_by).repartition(*group, "_slice")
     sizes = sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_n"))
     whole = Window.partitionBy(*group)
     before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

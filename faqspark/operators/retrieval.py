@@ -24,12 +24,15 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from faqspark.operators.embedding import idf, term_stats
+from faqspark.operators.embedding import idf, term_rows, term_stats
+from faqspark.sources.collections import bucket_of
 
 # Tasks get this module's functions by value, so workers need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 QUERY_BLOCK = 1024
+TERM_BLOCK = 1 << 20
+PAIRS = 1 << 21
 SLAB = 2048
 RRF_K = 60
 DIGITS = 6
@@ -63,20 +66,31 @@ def _dense_scores(block: QueryBlock, vectors: pa.Array) -> tuple[np.ndarray, np.
 
 def _sparse_scores(block: QueryBlock, vectors: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
     indices, values = vectors.field("indices"), vectors.field("values")
-    lengths = np.diff(indices.offsets.to_numpy())
-    point = np.repeat(np.arange(len(vectors)), lengths)
+    offsets = indices.offsets.to_numpy()
+    offsets = offsets - offsets[0]
     term = indices.flatten().to_numpy(zero_copy_only=False)
+    weight = values.flatten().to_numpy(zero_copy_only=False)
     first = np.searchsorted(block.terms, term, "left")
     hits = np.searchsorted(block.terms, term, "right") - first
-    weight = values.flatten().to_numpy(zero_copy_only=False)
-    # Every shared term contributes once per query that has it.
-    entry = np.repeat(first - np.concatenate(([0], np.cumsum(hits)[:-1])), hits) + np.arange(hits.sum())
-    cell = np.repeat(point, hits) * len(block.ids) + block.term_query[entry]
-    product = np.repeat(weight, hits) * block.term_weight[entry]
     shape = (len(vectors), len(block.ids))
-    size = shape[0] * shape[1]
-    scores = np.bincount(cell, weights=product, minlength=size).reshape(shape)
-    return np.round(scores, DIGITS), (np.bincount(cell, minlength=size) > 0).reshape(shape)
+    scores, found = np.zeros(shape), np.zeros(shape, bool)
+    before = np.concatenate(([0], np.cumsum(hits)))[offsets]
+    start = 0
+    while start < len(vectors):
+        # As many points as have about PAIRS shared (term, query) entries, at least one.
+        end = max(start + 1, int(np.searchsorted(before, before[start] + PAIRS, "right")) - 1)
+        part = slice(offsets[start], offsets[end])
+        n = hits[part]
+        skipped = np.concatenate(([0], np.cumsum(n)))[:-1]
+        entry = np.repeat(first[part] - skipped, n) + np.arange(n.sum())
+        point = np.repeat(np.arange(end - start), np.diff(offsets[start:end + 1]))
+        cell = np.repeat(point, n) * shape[1] + block.term_query[entry]
+        product = np.repeat(weight[part], n) * block.term_weight[entry]
+        size = (end - start) * shape[1]
+        scores[start:end] = np.bincount(cell, weights=product, minlength=size).reshape(-1, shape[1])
+        found[start:end] = np.bincount(cell, minlength=size).reshape(-1, shape[1]) > 0
+        start = end
+    return np.round(scores, DIGITS), found
 
 
 def _keep_best(
@@ -138,28 +152,28 @@ def _ranked(candidates: DataFrame, depth: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= depth)
 
 
-def _weighted_queries(corpus: DataFrame, queries: DataFrame) -> DataFrame:
+def _weighted_queries(queries: DataFrame, stats: DataFrame) -> DataFrame:
     """Query terms with the squared idf of the corpus (one factor per side of the product)."""
-    terms = queries.select(
-        "query_id", F.explode(F.arrays_zip("sparse.indices", "sparse.values")).alias("t")
-    ).select("query_id", F.col("t.indices").alias("idx"), F.col("t.values").alias("tf_weight"))
-    n_docs = corpus.agg(F.count("*").alias("n_docs")).scalar()
-    factor = F.pow(idf(n_docs, F.col("df")), 2)
-    return terms.join(term_stats(corpus), "idx").groupBy("query_id").agg(
-        F.collect_list(F.struct("idx", (F.col("tf_weight") * factor).alias("weight"))).alias("terms")
+    weight = (F.col("tf_weight") * F.pow(idf(), 2)).alias("weight")
+    return term_rows(queries, "query_id").join(stats, "idx").groupBy("query_id").agg(
+        F.collect_list(F.struct("idx", weight)).alias("terms")
     )
 
 
-def _blocks(corpus: DataFrame, queries: DataFrame, kinds: list[str]) -> Iterator[QueryBlock]:
-    """Split the queries by hash into blocks of about ``QUERY_BLOCK`` and pack each.
+def _blocks(queries: DataFrame, kinds: list[str], stats: DataFrame | None) -> Iterator[QueryBlock]:
+    """Split the queries by hash into blocks of about ``QUERY_BLOCK`` queries and at most about
+    ``TERM_BLOCK`` query terms, and pack each.
 
-    A block is all the driver ever holds: some thousand short vectors at most.
+    A block is all the driver and each task ever hold of the queries: some tens of megabytes.
     """
     wanted = ["query_id"] + (["scope"] if "scope" in queries.columns else [])
     packed = queries.select(*wanted, *(["dense"] if "dense" in kinds else []))
+    size = [F.count("*").alias("n"), F.lit(0).alias("terms")]
     if "sparse" in kinds:
-        packed = packed.join(_weighted_queries(corpus, queries), "query_id", "left")
-    n_blocks = max(1, ceil(queries.count() / QUERY_BLOCK))
+        packed = packed.join(_weighted_queries(queries, stats), "query_id", "left")
+        size[1] = F.sum(F.size("sparse.indices")).alias("terms")
+    total = queries.agg(*size).first()
+    n_blocks = max(1, ceil(total["n"] / QUERY_BLOCK), ceil((total["terms"] or 0) / TERM_BLOCK))
     for number in range(n_blocks):
         part = packed if n_blocks == 1 else packed.where(
             F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == number
@@ -180,15 +194,19 @@ def _blocks(corpus: DataFrame, queries: DataFrame, kinds: list[str]) -> Iterator
         yield block
 
 
-def top_k(points: DataFrame, queries: DataFrame, kind: str, depth: int) -> DataFrame:
+def top_k(
+    points: DataFrame, queries: DataFrame, kind: str, depth: int, stats: DataFrame | None = None
+) -> DataFrame:
     """Exact best ``depth`` points per query: ``query_id, rank, id, score``.
 
     ``dense`` is cosine similarity. ``sparse`` is the dot product of idf-weighted term
     vectors; points that share no term with the query are no candidates.
     """
+    if kind == "sparse" and stats is None:
+        stats = term_stats(points)
     parts = [
         _ranked(_candidates(points, block, depth), depth).select("query_id", "rank", "id", "score")
-        for block in _blocks(points, queries, [kind])
+        for block in _blocks(queries, [kind], stats)
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -204,47 +222,74 @@ def _fused(candidates: DataFrame, limit: int, depth: int, k: int) -> DataFrame:
 
 def hybrid_search(
     points: DataFrame, queries: DataFrame, limit: int = 10, multiplier: int = 2, k: int = RRF_K,
-    corpus: DataFrame | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """``query_id, rank, id, score, payload``: dense and sparse lists of ``limit * multiplier``
     points each, fused by Reciprocal Rank Fusion.
 
     Filter ``points`` beforehand (or give both sides a ``scope``): conditions apply before the
-    candidate lists are cut. ``corpus`` is the unfiltered collection the idf is taken from.
-    Vectors never reach the result. The payload is fetched by joining
-    the hits, at most ``QUERY_BLOCK * limit`` rows per block, hence the safe broadcast.
+    candidate lists are cut. ``stats`` are the ``term_stats`` of the whole collection. Vectors
+    never reach the result. The payload is fetched by joining the hits, at most about
+    ``QUERY_BLOCK * limit`` rows per block, hence the safe broadcast; where points are stored by
+    ``bucket``, only the buckets that have a hit are read.
     """
+    stats = term_stats(points) if stats is None else stats
+    depth = limit * multiplier
+    where = [c for c in ("bucket",) if c in points.columns]
     parts = []
-    for block in _blocks(corpus or points, queries, ["dense", "sparse"]):
-        hits = _fused(_candidates(points, block, limit * multiplier), limit, limit * multiplier, k)
-        found = points.select("id", "payload").join(F.broadcast(hits), "id")
+    for block in _blocks(queries, ["dense", "sparse"], stats):
+        hits = _fused(_candidates(points, block, depth), limit, depth, k)
+        if where:
+            hits = hits.withColumn("bucket", bucket_of(F.col("id")))
+        found = points.select("id", "payload", *where).join(F.broadcast(hits), ["id", *where])
         parts.append(found.select("query_id", "rank", "id", "score", "payload"))
     return reduce(DataFrame.unionByName, parts)
 
 
-def search_by(points: DataFrame, queries: DataFrame, field_name: str, value: str, **options) -> DataFrame:
-    """Search among points whose payload field has the given value."""
-    chosen = points.where(F.col(f"payload.{field_name}") == value)
-    return hybrid_search(chosen, queries, corpus=points, **options)
+def search_by_course(points: DataFrame, queries: DataFrame, course: str, **options) -> DataFrame:
+    """Search within one course, given by name or by id."""
+    chosen = (F.col("payload.course") == course) | (F.col("payload.course_id") == course)
+    return hybrid_search(points.where(chosen), queries, **options)
+
+
+def search_by_section(points: DataFrame, queries: DataFrame, section: str, **options) -> DataFrame:
+    return hybrid_search(points.where(F.col("payload.section") == section), queries, **options)
 
 
-def format_hits(hits: DataFrame, answer_chars: int = 200) -> DataFrame:
-    """Display form: four-digit scores, ``N/A`` for missing fields, shortened answers."""
+def search(
+    points: DataFrame, queries: DataFrame, course: str | None = None, section: str | None = None, **options
+) -> DataFrame:
+    """Search with an optional filter; a course takes precedence over a section."""
+    if course:
+        return search_by_course(points, queries, course, **options)
+    if section:
+        return search_by_section(points, queries, section, **options)
+    return hybrid_search(points, queries, **options)
+
+
+def format_hits(
+    hits: DataFrame, digits: int = 4, answer_chars: int = 200, question_chars: int | None = None
+) -> DataFrame:
+    """Display form: rounded scores, ``N/A`` for missing fields, shortened texts."""
     def shown(name: str) -> Column:
         return F.coalesce(F.col(f"payload.{name}"), F.lit("N/A"))
 
+    def cut(text: Column, chars: int) -> Column:
+        return F.concat(F.substring(text, 1, chars), F.lit("..."))
+
+    question = shown("question")
     return hits.select(
-        "query_id", "rank", F.round("score", 4).alias("score"),
+        "query_id", "rank", F.round("score", digits).alias("score"),
         shown("course").alias("course"), shown("section").alias("section"),
-        shown("question").alias("question"),
-        F.concat(F.substring(shown("answer"), 1, answer_chars), F.lit("...")).alias("answer"),
+        (cut(question, question_chars) if question_chars else question).alias("question"),
+        cut(shown("answer"), answer_chars).alias("answer"),
     )
 
 
 def rag_context(hits: DataFrame, queries: DataFrame, top: int = 3) -> DataFrame:
     """Best ``top`` answers of each query joined in rank order, and the prompt around them."""
     best = hits.where(F.col("rank") <= top).groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.struct("rank", F.col("payload.answer").alias("answer")))).alias("a")
+        F.sort_array(F.collect_list(F.struct("rank", F.col("payload.answer").alias("answer")))).alias("a")
     )
     context = F.array_join(F.transform("a", lambda x: x["answer"]), "\n")
     return best.join(queries.select("query_id", "text"), "query_id").select(

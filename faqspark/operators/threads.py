@@ -28,11 +28,14 @@ def thread_messages(messages: DataFrame) -> DataFrame:
     return heads.unionByName(attached)
 
 
-def attach_replies(heads: DataFrame, replies: DataFrame, same_day: bool = True) -> DataFrame:
-    """Left join of heads (unique per thread) with their replies.
+def attach_replies(
+    heads: DataFrame, replies: DataFrame, same_day: bool = True, keep_unanswered: bool = False
+) -> DataFrame:
+    """Heads (unique per thread) with their replies, one row per reply.
 
-    A thread with very many replies only makes the replies side long; adaptive execution
-    splits that partition, and the single head row is repeated for each piece.
+    An inner join, because adaptive execution can split a thread with very many replies only
+    when it may split the replies' side, which a left join forbids. Heads without a reply are
+    added from an anti join with the distinct threads that have one.
     """
     right = replies.select(
         *[F.col(c).alias(f"reply_{c}") for c in THREAD],
@@ -43,10 +46,14 @@ def attach_replies(heads: DataFrame, replies: DataFrame, same_day: bool = True)
         F.to_date("event_ts").alias("reply_day"),
     )
     left = heads.withColumn("head_day", F.to_date("event_ts"))
-    on = reduce(and_, [F.col(c) == F.col(f"reply_{c}") for c in THREAD])
-    if same_day:
-        on = on & (F.col("head_day") == F.col("reply_day"))
-    return left.join(right, on, "left").drop(*[f"reply_{c}" for c in THREAD])
+    pairs = [(c, f"reply_{c}") for c in THREAD] + ([("head_day", "reply_day")] if same_day else [])
+    on = reduce(and_, [F.col(h) == F.col(r) for h, r in pairs])
+    keys = [f"reply_{c}" for c in THREAD]
+    out = left.join(right, on).drop(*keys)
+    if keep_unanswered:
+        answered = right.select(*[r for _, r in pairs]).distinct()
+        out = out.unionByName(left.join(answered, on, "left_anti"), allowMissingColumns=True)
+    return out
 
 
 def question_threads(heads: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -63,11 +70,11 @@ def compact_replies(
     so no list grows without bound and no reply is left out.
     """
     placed = with_position(replies, key, minute_of(F.col(event_ts)), [event_ts, tie])
-    ordered = F.array_sort(F.collect_list(F.struct("position", F.col(text).alias("text"))))
+    ordered = F.sort_array(F.collect_list(F.struct("position", F.col(text).alias("text"))))
     return (
         placed.withColumn("part", page_number(page))
         .groupBy(*key, "part")
-        .agg(F.first("group_size").alias("reply_count"), ordered.alias("_answers"))
+        .agg(F.max("group_size").alias("reply_count"), ordered.alias("_answers"))
         .withColumn("answers", F.transform("_answers", lambda a: a["text"]))
         .drop("_answers")
     )
@@ -80,7 +87,7 @@ def compact_threads(messages: DataFrame, same_day: bool = True, page: int = PAGE
     replies = threaded.where("NOT is_head")
     if same_day:
         attached = attach_replies(threaded.where("is_head").select(*THREAD, "event_ts"), replies)
-        replies = attached.where(F.col("reply_ts").isNotNull()).select(
+        replies = attached.select(
             *THREAD, F.col("reply_ts").alias("ts"), F.col("reply_event_ts").alias("event_ts"),
             F.col("reply_text").alias("text"),
         )

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from faqspark.functions.privacy import scrub_pii, user_hash
-from faqspark.functions.text import thread_id
+from faqspark.functions.text import thread_id, token_codes
 from faqspark.functions.times import stamp
 from faqspark.functions.verdicts import verdict_columns
-from faqspark.functions.vectors import DENSE_DIM
+from faqspark.functions.vectors import DENSE_DIM, dense_vector
 from faqspark.operators.classify import classify
 from faqspark.operators.embedding import EMBED_VERSION, HASH_MODEL
 from faqspark.operators.ingest import dedupe_messages, enrich_messages
 from faqspark.operators.order import PAGE
 from faqspark.operators.threads import THREAD, attach_replies, compact_replies, with_thread
-from faqspark.runtime import cut_lineage
+from faqspark.runtime import stored
 
 
 def question_heads(messages: DataFrame, text: str = "text") -> DataFrame:
@@ -28,21 +28,24 @@ def build_faq_items(
 ) -> DataFrame:
     """FAQ items keyed by ``id`` and ``answer_part``.
 
-    Question heads and their replies are each written once to the shared checkpoint folder:
+    Question heads and their replies are each written once to shared storage:
     a model behind ``classify`` is then never called twice for a row, and the count and the
     rank of replies read the same stored rows. Replies are masked only after the join has left
     those of question threads.
     """
-    stored = dedupe_messages(enrich_messages(messages, courses))
-    heads = cut_lineage(question_heads(stored).select(
+    kept = dedupe_messages(enrich_messages(messages, courses))
+    asked = question_heads(kept).select(
         *THREAD, "event_ts", "user_id", F.sha2("text", 256).alias("original_question_sha256"),
         "question_text_redacted", "verdict",
-    ))
-    replies = with_thread(stored).where("NOT is_head")
+    )
+    heads = stored(asked, "question-heads")
+    replies = with_thread(kept).where("NOT is_head")
     attached = attach_replies(heads.select(*THREAD, "event_ts"), replies, same_day)
-    answers = cut_lineage(
-        attached.where(F.col("reply_ts").isNotNull())
-        .select(*THREAD, "reply_ts", "reply_event_ts", scrub_pii(F.col("reply_text")).alias("answer"))
+    answers = stored(
+        attached.select(
+            *THREAD, "reply_ts", "reply_event_ts", scrub_pii(F.col("reply_text")).alias("answer")
+        ),
+        "answers",
     )
     packed = compact_replies(answers, THREAD, "answer", "reply_event_ts", "reply_ts", page)
     no_answers = F.array().cast("array<string>")
@@ -50,7 +53,8 @@ def build_faq_items(
     def constant(value: object, name: str) -> Column:
         return F.lit(value).alias(name)
 
-    return heads.join(packed, THREAD, "left").select(
+    vector = dense_vector(token_codes(F.col("question_text_redacted")))
+    return heads.withColumn("dense", vector).join(packed, THREAD, "left").select(
         thread_id(F.col("course_id"), F.col("thread_key")).alias("id"),
         F.coalesce("part", F.lit(0)).alias("answer_part"),
         "course_id",
@@ -65,5 +69,5 @@ def build_faq_items(
         user_hash(F.col("user_id"), salt).alias("user_hash"),
         constant(run_at, "created_at"), constant(run_at, "updated_at"),
         constant(HASH_MODEL, "embed_model"), constant(DENSE_DIM, "embed_dim"),
-        constant(EMBED_VERSION, "embed_version"),
+        constant(EMBED_VERSION, "embed_version"), "dense",
     )

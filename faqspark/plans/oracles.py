@@ -295,9 +295,10 @@ ORACLES: dict[str, str] = {
     "scan_messages": sql(
         "SELECT course_id, channel_id, ts, thread_ts, user_id, role, text, fetched_at FROM stored"
     ),
-    "scan_window": sql(
-        f"SELECT {DAY}, channel_id, ts FROM stored WHERE event_ts >= TIMESTAMP '2024-08-13 00:00:00'"
-    ),
+    "scan_window": sql(f"""SELECT 'day' AS span, {DAY}, channel_id, ts FROM stored
+        WHERE event_ts::DATE BETWEEN DATE '2024-08-12' AND DATE '2024-08-13'
+      UNION ALL SELECT 'hours', {DAY}, channel_id, ts FROM stored
+        WHERE event_ts >= TIMESTAMP '{AS_OF}' - INTERVAL 6 HOUR AND event_ts < TIMESTAMP '{AS_OF}'"""),
     "roundtrip_partitions": sql(f"SELECT {DAY}, channel_id, ts, thread_ts, user_id, text FROM stored"),
     "partition_manifest": sql(f"""SELECT {DAY}, count(*) AS n,
         sha256(concat(cast(count(*) AS VARCHAR), ':', {WORD_SUMS})) AS digest
@@ -404,6 +405,8 @@ ORACLES: dict[str, str] = {
         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score
         FROM ({sparse_scores('x')})) WHERE rank <= 20"""),
     "hybrid_search": hybrid(HITS, 10),
+    "preview_hits": hybrid("""SELECT query_id, rank, round(score, 3) AS score, course_name AS course, section,
+        substr(question, 1, 60) || '...' AS question FROM hits JOIN points USING (id)""", 2),
     "batch_hybrid": hybrid(HITS, 2, scoped=True),
     "top_titles": sql("""SELECT title, count(*) AS n FROM verdicted WHERE is_question GROUP BY title
       ORDER BY n DESC, title LIMIT 10"""),
@@ -463,14 +466,19 @@ ORACLES: dict[str, str] = {
         title AS question_title, question_type, reason AS question_reason, coalesce(reply_count, 0) AS reply_count,
         coalesce(answers, '') AS answers_redacted, coalesce(answer_compact, '') AS answer_compact_redacted,
         user_hash, {lit(RUN_AT)} AS created_at, {lit(RUN_AT)} AS updated_at, 'token-hash' AS embed_model,
-        64 AS embed_dim, 'v1' AS embed_version
-      FROM judged_heads JOIN hashes USING (user_id) LEFT JOIN (
+        64 AS embed_dim, 'v1' AS embed_version, coalesce(round(l1, 6), 0) AS dense
+      FROM judged_heads LEFT JOIN (SELECT original, sum(abs(value::DOUBLE)) AS l1 FROM head_d GROUP BY 1)
+        USING (original) JOIN hashes USING (user_id) LEFT JOIN (
           SELECT {THREAD}, floor((n - 1) / 1000)::INTEGER AS part, max(total) AS reply_count,
             string_agg(answer, chr(10) ORDER BY n) AS answer_compact, string_agg(answer, '␞' ORDER BY n) AS answers
           FROM (SELECT *, {scrub('text')} AS answer,
                   row_number() OVER (PARTITION BY {THREAD} ORDER BY event_ts, ts) AS n,
                   count(*) OVER (PARTITION BY {THREAD}) AS total FROM same_day) GROUP BY ALL) USING ({THREAD})
-      WHERE is_question""", {"hashes": "SELECT * FROM user_hashes"}),
+      WHERE is_question""", {
+          "hashes": "SELECT * FROM user_hashes",
+          "head_texts": "SELECT DISTINCT original, text FROM judged_heads",
+          "head_d": dense("head_texts", "original"),
+      }),
 }
 
 

@@ -62,11 +62,11 @@ def _heads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _chunks(spark: SparkSession, sf: str) -> DataFrame:
-    chunks = faq_documents.faq_chunks(fx.styled_documents(spark, sf))
-    return faq_documents.attach_course(chunks, fx.faq_courses(spark))
+    known = faq_documents.attach_course(fx.styled_documents(spark, sf), fx.faq_courses(spark))
+    return faq_documents.faq_chunks(known)
 
 
-def _points(spark: SparkSession, sf: str) -> DataFrame:
+def _index(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return index_documents(spark, fx.styled_documents(spark, sf), fx.faq_courses(spark))
 
 
@@ -106,7 +106,9 @@ def scan_messages(spark, sf):
 def scan_window(spark, sf):
     root = scratch_path(spark, "messages")
     msgs.write_messages(_stored(spark, sf), root)
-    return msgs.read_since(spark, root, "2024-08-13").select("course_id", "year", "month", "day", "channel_id", "ts")
+    days = msgs.read_window(spark, root, AS_OF, days=1).withColumn("span", F.lit("day"))
+    hours = msgs.read_window(spark, root, AS_OF, hours=6).withColumn("span", F.lit("hours"))
+    return days.unionByName(hours).select("span", "course_id", "year", "month", "day", "channel_id", "ts")
 
 
 @query
@@ -217,23 +219,25 @@ def select_courses(spark, sf):
 
 @query
 def hybrid_by_course(spark, sf):
-    return _hits(retrieval.search_by(_points(spark, sf), _questions(spark, sf), "course", "Course 1"))
+    points, stats = _index(spark, sf)
+    return _hits(retrieval.search(points, _questions(spark, sf), course="Course 1", stats=stats))
 
 
 @query
 def hybrid_by_section(spark, sf):
     """Search inside the section with most chunks."""
-    points = _points(spark, sf)
+    points, stats = _index(spark, sf)
     biggest = (
         points.where("payload.section != ''").groupBy(F.col("payload.section").alias("section"))
         .count().orderBy(F.desc("count"), "section").first()["section"]
     )
-    return _hits(retrieval.search_by(points, _questions(spark, sf), "section", biggest))
+    return _hits(retrieval.search(points, _questions(spark, sf), section=biggest, stats=stats))
 
 
 @query
 def format_hits(spark, sf):
-    return retrieval.format_hits(retrieval.hybrid_search(_points(spark, sf), _questions(spark, sf), limit=5))
+    points, stats = _index(spark, sf)
+    return retrieval.format_hits(retrieval.search(points, _questions(spark, sf), limit=5, stats=stats))
 
 
 # --- joins ---------------------------------------------------------------------------------
@@ -262,7 +266,8 @@ def thread_messages(spark, sf):
 def same_day_replies(spark, sf):
     threaded = threads.with_thread(_stored(spark, sf))
     heads = threaded.where("is_head").select(*threads.THREAD, "event_ts")
-    return threads.attach_replies(heads, threaded.where("NOT is_head")).select(
+    replies = threaded.where("NOT is_head")
+    return threads.attach_replies(heads, replies, keep_unanswered=True).select(
         *threads.THREAD, "reply_ts", "reply_role"
     )
 
@@ -395,7 +400,7 @@ def dense_topk(spark, sf):
         .groupBy("label", "pos").agg(F.avg("x").alias("x"))
     )
     queries = means.groupBy(F.col("label").cast("string").alias("query_id")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda p: p["x"]).alias("dense")
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "x"))), lambda p: p["x"]).alias("dense")
     )
     points = vectors.select(F.col("vec_id").cast("string").alias("id"), F.col("embedding").alias("dense"))
     return retrieval.top_k(points, queries, "dense", 20)
@@ -408,17 +413,27 @@ def sparse_topk(spark, sf):
 
 @query
 def hybrid_search(spark, sf):
-    return _hits(retrieval.hybrid_search(_points(spark, sf), _questions(spark, sf)))
+    points, stats = _index(spark, sf)
+    return _hits(retrieval.hybrid_search(points, _questions(spark, sf), stats=stats))
+
+
+@query
+def preview_hits(spark, sf):
+    """Short form of the two best hits."""
+    points, stats = _index(spark, sf)
+    hits = retrieval.search(points, _questions(spark, sf), limit=2, stats=stats)
+    return retrieval.format_hits(hits, digits=3, question_chars=60).drop("answer")
 
 
 @query
 def batch_hybrid(spark, sf):
     """Every query in every collection, two hits each; an unknown collection gives none."""
-    points = _points(spark, sf).withColumnRenamed("collection", "scope")
+    points, stats = _index(spark, sf)
+    points = points.withColumnRenamed("collection", "scope")
     names = F.array(*[F.lit(f"faq_c{i}") for i in (0, 1, 2, 3, 9)])
     queries = _questions(spark, sf).withColumn("scope", F.explode(names))
     queries = queries.withColumn("query_id", F.concat_ws("|", "scope", "query_id"))
-    return _hits(retrieval.hybrid_search(points, queries, limit=2))
+    return _hits(retrieval.hybrid_search(points, queries, limit=2, stats=stats))
 
 
 @query
@@ -429,7 +444,8 @@ def top_titles(spark, sf):
 @query
 def rag_context(spark, sf):
     queries = _questions(spark, sf)
-    return retrieval.rag_context(retrieval.hybrid_search(_points(spark, sf), queries, limit=3), queries)
+    points, stats = _index(spark, sf)
+    return retrieval.rag_context(retrieval.hybrid_search(points, queries, limit=3, stats=stats), queries)
 
 
 # --- scalar functions ----------------------------------------------------------------------
@@ -517,7 +533,7 @@ def normalize_verdicts(spark, sf):
 @query
 def dense_embed(spark, sf):
     coded = fx.documents(spark, sf).select("doc_id", token_codes(F.col("text")).alias("codes"))
-    vectors = coded.select("doc_id", F.posexplode(dense_vector(F.col("codes"))).alias("bucket", "value"))
+    vectors = coded.select("doc_id", F.posexplode_outer(dense_vector(F.col("codes"))).alias("bucket", "value"))
     return vectors.where("value != 0").select(
         "doc_id", "bucket", F.round(F.col("value").cast("double"), 6).alias("value")
     )
@@ -550,7 +566,10 @@ def two_stage_verdicts(spark, sf):
 @query
 def faq_items(spark, sf):
     items = build_faq_items(fx.messages(spark, sf), fx.courses(spark), fx.SALT, RUN_AT)
-    return items.withColumn("answers_redacted", F.array_join("answers_redacted", "␞"))
+    length = F.aggregate("dense", F.lit(0.0), lambda acc, x: acc + F.abs(x))
+    return items.withColumns({
+        "answers_redacted": F.array_join("answers_redacted", "␞"), "dense": F.round(length, 6)
+    })
 
 
 @query

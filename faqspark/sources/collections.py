@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+# Fixed value: number of storage buckets per collection, part of the stored layout.
+BUCKETS = 16
+
 
 def collection_name(base: Column, suffix: Column) -> Column:
     return F.concat_ws("_", base, suffix)
@@ -21,25 +24,39 @@ def upsert(current: DataFrame, batch: DataFrame, key: list[str] | None = None) -
     return latest_by_key(both, key or ["collection", "id"], ["_batch"]).drop("_batch")
 
 
-def write_batch(points: DataFrame, root: str, batch: int) -> None:
-    """Store one upsert batch. Writing the same batch again replaces it, so a retry is harmless.
+def bucket_of(point: Column, buckets: int = BUCKETS) -> Column:
+    """Storage bucket of a point id."""
+    return F.pmod(F.xxhash64(point), F.lit(buckets)).cast("int")
+
+
+def write_batch(points: DataFrame, root: str, batch: int, dim: int) -> None:
+    """Store one upsert batch, by collection and id bucket; the place is created if missing.
 
-    Nothing already stored is rewritten; ``read_points`` merges and ``compact`` folds batches.
+    Writing the same batch again replaces it, so a retry is harmless. Nothing already stored is
+    rewritten; ``read_points`` merges batches and ``compact`` folds them. A vector of another
+    length than the collection's fails the write.
     """
-    points.write.mode("overwrite").partitionBy("collection").parquet(f"{root}/batch={batch:012d}")
+    fits = F.when(F.size("dense") == dim, F.col("dense")).otherwise(
+        F.raise_error(F.concat(F.lit("wrong vector length: "), F.size("dense").cast("string")))
+    )
+    (
+        points.withColumn("dense", fits).withColumn("bucket", bucket_of(F.col("id")))
+        .hint("rebalance", "collection", "bucket")
+        .write.mode("overwrite").partitionBy("collection", "bucket").parquet(f"{root}/batch={batch:012d}")
+    )
 
 
 def read_points(spark: SparkSession, root: str, single_batch: bool = False) -> DataFrame:
     """Current points. With a single (or compacted) batch the keys are unique already."""
-    stored = spark.read.option("basePath", root).parquet(root)
+    kept = spark.read.option("basePath", root).parquet(root)
     if single_batch:
-        return stored.drop("batch")
-    return latest_by_key(stored, ["collection", "id"], ["batch"]).drop("batch")
+        return kept.drop("batch")
+    return latest_by_key(kept, ["collection", "id"], ["batch"]).drop("batch")
 
 
-def compact(spark: SparkSession, root: str, target: str) -> None:
+def compact(spark: SparkSession, root: str, target: str, dim: int) -> None:
     """Fold all batches into one at a new place."""
-    write_batch(read_points(spark, root), target, 0)
+    write_batch(read_points(spark, root), target, 0, dim)
 
 
 def replace_documents(current: DataFrame, batch: DataFrame, doc: str = "doc_id") -> DataFrame:

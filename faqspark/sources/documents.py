@@ -26,11 +26,15 @@ def paragraph_blocks(content: Column) -> Column:
 
 
 def document_blocks(documents: DataFrame) -> DataFrame:
-    """One row per paragraph with its position in the document."""
+    """One row per paragraph with its position in the document.
+
+    The outer form is on purpose, here and wherever a computed array is exploded: for the plain
+    form the optimizer adds a filter on the array's size below, which computes it again.
+    """
     keys = [c for c in documents.columns if c != "body"]
     return documents.select(
-        *keys, F.posexplode(paragraph_blocks(F.col("body.content"))).alias("pos", "block")
-    ).select(*keys, "pos", "block.style", "block.text")
+        *keys, F.posexplode_outer(paragraph_blocks(F.col("body.content"))).alias("pos", "block")
+    ).where("pos IS NOT NULL").select(*keys, "pos", "block.style", "block.text")
 
 
 def write_chunks(chunks: DataFrame, root: str) -> None:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faqspark.operators.ingest import DAY
+from faqspark.functions.times import event_time
+from faqspark.operators.ingest import DAY, in_window
 from faqspark.schemas import RAW_MESSAGE, STORED_MESSAGE
 
 
@@ -30,10 +33,19 @@ def read_messages(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(STORED_MESSAGE).json(root)
 
 
-def read_since(spark: SparkSession, root: str, since: str) -> DataFrame:
-    """Only days from ``since`` on. The filter uses partition columns alone, so older
-    directories are never opened."""
-    return read_messages(spark, root).where(F.concat_ws("-", "year", "month", "day") >= since)
+def read_window(
+    spark: SparkSession, root: str, as_of: str, days: int = 1, hours: int | None = None
+) -> DataFrame:
+    """Stored days from ``days`` before ``as_of`` up to it, or exactly the last ``hours`` hours.
+
+    The day limits use partition columns alone, so other directories are never opened; hours
+    add a filter on the message time.
+    """
+    end = datetime.fromisoformat(as_of)
+    first = end - timedelta(hours=hours or 24 * days)
+    day = F.concat_ws("-", "year", "month", "day")
+    out = read_messages(spark, root).where(day.between(f"{first:%Y-%m-%d}", f"{end:%Y-%m-%d}"))
+    return out.where(in_window(event_time(F.col("ts")), as_of, hours)) if hours else out
 
 
 def read_raw_exports(spark: SparkSession, root: str) -> DataFrame:

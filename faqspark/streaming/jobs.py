@@ -25,11 +25,18 @@ def message_stream(spark: SparkSession, root: str, files_per_trigger: int | None
     return reader.json(root)
 
 
-def start_ingest(stream: DataFrame, courses: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Enriched messages into course and day partitions; the file sink's log makes it exactly once."""
+def start_ingest(
+    stream: DataFrame, courses: DataFrame, root: str, checkpoint: str, files_per_day: int = 8
+) -> StreamingQuery:
+    """Enriched messages into course and day partitions; the file sink's log makes it exactly once.
+
+    Rows are gathered by day, but salted, so that a busy day is written by ``files_per_day``
+    tasks per trigger and the quiet ones leave no crowd of small files.
+    """
     enriched = enrich_messages(stream, courses).drop("event_ts")
+    salt = F.pmod(F.xxhash64("channel_id", "ts"), F.lit(files_per_day))
     return (
-        enriched.writeStream.format("json").partitionBy(*DAY)
+        enriched.repartition(*DAY, salt).writeStream.format("json").partitionBy(*DAY)
         .option("path", root).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
     )
