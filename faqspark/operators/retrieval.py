@@ -25,6 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faqspark.operators.embedding import idf, term_rows, term_stats
+from faqspark.runtime import stored
 from faqspark.sources.collections import bucket_of
 
 # Tasks get this module's functions by value, so workers need not have the package installed.
@@ -229,9 +230,11 @@ def hybrid_search(
 
     Filter ``points`` beforehand (or give both sides a ``scope``): conditions apply before the
     candidate lists are cut. ``stats`` are the ``term_stats`` of the whole collection. Vectors
-    never reach the result. The payload is fetched by joining the hits, at most about
-    ``QUERY_BLOCK * limit`` rows per block, hence the safe broadcast; where points are stored by
-    ``bucket``, only the buckets that have a hit are read.
+    never reach the result.
+
+    The hits, at most about ``QUERY_BLOCK * limit`` rows per block, are written out, so that the
+    corpus is scored once; the payload is then fetched by a join that may safely broadcast them.
+    Where points are stored by ``bucket``, their buckets prune the partitions that are read.
     """
     stats = term_stats(points) if stats is None else stats
     depth = limit * multiplier
@@ -241,6 +244,8 @@ def hybrid_search(
         hits = _fused(_candidates(points, block, depth), limit, depth, k)
         if where:
             hits = hits.withColumn("bucket", bucket_of(F.col("id")))
+        # The filter is always true; partition pruning at run time asks for one on this side.
+        hits = stored(hits, "hits").where(F.col("rank") <= limit)
         found = points.select("id", "payload", *where).join(F.broadcast(hits), ["id", *where])
         parts.append(found.select("query_id", "rank", "id", "score", "payload"))
     return reduce(DataFrame.unionByName, parts)
