@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from faqspark.schemas import VERDICT
+
 # Question types in matching order, and the shape of a verdict.
 QUESTION_TYPES = ["how-to", "debug", "concept", "setup", "resource", "other"]
 TITLE_WORDS = 12
@@ -33,10 +35,7 @@ LANGUAGE_CUES = [
     ("es", r"(^|[.!?\n] *)(como|por que|cuando|donde|cual|quien|que)[^a-z]"),
 ]
 
-VERDICT_FIELDS = [
-    "is_question", "question_type", "confidence", "title", "reason",
-    "llm_model", "latency_ms", "request_id",
-]
+VERDICT_FIELDS = VERDICT.names
 
 
 def looks_like_question(text: Column) -> Column:

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+import time
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from faqspark.functions import verdicts as V
 from faqspark.functions.text import strip
+from faqspark.schemas import VERDICT
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Classifier = Callable[[DataFrame, str], DataFrame]
+MAX_BATCH = 16
+WAITS = (1.0, 2.0, 4.0)
 
 
 def classify(df: DataFrame, text: str = "text", role: str | None = None) -> DataFrame:
@@ -18,6 +27,49 @@ def classify(df: DataFrame, text: str = "text", role: str | None = None) -> Data
     return ruled.withColumn("verdict", V.rule_verdict(F.col("_rule"), F.col(text))).drop("_rule")
 
 
+def model_classifier(
+    load: Callable[[], Callable[[list[str]], list[dict]]], model: str, batch: int = MAX_BATCH,
+    waits: tuple[float, ...] = WAITS,
+) -> Classifier:
+    """Wrap a model that maps an ordered list of texts to an ordered list of verdict dicts.
+
+    ``load`` runs once per Python worker and batches stream through. A call that fails is tried
+    again after each wait; one that never succeeds leaves no answer, which becomes the failure
+    record while all other rows go on.
+    """
+    names = VERDICT.names
+
+    @F.pandas_udf(VERDICT)
+    def call(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        predict = load()
+        for column in columns:
+            texts, rows = column.tolist(), []
+            for start in range(0, len(texts), batch):
+                part = texts[start:start + batch]
+                answers: list[dict] = [{}] * len(part)
+                for wait in (0.0, *waits):
+                    time.sleep(wait)
+                    began = time.monotonic()
+                    try:
+                        answers = predict(part)
+                        break
+                    except Exception:
+                        continue
+                spent = int(1000 * (time.monotonic() - began) / max(1, len(part)))
+                rows += [
+                    {**dict.fromkeys(names), "llm_model": model, "latency_ms": spent, **a} if a else dict.fromkeys(names)
+                    for a in answers
+                ]
+            yield pd.DataFrame(rows, columns=names)
+
+    def score(df: DataFrame, text: str) -> DataFrame:
+        answered = df.withColumn("verdict", call(F.col(text)))
+        present = F.when(F.col("verdict.llm_model").isNotNull(), F.col("verdict"))
+        return normalize(answered.withColumn("verdict", present), "verdict", model)
+
+    return score
+
+
 def two_stage(
     df: DataFrame, text: str = "text", role: str | None = None, low: float = 0.5, high: float = 0.75,
     second: Classifier | None = None,
@@ -60,12 +112,14 @@ def normalize(df: DataFrame, verdict: str = "verdict", model: str = V.MODEL) ->
     return df.withColumn(verdict, V.normalized_verdict(F.col(verdict), model))
 
 
-def verdict_metrics(df: DataFrame, group: str = "course_id") -> DataFrame:
+def verdict_metrics(df: DataFrame, group: str = "course_id", attempts: str | None = None) -> DataFrame:
     """Counters per course and model; no message text in the result."""
     v = F.col("verdict")
+    tries = F.col(attempts) if attempts else F.lit(1)
     return df.groupBy(group, v["llm_model"].alias("llm_model")).agg(
         F.count("*").alias("total"),
         F.count_if(v["reason"] != "llm_error").alias("success"),
+        F.count_if(tries > 1).alias("retried"),
         F.count_if(v["reason"] == "llm_error").alias("failed"),
         F.count_if(v["is_question"]).alias("questions"),
         F.avg(v["latency_ms"]).alias("avg_latency_ms"),

@@ -185,7 +185,7 @@ def _blocks(queries: DataFrame, kinds: list[str], stats: DataFrame | None) -> It
             scopes=np.array([r["scope"] for r in rows], object) if "scope" in wanted else None,
         )
         if "dense" in kinds:
-            block.dense = _unit(np.array([r["dense"] for r in rows], np.float64).reshape(len(rows), -1))
+            block.dense = _unit(np.array([r["dense"] for r in rows], np.float64)) if rows else np.empty((0, 0))
         if "sparse" in kinds:
             block.sparse = True
             flat = sorted((t["idx"], q, t["weight"]) for q, r in enumerate(rows) for t in r["terms"] or [])

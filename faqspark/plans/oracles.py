@@ -378,7 +378,8 @@ ORACLES: dict[str, str] = {
           AND a.course_id = r.course_id AND a.channel_id = r.channel_id AND a.thread_key = r.thread_key)"""}),
     "verdict_metrics": sql(f"""SELECT course_id,
         CASE WHEN user_id = 'U0007' THEN 'error:{V.MODEL}' ELSE llm_model END AS llm_model,
-        count(*) AS total, count_if(user_id <> 'U0007') AS success, count_if(user_id = 'U0007') AS failed,
+        count(*) AS total, count_if(user_id <> 'U0007') AS success,
+        count_if(user_id IN ('U0007', 'U0008')) AS retried, count_if(user_id = 'U0007') AS failed,
         count_if(is_question AND user_id <> 'U0007') AS questions, 0.0::DOUBLE AS avg_latency_ms,
         round(avg(CASE WHEN user_id = 'U0007' THEN 0 ELSE confidence END), 6) AS avg_confidence
       FROM verdicted GROUP BY 1, 2"""),

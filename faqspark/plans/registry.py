@@ -351,10 +351,11 @@ def preferred_answer(spark, sf):
 
 @query
 def verdict_metrics(spark, sf):
-    """All messages; the calls for one user's messages count as failed."""
+    """All messages; the calls for one user's messages failed, another's succeeded at the second try."""
     scored = classify.classify(_masked(spark, sf), "text", "role")
     answered = scored.withColumn("verdict", F.when(F.col("user_id") != "U0007", F.col("verdict")))
-    metrics = classify.verdict_metrics(classify.normalize(answered))
+    tries = F.when(F.col("user_id") == "U0007", 4).when(F.col("user_id") == "U0008", 2).otherwise(1)
+    metrics = classify.verdict_metrics(classify.normalize(answered.withColumn("tries", tries)), attempts="tries")
     return metrics.withColumn("avg_confidence", F.round("avg_confidence", 6))
 
 

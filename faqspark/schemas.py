@@ -36,6 +36,17 @@ DOCUMENT = T.StructType([
     ])),
 ])
 
+VERDICT = T.StructType([
+    T.StructField("is_question", T.BooleanType()),
+    T.StructField("question_type", T.StringType()),
+    T.StructField("confidence", T.DoubleType()),
+    T.StructField("title", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("llm_model", T.StringType()),
+    T.StructField("latency_ms", T.IntegerType()),
+    T.StructField("request_id", T.StringType()),
+])
+
 FAQ_CHUNK = T.StructType([
     T.StructField(name, T.StringType())
     for name in ("section", "question", "answer", "course_id", "course_name", "doc_id", "collection")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from faqspark.functions.times import event_time
 from faqspark.operators.ingest import DAY, in_window
@@ -71,7 +71,7 @@ def read_permissive(spark: SparkSession, root: str) -> tuple[DataFrame, DataFram
     parsed = lines.select(
         "value",
         F.from_json(
-            "value", RAW_MESSAGE.add("_corrupt_record", "string"),
+            "value", T.StructType([*RAW_MESSAGE.fields, T.StructField("_corrupt_record", T.StringType())]),
             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
         ).alias("m"),
     )
