@@ -135,11 +135,13 @@ def top_titles(df: DataFrame, n: int = 10) -> DataFrame:
     return titles.orderBy(F.desc("n"), "title").limit(n)
 
 
-def golden_eval(predicted: DataFrame, labelled: DataFrame, key: str) -> DataFrame:
-    """Confusion counts and rates of ``predicted`` against ``labelled`` (both boolean)."""
-    both = predicted.join(labelled, key)
+def golden_eval(scored: DataFrame) -> DataFrame:
+    """Confusion counts and rates of ``predicted`` against ``labelled`` (both boolean).
+
+    Join the labels first and score what is left: the golden set is a small part of the data.
+    """
     p, t = F.col("predicted"), F.col("labelled")
-    counts = both.agg(
+    counts = scored.agg(
         F.count("*").alias("n"),
         F.count_if(p & t).alias("tp"), F.count_if(p & ~t).alias("fp"),
         F.count_if(~p & t).alias("fn"), F.count_if(~p & ~t).alias("tn"),

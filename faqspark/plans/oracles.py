@@ -300,6 +300,7 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'hours', {DAY}, channel_id, ts FROM stored
         WHERE event_ts >= TIMESTAMP '{AS_OF}' - INTERVAL 6 HOUR AND event_ts < TIMESTAMP '{AS_OF}'"""),
     "roundtrip_partitions": sql(f"SELECT {DAY}, channel_id, ts, thread_ts, user_id, text FROM stored"),
+    "merge_days": sql(f"SELECT {DAY}, channel_id, ts, fetched_at, text FROM stored"),
     "partition_manifest": sql(f"""SELECT {DAY}, count(*) AS n,
         sha256(concat(cast(count(*) AS VARCHAR), ':', {WORD_SUMS})) AS digest
       FROM (SELECT {DAY}, sha256({MANIFEST_LINE}) AS h FROM stored) GROUP BY {DAY}"""),

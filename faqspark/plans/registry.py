@@ -120,6 +120,16 @@ def roundtrip_partitions(spark, sf):
     )
 
 
+@query
+def merge_days(spark, sf):
+    """The second fetch brings part of each day again; the rest of the day must survive."""
+    root = scratch_path(spark, "messages")
+    enriched = _enriched(spark, sf)
+    for fetched_at in (fx.FIRST_FETCH, fx.SECOND_FETCH):
+        msgs.merge_days(enriched.where(F.col("fetched_at") == fetched_at), root)
+    return msgs.read_messages(spark, root).select(*ingest.DAY, "channel_id", "ts", "fetched_at", "text")
+
+
 @query
 def partition_manifest(spark, sf):
     return ingest.partition_manifest(_stored(spark, sf))
@@ -304,10 +314,10 @@ def stale_embeddings(spark, sf):
 
 @query
 def golden_eval(spark, sf):
-    documents = classify.classify(fx.documents(spark, sf).select("doc_id", "text"))
-    predicted = documents.select("doc_id", F.col("verdict.is_question").alias("predicted"))
-    labelled = fx.table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("labelled"))
-    out = classify.golden_eval(predicted, labelled, "doc_id")
+    labels = fx.table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("labelled"))
+    golden = fx.documents(spark, sf).select("doc_id", "text").join(labels, "doc_id")
+    scored = classify.classify(golden).select(F.col("verdict.is_question").alias("predicted"), "labelled")
+    out = classify.golden_eval(scored)
     return out.select(
         "n", "tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall")]
     )

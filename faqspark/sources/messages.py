@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from faqspark.functions.times import event_time
-from faqspark.operators.ingest import DAY, in_window
+from faqspark.operators.ingest import DAY, dedupe_messages, in_window
+from faqspark.runtime import stored
 from faqspark.schemas import RAW_MESSAGE, STORED_MESSAGE
 
 
@@ -28,6 +30,37 @@ def write_messages(messages: DataFrame, root: str, max_records_per_file: int = 1
     )
 
 
+def merge_days(messages: DataFrame, root: str) -> None:
+    """Add fetched messages to their days, the latest fetch of a message winning.
+
+    A fetch may bring only part of a day, so what is stored of that day is read back, merged
+    and written as a whole. Only those days are read. The merged rows are kept apart until the
+    days are replaced: a run that dies in between can simply be repeated.
+    """
+    spark = messages.sparkSession
+    columns = STORED_MESSAGE.names
+    new = stored(messages.select(*columns), "fetched")
+    try:
+        old = read_messages(spark, root).select(*columns)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        write_messages(dedupe_messages(new), root)
+        return
+    touched = days_of(old, new)
+    write_messages(stored(dedupe_messages(touched.unionByName(new)), "merged-days"), root)
+
+
+def days_of(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of ``old`` whose course and day occur in ``new``; other partitions are not read.
+
+    The list of days is written out first, so that its size is known: a short one is broadcast
+    and prunes partitions at run time, for which the optimizer asks for a filter on that side.
+    """
+    days = stored(new.select(*DAY).distinct(), "days").where("year > '0'")
+    return old.join(days, DAY, "left_semi")
+
+
 def read_messages(spark: SparkSession, root: str) -> DataFrame:
     """Read what ``write_messages`` wrote; partition values stay zero-padded text."""
     return spark.read.schema(STORED_MESSAGE).json(root)

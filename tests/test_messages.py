@@ -166,6 +166,24 @@ def test_writing_a_day_again_leaves_other_days(spark):
     assert {r["month"] for r in rows} == {"08"}
 
 
+def test_merging_part_of_a_day_keeps_the_rest(spark):
+    root = scratch_path(spark, "days")
+    courses = fx.courses(spark)
+
+    def fetch(hours, text, fetched):
+        rows = [message(f"{BASE + h * 3600}", text=f"{text}{h}", fetched=fetched) for h in hours]
+        msgs.merge_days(ingest.enrich_messages(raw(spark, rows), courses), root)
+
+    fetch([1, 5, 9, 30], "a", "d1")
+    fetch([9, 20, 50], "b", "d2")
+    fetch([9, 20, 50], "b", "d2")
+    rows = sorted((r["day"], r["text"]) for r in msgs.read_messages(spark, root).collect())
+    assert rows == [("12", "a1"), ("12", "a5"), ("12", "b20"), ("12", "b9"), ("13", "a30"), ("14", "b50")]
+    kept = msgs.read_messages(spark, root)
+    plan = msgs.days_of(kept, kept.limit(1))._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
 def test_window_scan_prunes_partitions(spark):
     root = scratch_path(spark, "days")
     days = [message(f"{BASE + d * 86400}") for d in range(5)]

@@ -340,5 +340,5 @@ def test_hot_group_gives_one_link_per_member(spark):
     from faqspark.functions.text import token_codes
 
     sets = df.select(F.col("doc_id").alias("id"), F.array_distinct(token_codes(F.col("text"))).alias("codes"))
-    stars = canonical._stars(sets).where("id < 100").count()
+    stars = canonical._stars(sets, 0.6, canonical.LEVELS).where("id < 100").count()
     assert stars <= 100 * canonical.BANDS * len(canonical.LEVELS) / 4
