@@ -356,9 +356,9 @@ ORACLES: dict[str, str] = {
     "golden_eval": sql(f"""SELECT *, round((tp + tn) / n, 6) AS accuracy,
         CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 6) END AS precision,
         CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 6) END AS recall
-      FROM (SELECT count(*) AS n, count_if(is_question AND quality = 1) AS tp,
-          count_if(is_question AND quality <> 1) AS fp, count_if(NOT is_question AND quality = 1) AS fn,
-          count_if(NOT is_question AND quality <> 1) AS tn
+      FROM (SELECT count(*) AS n, count(*) FILTER (WHERE is_question AND quality = 1) AS tp,
+          count(*) FILTER (WHERE is_question AND quality <> 1) AS fp, count(*) FILTER (WHERE NOT is_question AND quality = 1) AS fn,
+          count(*) FILTER (WHERE NOT is_question AND quality <> 1) AS tn
         FROM ({verdicts('documents', role=None)}) JOIN labels USING (doc_id))"""),
     # aggregations
     "course_day_groups": sql(f"""SELECT {DAY}, floor((n - 1) / 20)::INTEGER AS page, count(*) AS n,
@@ -368,7 +368,7 @@ ORACLES: dict[str, str] = {
     "ingest_counters": sql("""SELECT course_id, channels, coalesce(messages, 0) AS messages,
         coalesce(dropped, 0) AS dropped, coalesce(files, 0) AS files
       FROM (SELECT course_id, count(*) AS channels FROM courses GROUP BY 1)
-      LEFT JOIN (SELECT course_id, count(*) AS messages, count_if(event_ts IS NULL) AS dropped,
+      LEFT JOIN (SELECT course_id, count(*) AS messages, count(*) FILTER (WHERE event_ts IS NULL) AS dropped,
           count(DISTINCT event_ts::DATE) AS files FROM parsed GROUP BY 1) USING (course_id)"""),
     "faq_counts": sql("SELECT course_id, count(*) AS n FROM chunks GROUP BY ROLLUP (course_id)"),
     "compact_threads": sql(pages("same_day", THREAD, 2)),
@@ -379,9 +379,9 @@ ORACLES: dict[str, str] = {
           AND a.course_id = r.course_id AND a.channel_id = r.channel_id AND a.thread_key = r.thread_key)"""}),
     "verdict_metrics": sql(f"""SELECT course_id,
         CASE WHEN user_id = 'U0007' THEN 'error:{V.MODEL}' ELSE llm_model END AS llm_model,
-        count(*) AS total, count_if(user_id <> 'U0007') AS success,
-        count_if(user_id IN ('U0007', 'U0008')) AS retried, count_if(user_id = 'U0007') AS failed,
-        count_if(is_question AND user_id <> 'U0007') AS questions, 0.0::DOUBLE AS avg_latency_ms,
+        count(*) AS total, count(*) FILTER (WHERE user_id <> 'U0007') AS success,
+        count(*) FILTER (WHERE user_id IN ('U0007', 'U0008')) AS retried, count(*) FILTER (WHERE user_id = 'U0007') AS failed,
+        count(*) FILTER (WHERE is_question AND user_id <> 'U0007') AS questions, 0.0::DOUBLE AS avg_latency_ms,
         round(avg(CASE WHEN user_id = 'U0007' THEN 0 ELSE confidence END), 6) AS avg_confidence
       FROM verdicted GROUP BY 1, 2"""),
     # windows
@@ -443,7 +443,7 @@ ORACLES: dict[str, str] = {
     "classify_questions": sql(f"SELECT {VERDICT_COLUMNS} FROM verdicted"),
     "two_stage_verdicts": sql(second_opinion()),
     "questions_by_lang": sql(f"""SELECT lang, count(*) AS total,
-        count_if(contains(text, '?') OR {LANGUAGE_TEST}) AS questions FROM documents GROUP BY lang"""),
+        count(*) FILTER (WHERE contains(text, '?') OR {LANGUAGE_TEST}) AS questions FROM documents GROUP BY lang"""),
     # streaming and incremental
     "stream_ingest": sql(f"SELECT {DAY}, channel_id, ts, user_id, fetched_at, text FROM enriched"),
     "stream_dedupe": sql("SELECT course_id, channel_id, ts, min(fetched_at) AS fetched_at FROM enriched GROUP BY ALL"),
