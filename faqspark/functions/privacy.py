@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 from faqspark.functions.arrays import let
@@ -16,6 +19,9 @@ MASKS = [
     (r"(\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}", "[PHONE]"),
 ]
 FENCE = "```"
+# What a text must contain for any of the patterns to match.
+MARKS = ["@", "<#C", "://"]
+DIGITS = "[0-9]{3}[ .-][0-9]{4}"
 
 
 def strip_file_urls(text: Column) -> Column:
@@ -24,10 +30,12 @@ def strip_file_urls(text: Column) -> Column:
 
 
 def _mask(text: Column) -> Column:
+    """The patterns one after the other, for texts that can match one at all."""
+    suspect = reduce(or_, [text.contains(mark) for mark in MARKS], text.rlike(DIGITS))
     out = strip_file_urls(text)
     for pattern, mask in MASKS:
         out = F.regexp_replace(out, pattern, mask)
-    return out
+    return F.when(suspect, out).otherwise(text)
 
 
 def scrub_pii(text: Column, scrub_code: bool = False) -> Column:

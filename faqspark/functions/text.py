@@ -6,14 +6,15 @@ from pyspark.sql import Column, functions as F
 
 # Fixed value: the characters a text strip removes (all Unicode white space).
 WHITE = (
-    r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 
 def strip(text: Column) -> Column:
-    """Remove all white space at both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(text, f"^{WHITE}+|{WHITE}+$", "")
+    """Remove all white space at both ends (``trim`` alone removes blanks only)."""
+    return F.btrim(text, F.lit(WHITE))
 
 
 def flatten_paragraph(elements: Column) -> Column:

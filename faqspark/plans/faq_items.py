@@ -33,7 +33,7 @@ def build_faq_items(
     rank of replies read the same stored rows. Replies are masked only after the join has left
     those of question threads.
     """
-    kept = dedupe_messages(enrich_messages(messages, courses))
+    kept = enrich_messages(dedupe_messages(messages), courses)
     asked = question_heads(kept).select(
         *THREAD, "event_ts", "user_id", F.sha2("text", 256).alias("original_question_sha256"),
         "question_text_redacted", "verdict",

@@ -36,7 +36,7 @@ def scrub(expr: str) -> str:
 
 
 def strip(expr: str) -> str:
-    return f"regexp_replace({expr}, {lit(f'^{WHITE}+|{WHITE}+$')}, '', 'g')"
+    return f"regexp_replace({expr}, {lit(f'^[{WHITE}]+|[{WHITE}]+$')}, '', 'g')"
 
 
 def words(expr: str) -> str:

@@ -50,7 +50,7 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.dedupe_messages(_enriched(spark, sf))
+    return ingest.enrich_messages(ingest.dedupe_messages(fx.messages(spark, sf)), fx.courses(spark))
 
 
 def _masked(spark: SparkSession, sf: str) -> DataFrame:

@@ -57,6 +57,10 @@ def test_strip_removes_all_white_space(spark):
     assert apply(spark, raw, text.strip) == [r.strip() for r in raw]
 
 
+def test_white_space_is_pythons():
+    assert set(text.WHITE) == {c for c in map(chr, range(0x110000)) if c.isspace()}
+
+
 def test_flatten_paragraph_skips_other_elements(spark):
     element = "struct<textRun:struct<content:string>>"
     rows = spark.createDataFrame(
