@@ -16,7 +16,7 @@ DENSE_DIM = 64
 
 def term_index(code: Column) -> Column:
     """Sparse dimension of a token: its first 8 hex digits modulo 2^20."""
-    return F.shiftright(code, 28).bitwiseAND(F.lit((1 << TERM_BITS) - 1)).cast("int")
+    return F.shiftright(code, 4).bitwiseAND(F.lit((1 << TERM_BITS) - 1)).cast("int")
 
 
 def sparse_vector(codes: Column) -> Column:
@@ -46,15 +46,16 @@ def dense_vector(codes: Column, dim: int = DENSE_DIM) -> Column:
     """Signed feature hashing to ``dim`` buckets, scaled to unit length (zero if no token).
 
     Every (bucket, sign) value is added to the sorted list once, so run ``k`` always belongs
-    to value ``k`` and its length minus one is the count. ``dim`` must divide 2^32.
+    to value ``k`` and its length minus one is the count. The bucket is the first 8 hex digits
+    modulo ``dim``, the sign the parity of the ninth.
     """
     if dim & (dim - 1):
         raise ValueError("dim must be a power of two")
     signed = F.transform(
         codes,
         lambda c: (
-            F.shiftright(c, 28).bitwiseAND(F.lit(dim - 1)) * 2
-            + F.shiftright(c, 24).bitwiseAND(F.lit(1))
+            F.shiftright(c, 4).bitwiseAND(F.lit(dim - 1)) * 2
+            + c.bitwiseAND(F.lit(1))
         ).cast("int"),
     )
     counts = let(

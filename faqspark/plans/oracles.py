@@ -83,20 +83,20 @@ def verdicts(source: str, text: str = "text", role: str | None = "role") -> str:
       FROM (SELECT *, {pick[0]} AS asks FROM (SELECT *, {rule(text, role)} AS rule FROM {source}))"""
 
 
-CODE = "('0x' || substr(md5(w), 1, 15))::BIGINT"
+CODE = "('0x' || substr(md5(w), 1, 9))::BIGINT"
 
 
 def dense(source: str, key: str) -> str:
     """Long form of the unit vectors of ``source`` (key, text): key, bucket, value (float)."""
     return f"""SELECT {key}, bucket, (n / sqrt(sum(n * n) OVER (PARTITION BY {key})))::FLOAT AS value
-      FROM (SELECT {key}, (c >> 28) & 63 AS bucket, sum(1 - 2 * ((c >> 24) & 1))::DOUBLE AS n
+      FROM (SELECT {key}, (c >> 4) & 63 AS bucket, sum(1 - 2 * (c & 1))::DOUBLE AS n
             FROM (SELECT {key}, {CODE} AS c FROM (SELECT {key}, unnest({words('text')}) AS w FROM {source}))
-            GROUP BY ALL HAVING sum(1 - 2 * ((c >> 24) & 1)) <> 0)"""
+            GROUP BY ALL HAVING sum(1 - 2 * (c & 1)) <> 0)"""
 
 
 def sparse(source: str, key: str) -> str:
     """Long form of the term weights ``ln(1 + tf)`` of ``source`` (key, text): key, idx, tfw."""
-    return f"""SELECT {key}, (({CODE}) >> 28) & 1048575 AS idx, ln(1 + count(*)::DOUBLE) AS tfw
+    return f"""SELECT {key}, (({CODE}) >> 4) & 1048575 AS idx, ln(1 + count(*)::DOUBLE) AS tfw
       FROM (SELECT {key}, unnest({words('text')}) AS w FROM {source}) GROUP BY ALL"""
 
 
