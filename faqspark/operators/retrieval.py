@@ -94,22 +94,28 @@ def _sparse_scores(block: QueryBlock, vectors: pa.StructArray) -> tuple[np.ndarr
     return np.round(scores, DIGITS), found
 
 
-def _keep_best(
-    best: dict[int, list[tuple[float, str]]], scores: np.ndarray, allowed: np.ndarray,
-    ids: np.ndarray, depth: int,
-) -> None:
-    """Merge a slab into the running lists, ordered by falling score and rising id."""
-    for q in range(scores.shape[1]):
-        kept = best.setdefault(q, [])
-        floor = -kept[-1][0] if len(kept) == depth else -np.inf
-        rows = np.flatnonzero(allowed[:, q] & (scores[:, q] >= floor))
-        if len(rows) > depth:
-            column = scores[rows, q]
-            cut = np.partition(column, len(rows) - depth)[len(rows) - depth]
-            rows = rows[column >= cut]
-        if len(rows):
-            kept.extend((-scores[r, q], ids[r]) for r in rows)
-            best[q] = heapq.nsmallest(depth, kept)
+@dataclass
+class Best:
+    """Running best points of each query, by falling score and rising id.
+
+    ``floors`` are the scores a further point must reach; once they are high, a slab costs a
+    comparison and hardly any query needs work.
+    """
+
+    floors: np.ndarray
+    kept: list[list[tuple[float, str]]]
+
+    def add(self, scores: np.ndarray, allowed: np.ndarray, ids: np.ndarray, depth: int) -> None:
+        good = allowed & (scores >= self.floors)
+        for q in np.flatnonzero(good.any(axis=0)):
+            rows = np.flatnonzero(good[:, q])
+            if len(rows) > depth:
+                column = scores[rows, q]
+                rows = rows[column >= np.partition(column, len(rows) - depth)[len(rows) - depth]]
+            found = [(-scores[r, q], ids[r]) for r in rows]
+            self.kept[q] = heapq.nsmallest(depth, self.kept[q] + found)
+            if len(self.kept[q]) == depth:
+                self.floors[q] = -self.kept[q][-1][0]
 
 
 def _candidates(points: DataFrame, block: QueryBlock, depth: int) -> DataFrame:
@@ -122,7 +128,8 @@ def _candidates(points: DataFrame, block: QueryBlock, depth: int) -> DataFrame:
         if not queries.ids:
             return
         score = {"dense": _dense_scores, "sparse": _sparse_scores}
-        best: dict[str, dict[int, list[tuple[float, str]]]] = {k: {} for k in kinds}
+        n = len(queries.ids)
+        best = {kind: Best(np.full(n, -np.inf), [[] for _ in range(n)]) for kind in kinds}
         for batch in batches:
             for start in range(0, batch.num_rows, SLAB):
                 slab = batch.slice(start, SLAB)
@@ -133,10 +140,10 @@ def _candidates(points: DataFrame, block: QueryBlock, depth: int) -> DataFrame:
                     inside = scopes[:, None] == queries.scopes[None, :]
                 for kind in kinds:
                     scores, allowed = score[kind](queries, slab.column(kind))
-                    _keep_best(best[kind], scores, allowed & inside, ids, depth)
+                    best[kind].add(scores, allowed & inside, ids, depth)
         rows = [
             (kind, queries.ids[q], point, -loss)
-            for kind in kinds for q, kept in best[kind].items() for loss, point in kept
+            for kind in kinds for q, kept in enumerate(best[kind].kept) for loss, point in kept
         ]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], t) for i, t in enumerate(

@@ -34,8 +34,8 @@ def merge_days(messages: DataFrame, root: str) -> None:
     """Add fetched messages to their days, the latest fetch of a message winning.
 
     A fetch may bring only part of a day, so what is stored of that day is read back, merged
-    and written as a whole. Only those days are read. The merged rows are kept apart until the
-    days are replaced: a run that dies in between can simply be repeated.
+    and written as a whole. Only those days are read. The merged rows are written apart first:
+    should the replacement of the days be cut short, writing them once more completes it.
     """
     spark = messages.sparkSession
     columns = STORED_MESSAGE.names

@@ -12,7 +12,7 @@ from faqspark import fixtures as fx
 from faqspark.operators import canonical, embedding, faq_documents, retrieval
 from faqspark.plans.faq_index import build_points, index_documents
 from faqspark.runtime import scratch_path
-from faqspark.schemas import DOCUMENT, FAQ_CHUNK
+from faqspark.schemas import FAQ_CHUNK
 from faqspark.sources import collections as store
 from faqspark.sources import documents as docs
 
