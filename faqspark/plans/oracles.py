@@ -94,6 +94,13 @@ def dense(source: str, key: str) -> str:
             GROUP BY ALL HAVING sum(1 - 2 * (c & 1)) <> 0)"""
 
 
+def packed(source: str, key: str) -> str:
+    """The same vectors as one list of 64 numbers per key; needs the table ``{source}_d``."""
+    return f"""SELECT {key}, list(coalesce(value, 0)::DOUBLE ORDER BY b) AS v
+      FROM (SELECT {key}, b FROM {source}, range(64) r(b)) LEFT JOIN
+        (SELECT {key}, bucket AS b, value FROM {source}_d) USING ({key}, b) GROUP BY {key}"""
+
+
 def sparse(source: str, key: str) -> str:
     """Long form of the term weights ``ln(1 + tf)`` of ``source`` (key, text): key, idx, tfw."""
     return f"""SELECT {key}, (({CODE}) >> 4) & 1048575 AS idx, ln(1 + count(*)::DOUBLE) AS tfw
@@ -170,6 +177,7 @@ TABLES = {
         PARTITION BY id ORDER BY doc_id DESC, chunk_no DESC) AS n FROM keyed) WHERE n = 1""",
     "points_s": sparse("points", "id"),
     "points_d": dense("points", "id"),
+    "points_v": packed("points", "id"),
     "points_idf": idf("points"),
     "x": """SELECT vec_id::VARCHAR AS id, 'faq_c' || (vec_id % 4) AS collection, label, embedding, text
       FROM embeddings JOIN documents ON vec_id = doc_id""",
@@ -178,6 +186,7 @@ TABLES = {
     "q": "SELECT item_id::VARCHAR AS query_id, text FROM benchmark",
     "q_s": sparse("q", "query_id"),
     "q_d": dense("q", "query_id"),
+    "q_v": packed("q", "query_id"),
 }
 
 
@@ -211,15 +220,9 @@ def sparse_scores(points: str) -> str:
       FROM q_s JOIN {points}_s USING (idx) JOIN {points}_idf USING (idx) GROUP BY ALL"""
 
 
-ALL_DENSE = """SELECT query_id, id, round(coalesce(dot, 0), 6) AS score
-  FROM (SELECT query_id, id FROM q, points)
-  LEFT JOIN (SELECT query_id, id,
-       sum(q_d.value::DOUBLE * points_d.value::DOUBLE)
-         / sqrt(any_value(qq.n) * any_value(pp.n)) AS dot
-     FROM q_d JOIN points_d USING (bucket)
-     JOIN (SELECT query_id, sum(value::DOUBLE * value::DOUBLE) AS n FROM q_d GROUP BY 1) qq USING (query_id)
-     JOIN (SELECT id, sum(value::DOUBLE * value::DOUBLE) AS n FROM points_d GROUP BY 1) pp USING (id)
-     GROUP BY ALL) USING (query_id, id)"""
+ALL_DENSE = """SELECT query_id, id, round(coalesce(list_dot_product(q_v.v, points_v.v)
+    / nullif(sqrt(list_dot_product(q_v.v, q_v.v) * list_dot_product(points_v.v, points_v.v)), 0), 0), 6) AS score
+  FROM q_v, points_v"""
 
 
 def hybrid(final: str, limit: int, where: str = "true", scoped: bool = False, more: dict | None = None) -> str:
