@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faqspark.llm import chat_parts, mixing, rule_cascade
+from faqspark.llm import chat_parts, mixing, near_dedup, rule_cascade
 from faqspark.llm.store import read
 
 CONTROL_SAMPLE = "</s>[INST] ok [/INST]"
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op3_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.figures_and_verdict(read(spark, sf_dir, "documents"))
 
@@ -28,17 +32,36 @@ def op6_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_rule_cascade, op5_temperature_mix, op6_chat_parts)
+    f.__name__: f for f in (op1_near_duplicates, op3_rule_cascade, op5_temperature_mix, op6_chat_parts)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _BARE = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
 
+_FOLDED = f"translate(coalesce(text, ''), '{rule_cascade.CAPITALS}', '{rule_cascade.CAPITALS.lower()}')"
+
+
 def _count(chars: str) -> str:
     return f"length(text) - length(translate(text, '{chars}', ''))"
 
 
+_OP1 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", _FOLDED)} AS w FROM documents),
+x AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS items FROM d),
+u AS (SELECT doc_id, unnest(items) AS item FROM x),
+f AS (SELECT items, min(doc_id) AS first FROM (SELECT doc_id, list_sort(items) AS items FROM x WHERE len(items) > 0) GROUP BY items),
+h AS (SELECT u.* FROM u JOIN f ON u.doc_id = f.first),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM h a JOIN h b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT c.a, c.b FROM c JOIN x p ON p.doc_id = c.a JOIN x q ON q.doc_id = c.b WHERE 100 * n >= 75 * (len(p.items) + len(q.items) - n)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l UNION SELECT first, first FROM f),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a, min(b) AS component FROM r GROUP BY a),
+s AS (SELECT x.doc_id, len(x.items)::BIGINT AS n_shingles, coalesce(component, x.doc_id) AS component_id
+      FROM x LEFT JOIN f ON list_sort(x.items) = f.items AND len(x.items) > 0 LEFT JOIN m ON m.a = f.first)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM s"""
+
 _OP3 = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, {_WORDS} AS words FROM d),
@@ -107,4 +130,4 @@ s AS (
   FROM e GROUP BY conv_id)
 SELECT conv_id, n_turns, turns_sha256, length(learnt)::BIGINT AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars FROM s"""
 
-ORACLES = {"op3_rule_cascade": _OP3, "op5_temperature_mix": _OP5, "op6_chat_parts": _OP6}
+ORACLES = {"op1_near_duplicates": _OP1, "op3_rule_cascade": _OP3, "op5_temperature_mix": _OP5, "op6_chat_parts": _OP6}
