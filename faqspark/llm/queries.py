@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faqspark.llm import chat_parts, mixing, near_dedup, rule_cascade
+from faqspark.llm import chat_parts, mixing, near_dedup, rule_cascade, toxicity
 from faqspark.llm.store import read
 
 CONTROL_SAMPLE = "</s>[INST] ok [/INST]"
@@ -31,8 +31,12 @@ def op6_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_parts.read_back(chat_parts.format_turns(messages))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op3_rule_cascade, op5_temperature_mix, op6_chat_parts)
+    f.__name__: f for f in (op1_near_duplicates, op3_rule_cascade, op5_temperature_mix, op6_chat_parts, op8_toxicity)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
