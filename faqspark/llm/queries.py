@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faqspark.llm import chat_parts, mixing, near_dedup, rule_cascade, toxicity
+from faqspark.llm import chat_parts, mixing, near_dedup, pu_quality, rule_cascade, toxicity
 from faqspark.llm.store import read
 
 CONTROL_SAMPLE = "</s>[INST] ok [/INST]"
@@ -16,6 +16,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.figures_and_verdict(read(spark, sf_dir, "documents"))
 
@@ -36,7 +40,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op3_rule_cascade, op5_temperature_mix, op6_chat_parts, op8_toxicity)
+    f.__name__: f for f in (op1_near_duplicates, op2_pu_quality, op3_rule_cascade, op5_temperature_mix, op6_chat_parts, op8_toxicity)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
