@@ -80,40 +80,61 @@ def base_figures(text: Column) -> Column:
         repeated_words(w).alias("n_repeat_words")))
 
 
-@dataclass(frozen=True)
-class Rule:
-    """``rejects``: from the text column to a boolean column, null-free."""
+class Facts:
+    """Figures of a text column that rules look at, each an expression of its own."""
 
-    name: str
-    rejects: Callable[[Column], Column]
+    def __init__(self, text: Column):
+        self.text = F.coalesce(text, F.lit(""))
+
+    @property
+    def n_words(self) -> Column:
+        return F.size(words_of(self.text)).cast("long")
+
+    @property
+    def word_chars(self) -> Column:
+        return F.length(F.translate(self.text, BLANKS, "")).cast("long")
+
+    @property
+    def n_symbols(self) -> Column:
+        return self.count(SYMBOLS)
+
+    @property
+    def n_repeat_words(self) -> Column:
+        return let(words_of(self.text), repeated_words)
 
+    def count(self, chars: str) -> Column:
+        return count_chars(self.text, chars)
 
-def _words(text: Column) -> Column:
-    return F.size(words_of(text)).cast("long")
+    def repeated_lines(self, percent: int) -> Column:
+        """Whether more than so many percent of the lines with a word equal an earlier line."""
+        full = F.filter(F.split(self.text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
+        return let(full, lambda x: (F.size(x) - F.size(F.array_distinct(x))) * 100 > F.size(x) * percent)
 
 
-def _chars(text: Column) -> Column:
-    return F.length(F.translate(F.coalesce(text, F.lit("")), BLANKS, "")).cast("long")
+class KnownFacts(Facts):
+    """The same where a table has the base figures as columns."""
 
+    n_words, word_chars, n_symbols, n_repeat_words = (
+        property(lambda self, name=name: F.col(name)) for name in ("n_words", "word_chars", "n_symbols", "n_repeat_words"))
 
-def _count(text: Column, chars: str) -> Column:
-    return count_chars(F.coalesce(text, F.lit("")), chars)
 
+@dataclass(frozen=True)
+class Rule:
+    """``rejects``: from the facts of a text to a boolean column, null-free."""
 
-def _lines(text: Column) -> Column:
-    full = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
-    return let(full, lambda x: (F.size(x) - F.size(F.array_distinct(x))) * 100 > F.size(x) * 30)
+    name: str
+    rejects: Callable[[Facts], Column]
 
 
 #: A text is rejected if any of these says so; the order here means nothing.
 RULES = (
-    Rule("few_words", lambda t: _words(t) < 50),
-    Rule("repeated_words", lambda t: let(words_of(t), lambda w: repeated_words(w) * 100 > F.size(w) * 50)),
-    Rule("symbols", lambda t: _count(t, SYMBOLS) * 10 > _words(t)),
-    Rule("exclamations", lambda t: _count(t, "!") * 5 > _words(t)),
-    Rule("capitals", lambda t: _count(t, CAPITALS) * 10 > _chars(t) * 3),
-    Rule("word_length", lambda t: ~(_chars(t)).between(_words(t) * 2, _words(t) * 12)),
-    Rule("repeated_lines", _lines),
+    Rule("few_words", lambda t: t.n_words < 50),
+    Rule("repeated_words", lambda t: t.n_repeat_words * 100 > t.n_words * 50),
+    Rule("symbols", lambda t: t.n_symbols * 10 > t.n_words),
+    Rule("exclamations", lambda t: t.count("!") * 5 > t.n_words),
+    Rule("capitals", lambda t: t.count(CAPITALS) * 10 > t.word_chars * 3),
+    Rule("word_length", lambda t: ~t.word_chars.between(t.n_words * 2, t.n_words * 12)),
+    Rule("repeated_lines", lambda t: t.repeated_lines(30)),
 )
 
 
@@ -130,16 +151,18 @@ class Measured:
         return self.selectivity / max(self.cost, 1e-12)
 
 
-def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, text: str = "text", sample_rows: int = 1000) -> list[Measured]:
+def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, text: str = "text", facts: Callable[[Column], Facts] = Facts,
+            sample_rows: int = 1000) -> list[Measured]:
     """Time every rule alone on at most ``sample_rows`` rows, best of two runs; best worth first.
 
-    The sample decides the order only, never the verdict. On an empty sample the order stays.
+    ``facts`` says where the rules' figures come from: the text, or columns of ``docs``. The sample decides the order only, never the verdict. On an empty sample the order stays.
     """
-    sample = Saved(docs.select(F.col(text).alias("text")).limit(sample_rows), "rule-sample")
+    extra = [] if facts is Facts else ["n_words", "word_chars", "n_symbols", "n_repeat_words"]
+    sample = Saved(docs.limit(sample_rows).select(F.col(text).alias("text"), *extra), "rule-sample")
     rows = sample.df.count()
     found = []
     for rule in rules if rows else ():
-        rejects = rule.rejects(F.col("text"))
+        rejects = rule.rejects(facts(F.col("text")))
         hits, seconds = 0, []
         for _ in range(2):
             start = time.perf_counter()
@@ -152,11 +175,11 @@ def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, text: str = "te
     return sorted(found, key=lambda m: (-m.worth, m.cost))
 
 
-def first_rejection(text: Column, order: list[Rule]) -> Column:
+def first_rejection(facts: Facts, order: list[Rule]) -> Column:
     """Name of the first rule of ``order`` that rejects, null if none does; later rules are not evaluated."""
     verdict = F.lit(None).cast("string")
     for rule in reversed(order):
-        verdict = F.when(rule.rejects(text), F.lit(rule.name)).otherwise(verdict)
+        verdict = F.when(rule.rejects(facts), F.lit(rule.name)).otherwise(verdict)
     return verdict
 
 
@@ -168,14 +191,18 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, text: str = "te
     in the measured order, whether a row is rejected at all does not depend on the order.
     """
     order = [m.rule for m in measure(docs, rules, text=text, sample_rows=sample_rows)]
-    return docs.withColumn(out, first_rejection(F.col(text), order))
+    return docs.withColumn(out, first_rejection(Facts(F.col(text)), order))
 
 
 def figures_and_verdict(docs: DataFrame) -> DataFrame:
-    """doc_id, the base figures, ``base_failed`` and ``kept``; one row per row of ``docs``."""
-    order = [m.rule for m in measure(docs)]
+    """doc_id, the base figures, ``base_failed`` and ``kept``; one row per row of ``docs``.
+
+    The base figures are there for every row, so the rules read them; the cascade computes the others.
+    """
     figures = docs.select("doc_id", "text", base_figures(F.col("text")).alias("f")).select("doc_id", "text", "f.*")
+    order = [m.rule for m in measure(figures, facts=KnownFacts)]
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
+    verdict = first_rejection(KnownFacts(F.col("text")), order).isNull()
     return figures.withColumn("base_failed", failed).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.when(F.col("base_failed"), False).otherwise(first_rejection(F.col("text"), order).isNull()).alias("kept"))
+        F.when(F.col("base_failed"), False).otherwise(verdict).alias("kept"))
