@@ -114,8 +114,8 @@ class Facts:
 class KnownFacts(Facts):
     """The same where a table has the base figures as columns."""
 
-    n_words, word_chars, n_symbols, n_repeat_words = (
-        property(lambda self, name=name: F.col(name)) for name in ("n_words", "word_chars", "n_symbols", "n_repeat_words"))
+    COLUMNS = ("n_words", "word_chars", "n_symbols", "n_repeat_words")
+    n_words, word_chars, n_symbols, n_repeat_words = (property(lambda self, name=name: F.col(name)) for name in COLUMNS)
 
 
 @dataclass(frozen=True)
@@ -151,22 +151,24 @@ class Measured:
         return self.selectivity / max(self.cost, 1e-12)
 
 
-def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, text: str = "text", facts: Callable[[Column], Facts] = Facts,
-            sample_rows: int = 1000) -> list[Measured]:
-    """Time every rule alone on at most ``sample_rows`` rows, best of two runs; best worth first.
+def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, sample_rows: int = 1000, seed: int = 17) -> list[Measured]:
+    """Time every rule alone on a sample of about ``sample_rows`` rows, best of two runs; best worth first.
 
-    ``facts`` says where the rules' figures come from: the text, or columns of ``docs``. The sample decides the order only, never the verdict. On an empty sample the order stays.
+    ``docs`` has a column text; where it has the base figures too, rules read them there. The sample is drawn
+    while scanning and decides the order only, never the verdict. On an empty sample the order stays.
     """
-    extra = [] if facts is Facts else ["n_words", "word_chars", "n_symbols", "n_repeat_words"]
-    sample = Saved(docs.limit(sample_rows).select(F.col(text).alias("text"), *extra), "rule-sample")
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    sample = docs.select("text").sample(share, seed)
+    known = set(KnownFacts.COLUMNS) <= set(docs.columns)
+    sample = Saved(with_figures(sample) if known else sample, "rule-sample")
+    facts = (KnownFacts if known else Facts)(F.col("text"))
     rows = sample.df.count()
     found = []
     for rule in rules if rows else ():
-        rejects = rule.rejects(facts(F.col("text")))
         hits, seconds = 0, []
         for _ in range(2):
             start = time.perf_counter()
-            hits = sample.df.agg(F.count_if(rejects)).first()[0]
+            hits = sample.df.agg(F.count_if(rule.rejects(facts))).first()[0]
             seconds.append(time.perf_counter() - start)
         found.append(Measured(rule, min(seconds) / rows, hits / rows))
     sample.drop()
@@ -190,17 +192,22 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, text: str = "te
     through; a column already named ``out`` is replaced. The name given is that of the first rule
     in the measured order, whether a row is rejected at all does not depend on the order.
     """
-    order = [m.rule for m in measure(docs, rules, text=text, sample_rows=sample_rows)]
+    order = [m.rule for m in measure(docs.select(F.col(text).alias("text")), rules, sample_rows=sample_rows)]
     return docs.withColumn(out, first_rejection(Facts(F.col(text)), order))
 
 
+def with_figures(docs: DataFrame) -> DataFrame:
+    """``docs`` with the base figures as further columns."""
+    return docs.withColumn("_f", base_figures(F.col("text"))).select(*[F.col(c) for c in docs.columns], "_f.*")
+
+
 def figures_and_verdict(docs: DataFrame) -> DataFrame:
     """doc_id, the base figures, ``base_failed`` and ``kept``; one row per row of ``docs``.
 
     The base figures are there for every row, so the rules read them; the cascade computes the others.
     """
-    figures = docs.select("doc_id", "text", base_figures(F.col("text")).alias("f")).select("doc_id", "text", "f.*")
-    order = [m.rule for m in measure(figures, facts=KnownFacts)]
+    figures = with_figures(docs.select("doc_id", "text"))
+    order = [m.rule for m in measure(figures)]
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     verdict = first_rejection(KnownFacts(F.col("text")), order).isNull()
     return figures.withColumn("base_failed", failed).select(
