@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faqspark.llm import chat_parts, mixing, near_dedup, pii, pu_quality, rule_cascade, toxicity
+from faqspark.llm import chat_parts, mixing, near_dedup, packing, pii, pu_quality, rule_cascade, toxicity
 from faqspark.llm.store import read
 
 CONTROL_SAMPLE = "</s>[INST] ok [/INST]"
@@ -39,12 +39,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read(spark, sf_dir, "documents"))
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_pu_quality, op3_rule_cascade, op5_temperature_mix, op6_chat_parts, op8_toxicity, op10_personal_data)
+    f.__name__: f for f in (op1_near_duplicates, op2_pu_quality, op3_rule_cascade, op5_temperature_mix, op6_chat_parts, op8_toxicity, op9_packing, op10_personal_data)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
