@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faqspark.llm import chat_parts, mixing, near_dedup, packing, pii, pu_quality, rule_cascade, toxicity
+from faqspark.llm import chat_parts, embedding_tiles, mixing, near_dedup, packing, pii, pu_quality, rule_cascade, toxicity
 from faqspark.llm.store import read
 
 CONTROL_SAMPLE = "</s>[INST] ok [/INST]"
@@ -35,6 +35,10 @@ def op6_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_parts.read_back(chat_parts.format_turns(messages))
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_tiles.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -48,7 +52,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_pu_quality, op3_rule_cascade, op5_temperature_mix, op6_chat_parts, op8_toxicity, op9_packing, op10_personal_data)
+    f.__name__: f for f in (op1_near_duplicates, op2_pu_quality, op3_rule_cascade, op5_temperature_mix, op6_chat_parts, op7_near_vectors, op8_toxicity, op9_packing, op10_personal_data)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -146,4 +150,18 @@ s AS (
   FROM e GROUP BY conv_id)
 SELECT conv_id, n_turns, turns_sha256, length(learnt)::BIGINT AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars FROM s"""
 
-ORACLES = {"op1_near_duplicates": _OP1, "op3_rule_cascade": _OP3, "op5_temperature_mix": _OP5, "op6_chat_parts": _OP6}
+_OP7 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+c AS (SELECT a, min(b) AS low FROM r GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id"""
+
+ORACLES = {"op7_near_vectors": _OP7, "op1_near_duplicates": _OP1, "op3_rule_cascade": _OP3, "op5_temperature_mix": _OP5, "op6_chat_parts": _OP6}
