@@ -1,12 +1,53 @@
-"""From documents to packed training sequences, in five written stages."""
+"""From documents to packed training sequences, in five written stages.
+
+All stages but the last return the columns of ``documents``. What each does with nulls, repeated rows, empty
+tables and further columns is said at the operator it calls.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faqspark.llm.store import Saved, read
+from faqspark.llm import mixing, near_dedup, packing, pii, toxicity
+from faqspark.llm.store import Saved, read, session
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learnt from their labels, does not call toxic."""
+    return toxicity.without_toxic(docs, read(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    session(spark)
+    return near_dedup.without_near_duplicates(docs)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    session(spark)
+    return pii.redacted(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the temperature mixture of their sources uses them, for as many tokens as there are."""
+    session(spark)
+    return mixing.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their places in sequences; every row is a document of its own."""
+    session(spark)
+    return packing.packed(docs)
+
 
-STAGES = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal_data", redact_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 
 #: Trained models and minimum hashes decide rows, which SQL cannot express.
 ORACLE_SQL = None

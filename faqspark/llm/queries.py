@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faqspark.llm import chat_parts, embedding_tiles, mixing, near_dedup, packing, pii, pu_quality, rule_cascade, toxicity
+from faqspark.llm import chat_parts, embedding_tiles, katz, mixing, near_dedup, packing, pii, pu_quality, rule_cascade, toxicity
 from faqspark.llm.store import read
 
 CONTROL_SAMPLE = "</s>[INST] ok [/INST]"
@@ -24,6 +24,10 @@ def op3_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.figures_and_verdict(read(spark, sf_dir, "documents"))
 
 
+def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(read(spark, sf_dir, "documents"))
+
+
 def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(read(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_pu_quality, op3_rule_cascade, op5_temperature_mix, op6_chat_parts, op7_near_vectors, op8_toxicity, op9_packing, op10_personal_data)
+    f.__name__: f for f in (op1_near_duplicates, op2_pu_quality, op3_rule_cascade, op4_katz, op5_temperature_mix, op6_chat_parts, op7_near_vectors, op8_toxicity, op9_packing, op10_personal_data)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

@@ -25,10 +25,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class Saved:
     """A table written below the shared folder; ``df`` reads it, ``drop`` removes it."""
 
-    def __init__(self, df: DataFrame, name: str):
+    def __init__(self, df: DataFrame, name: str, *partition_by: str):
         self.spark = df.sparkSession
         self.path = scratch_path(self.spark, name)
-        df.write.parquet(self.path)
+        df.write.partitionBy(*partition_by).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
