@@ -15,19 +15,18 @@ def components(links: DataFrame) -> DataFrame:
     every exchange and joined by inner joins, whose hot keys adaptive execution splits. Every
     round is written to shared storage; the copy before it is removed.
     """
-    both = links.select("a", "b").union(links.select("b", "a"))
-    edges = Saved(both.where("a != b").distinct(), "edges")
-    labels = Saved(edges.df.groupBy(F.col("a").alias("id")).agg(
-        F.least(F.min("b"), F.col("a")).alias("c")).select("id", "c"), "labels")
-    while True:
-        near = edges.df.join(labels.df, F.col("b") == F.col("id")).select(F.col("a").alias("id"), "c")
-        low = near.union(labels.df).groupBy("id").agg(F.min("c").alias("c"))
-        owner = labels.df.select(F.col("id").alias("o"), F.col("c").alias("up"))
-        hop = low.join(owner, F.col("c") == F.col("o")).select("id", F.least("c", "up").alias("c"))
+    both = links.select("a", "b").where("a != b")
+    edges = Saved(both.union(both.select("b", "a")).distinct(), "edges")
+    first = edges.df.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("c"))
+    labels = Saved(first.select("id", F.least("c", "id").alias("c"), F.lit(True).alias("moved")), "labels")
+    while labels.df.where("moved").limit(1).count():
+        own = labels.df.select("id", "c")
+        near = edges.df.join(own, F.col("b") == F.col("id")).select(F.col("a").alias("id"), "c", F.lit(None).cast("long").alias("old"))
+        low = near.union(own.select("id", "c", F.col("c").alias("old"))).groupBy("id").agg(F.min("c").alias("c"), F.max("old").alias("old"))
+        up = own.select(F.col("id").alias("o"), F.col("c").alias("up"))
+        hop = low.join(up, F.col("c") == F.col("o")).select("id", F.least("c", "up").alias("c"), (F.least("c", "up") != F.col("old")).alias("moved"))
         new = Saved(hop, "labels")
-        moved = new.df.join(labels.df.withColumnRenamed("c", "old"), "id").where("c != old").limit(1).count()
         labels.drop()
         labels = new
-        if not moved:
-            edges.drop()
-            return labels.df.select("id", F.col("c").alias("component_id"))
+    edges.drop()
+    return labels.df.select("id", F.col("c").alias("component_id"))

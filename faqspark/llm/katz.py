@@ -220,7 +220,7 @@ def _rows(kind: int, key, other=None, tokens=None, unknown=None, counts=None, a=
     zeros, zero = pa.array(np.zeros(n, np.int64)), np.zeros(n)
     counts = counts if counts is not None else np.zeros((DISCOUNTED, n), np.int64)
     columns = [pa.array(np.full(n, kind, np.int32)), pa.array(key), zeros if other is None else other, *(zeros if x is None else pa.array(x.astype(np.int64)) for x in (tokens, unknown)),
-               *(pa.array(x.astype(np.int64)) for x in counts), *(pa.array(zero if x is None else x) for x in (a, b))]
+               *(pa.array(x.astype(np.int64)) for x in counts), *(pa.array(zero if x is None else x.astype(float)) for x in (a, b))]
     return pa.table(columns, names=_FOUND_NAMES)
 
 

@@ -31,7 +31,9 @@ WIDTH, PERCENT = 5, 75
 #: (depth, orders) of the forests; a pair of similarity s shares a region with chance 1 - (1 - s ** depth) ** orders.
 LEVELS = ((4, 32), (8, 128), (12, 448))
 #: Members outside a region's largest component up to which it is compared here and not deeper.
-CROWD = 32
+CROWD = 512
+#: Rows and shingles of one side that a task compares at a time, about.
+PART_ROWS, PART_ITEMS = 2048, 1 << 20
 
 SKETCH = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, regions array<bigint>"
 _BLOCK = 4096
@@ -132,59 +134,122 @@ def _stars(members: DataFrame) -> DataFrame:
     return rest.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with the component that the links so far give them."""
-    found = components(links).withColumnRenamed("id", "k")
-    return members.join(found, F.col("id") == F.col("k"), "left").select(
-        "region", "id", "n", F.coalesce("component_id", "id").alias("c"))
+def _labelled(members: DataFrame, known: DataFrame) -> DataFrame:
+    """Members with the component ``c`` that the links so far give them."""
+    found = known.select(F.col("id").alias("k"), F.col("component_id").alias("c"))
+    return members.join(found, F.col("id") == F.col("k"), "left").select("region", "id", "n", F.coalesce("c", "id").alias("c"))
 
 
 def _parted(members: DataFrame) -> DataFrame:
-    """(region, main, others) of regions that hold several components; main is the largest one."""
-    sizes = members.groupBy("region", "c").agg(F.count(F.lit(1)).alias("size"))
-    best = sizes.groupBy("region").agg(
-        F.max(F.struct("size", F.col("c"))).alias("best"), F.sum("size").alias("total"), F.count(F.lit(1)).alias("parts"))
-    return best.where("parts > 1").select("region", F.col("best.c").alias("main"), (F.col("total") - F.col("best.size")).alias("others"))
-
-
-def _rest(members: DataFrame, parted: DataFrame) -> DataFrame:
-    """Pairs of every member outside its region's main component with the members of other components."""
-    inside = members.join(parted, "region")
-    outer = inside.where("c != main").select("region", F.col("id").alias("x"), F.col("n").alias("x_n"), F.col("c").alias("x_c"))
-    pairs = members.join(outer, "region").where("c != x_c").where(_plausible("n", "x_n"))
-    return pairs.select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
+    """(region, main, others, m_parts, x_parts) of regions that hold several components.
 
-
-def _compared(texts: DataFrame, entries: DataFrame, links: DataFrame, last: bool) -> tuple[DataFrame, DataFrame | None]:
-    """All links after one forest, and the ids of crowded regions, which the next one takes."""
+    ``main`` is the component with most members there, ``others`` counts the members outside of it. So many parts
+    keep what a task loads of the members, and of the others, within bounds.
+    """
+    sizes = members.groupBy("region", "c").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"))
+    best = sizes.groupBy("region").agg(
+        F.max(F.struct("size", "c", "items")).alias("best"), F.sum("size").alias("total"), F.sum("items").alias("items"), F.count(F.lit(1)).alias("parts"))
+    others, other_items = F.col("total") - F.col("best.size"), F.col("items") - F.col("best.items")
+
+    def parts(rows, items):
+        return F.greatest(F.ceil(rows / PART_ROWS), F.ceil(items / PART_ITEMS)).cast("int")
+
+    return best.where("parts > 1").select(
+        "region", F.col("best.c").alias("main"), others.alias("others"), parts(F.col("total"), F.col("items")).alias("m_parts"), parts(others, other_items).alias("x_parts"))
+
+
+def _joined_components(c_x: np.ndarray, c_m: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a spanning forest of components that are linked pairwise."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    forest = []
+    for x, m in set(zip(c_x.tolist(), c_m.tolist())):
+        a, b = find(x), find(m)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            forest.append((x, m))
+    return forest
+
+
+def _cross(others: pa.Table, members: pa.Table) -> pa.Table:
+    """Components (a, b) joined by a similar pair of one of ``others`` and one of ``members``; full sets are compared."""
+    found: list[tuple[int, int]] = []
+    if others.num_rows and members.num_rows:
+        x_sets, m_sets = ([np.frombuffer(v.as_buffer(), np.uint64) for v in t.column("items")] for t in (others, members))
+        x_c, m_c = (t.column("c").to_numpy() for t in (others, members))
+        x_n, m_n = (np.array([len(v) for v in sets]) for sets in (x_sets, m_sets))
+        values, owner = np.concatenate(x_sets), np.repeat(np.arange(len(x_sets)), x_n)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        at = 0
+        while at < len(m_sets):
+            last, pending = at, []
+            while last < len(m_sets) and (last == at or sum(len(p) for p, _ in pending) < (1 << 21)):
+                low = np.searchsorted(values, m_sets[last], "left")
+                run = np.searchsorted(values, m_sets[last], "right") - low
+                hits = owner[np.repeat(low - (np.cumsum(run) - run), run) + np.arange(run.sum())]
+                pending.append((hits, last))
+                last += 1
+            common = np.stack([np.bincount(hits, minlength=len(x_sets)) for hits, _ in pending])
+            union = x_n[None, :] + m_n[at:last, None] - common
+            m, x = np.nonzero((100 * common >= PERCENT * union) & (m_c[at:last, None] != x_c[None, :]))
+            found += _joined_components(x_c[x], m_c[at + m])
+            at = last
+        found = _joined_components(*np.array(found, np.int64).reshape(-1, 2).T)
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _rest(members: DataFrame, parted: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components, from every member outside its region's main component and the members of other components."""
+    inside = members.join(parted, "region").join(sets.withColumnRenamed("id", "k"), F.col("id") == F.col("k"))
+    zero, m_at, x_at = F.lit(0), F.pmod(F.hash("id"), "m_parts"), F.pmod(F.hash("id"), "x_parts")
+    outer = inside.where("c != main").select("region", "c", "items", x_at.alias("x_part"), F.explode(F.sequence(zero, F.col("m_parts") - 1)).alias("m_part"))
+    every = inside.select("region", "c", "items", m_at.alias("m_part"), F.explode(F.sequence(zero, F.col("x_parts") - 1)).alias("x_part"))
+    sides = [side.toDF(*(f"{c}_" for c in side.columns)).toDF(*side.columns).groupBy("region", "m_part", "x_part") for side in (outer, every)]
+    return sides[0].cogroup(sides[1]).applyInArrow(_cross, "a bigint, b bigint")
+
+
+def _compared(texts: DataFrame, entries: DataFrame, known: DataFrame | None, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Components (id, component_id) after one forest, and the ids of crowded regions, which the next one takes."""
     members = Saved(_members(entries), "forest-members")
     ids = members.df.select("id").distinct()
     sets = Saved(texts.join(ids, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_sets, "id bigint, items binary"), "forest-sets")
-    links = Saved(links.union(confirmed(_stars(members.df), sets.df)), "forest-links").df
-    labelled = Saved(_labelled(members.df, links), "forest-labels").df
+    links = confirmed(_stars(members.df), sets.df)
+    if known is not None:
+        links = links.union(known.select("component_id", "id"))
+    first = components(links)
+    labelled = Saved(_labelled(members.df, first), "forest-labels").df
     members.drop()
     parted = Saved(_parted(labelled), "forest-parted").df
     here, beyond = (parted, parted.where("false")) if last else (parted.where(F.col("others") <= CROWD), parted.where(F.col("others") > CROWD))
-    links = Saved(links.union(confirmed(_rest(labelled, here), sets.df)), "forest-links").df
+    second = components(_rest(labelled, here, sets.df))
+    higher = second.select(F.col("id").alias("k"), F.col("component_id").alias("up"))
+    both = first.join(higher, F.col("component_id") == F.col("k"), "left").select("id", F.coalesce("up", "component_id").alias("component_id"))
+    merged = Saved(both.union(second).groupBy("id").agg(F.min("component_id").alias("component_id")), "forest-components").df
     sets.drop()
-    if not beyond.limit(1).count():
-        return links, None
-    return links, labelled.join(beyond, "region", "left_semi").select("id").distinct()
+    if last or not beyond.limit(1).count():
+        return merged, None
+    return merged, labelled.join(beyond, "region", "left_semi").select("id").distinct()
 
 
-def similar_links(texts: DataFrame, heads: DataFrame) -> DataFrame:
-    """Confirmed links (a, b), enough to connect every component of similar sets.
+def similar_components(texts: DataFrame, heads: DataFrame) -> DataFrame:
+    """(id, component_id) of the sets that are similar to another one.
 
     ``heads``: sketches of the first forest, one per distinct set; ``texts``: (doc_id, text), those and others.
     """
-    links = texts.sparkSession.createDataFrame([], "a bigint, b bigint")
-    links, crowded = _compared(texts, _entries(heads), links, len(LEVELS) == 1)
+    known, crowded = _compared(texts, _entries(heads), None, len(LEVELS) == 1)
     for depth, orders in LEVELS[1:]:
         if crowded is None:
             break
         wanted = texts.join(crowded, F.col("doc_id") == F.col("id"), "left_semi")
-        links, crowded = _compared(texts, _entries(sketches(wanted, depth, orders)), links, (depth, orders) == LEVELS[-1])
-    return links
+        known, crowded = _compared(texts, _entries(sketches(wanted, depth, orders)), known, (depth, orders) == LEVELS[-1])
+    return known
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -201,8 +266,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = Saved(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("first")), "classes").df
     own = classes.select(F.col("first").alias("k"), F.col("d1").alias("k1"), F.col("d2").alias("k2"))
     heads = known.join(own, (F.col("doc_id") == F.col("k")) & (F.col("d1") == F.col("k1")) & (F.col("d2") == F.col("k2")), "left_semi")
-    links = similar_links(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), heads.dropDuplicates(["doc_id", "d1", "d2"]))
-    found = components(links).select(F.col("id").alias("k"), "component_id")
+    similar = similar_components(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), heads.dropDuplicates(["doc_id", "d1", "d2"]))
+    found = similar.select(F.col("id").alias("k"), "component_id")
     named = classes.join(found, F.col("first") == F.col("k"), "left").select(
         F.col("d1").alias("k1"), F.col("d2").alias("k2"), F.coalesce("component_id", "first").alias("component"))
     matched = (F.col("d1") == F.col("k1")) & (F.col("d2") == F.col("k2")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
