@@ -31,7 +31,7 @@ WIDTH, PERCENT = 5, 75
 #: (depth, orders) of the forests; a pair of similarity s shares a region with chance 1 - (1 - s ** depth) ** orders.
 LEVELS = ((4, 32), (8, 128), (12, 448))
 #: Members outside a region's largest component up to which it is compared here and not deeper.
-CROWD = 512
+CROWD = 2048
 #: Rows and shingles of one side that a task compares at a time, about.
 PART_ROWS, PART_ITEMS = 2048, 1 << 20
 
