@@ -141,10 +141,11 @@ def _labelled(members: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _parted(members: DataFrame) -> DataFrame:
-    """(region, main, others, m_parts, x_parts) of regions that hold several components.
+    """(region, main, others, m_parts, x_parts) of regions that hold several components and more than two members.
 
-    ``main`` is the component with most members there, ``others`` counts the members outside of it. So many parts
-    keep what a task loads of the members, and of the others, within bounds.
+    Of two members, one is the leader, which the other has been compared with. ``main`` is the component with most
+    members there, ``others`` counts the members outside of it. So many parts keep what a task loads of the
+    members, and of the others, within bounds.
     """
     sizes = members.groupBy("region", "c").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"))
     best = sizes.groupBy("region").agg(
@@ -154,7 +155,7 @@ def _parted(members: DataFrame) -> DataFrame:
     def parts(rows, items):
         return F.greatest(F.ceil(rows / PART_ROWS), F.ceil(items / PART_ITEMS)).cast("int")
 
-    return best.where("parts > 1").select(
+    return best.where("parts > 1 AND total > 2").select(
         "region", F.col("best.c").alias("main"), others.alias("others"), parts(F.col("total"), F.col("items")).alias("m_parts"), parts(others, other_items).alias("x_parts"))
 
 
