@@ -27,7 +27,7 @@ from faqspark.llm.words import Words, mix, slices
 #: Counts up to this are discounted.
 DISCOUNTED = 5
 #: Token occurrences that a bucket holds, about; occurrences and documents of a block's batch.
-BUCKET_TOKENS, BATCH_TOKENS, BATCH_DOCS = 4_000_000, 3_000_000, 60_000
+BUCKET_TOKENS, BATCH_TOKENS, BATCH_DOCS = 2_500_000, 2_000_000, 60_000
 #: Words and pairs with at least this share of all tokens may be spread; so there are at most as many as its inverse.
 WORD_SHARE, PAIR_SHARE = 1 / 50_000, 1 / 1_000
 #: Codes that stand for the start and the end of a text.
@@ -281,11 +281,19 @@ def _scorer(spread: Spread, unigrams: Unigrams):
         del parts
         uid, doc, flag = (np.concatenate(x) for x in (uid, doc, flag))
         learn = flag >= 2
-        codes, first, which = np.unique(pair_code(history, token), return_index=True, return_inverse=True)
+        codes = pair_code(history, token)
+        order = np.argsort(codes, kind="stable")
+        codes, history, token, row, count = (x[order] for x in (codes, history, token, row, count))
+        del order
+        new = np.ones(len(codes), bool)
+        new[1:] = codes[1:] != codes[:-1]
+        first, which = np.flatnonzero(new), np.cumsum(new, dtype=np.int32) - np.int32(1)
+        codes = codes[first]
         seen = np.bincount(which, count * learn[row], len(codes)).astype(np.int64)
         at, common = spread._find(spread.pairs, codes)
         seen[common] = spread.pair_counts[at[common]]
         pair_history, pair_token = history[first], token[first]
+        del token
         at, there = Spread._find(words, pair_token)
         alone = np.where(there, word_counts[at] if len(words) else 0, 0)
         chance = unigrams.chance(alone)

@@ -16,6 +16,7 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, Window
 from tokenizers import Tokenizer
@@ -24,8 +25,8 @@ from faqspark.llm.store import Saved
 from faqspark.llm.words import Words, slices
 
 SEQUENCE, END_ID = 4096, 2
-#: Distinct words whose ids a worker remembers; beyond it starts anew.
-REMEMBERED = 400_000
+#: Distinct words whose ids a worker remembers (about 40 bytes each); beyond it starts anew.
+REMEMBERED = 2_000_000
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -56,8 +57,11 @@ class WordEncoder:
         self.known, self.low, self.size = known[order], low[order], size[order]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows one after the other, each row closed by the end id, and the bounds of the rows."""
-        words = Words(column, lower=False)
+        """Ids of all rows one after the other, each row closed by the end id, and the bounds of the rows.
+
+        The tokenizer lower-cases, but special tokens are told by their case; texts that may hold one keep theirs.
+        """
+        words = Words(column, lower=not pc.any(pc.match_substring(column, "<|")).as_py())
         distinct, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
         if len(self.known) > REMEMBERED:
             self._forget()
