@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from faqspark.runtime import prepare, spread
+from faqspark.runtime import prepare
 
 SALT = "fixture-salt"
 FIRST_FETCH = "2024-08-14T06:00:00Z"
@@ -20,8 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The text table, spread over all cores when it comes in few splits."""
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,16 +111,21 @@ def document_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors joined with the texts they stand for, in four collections."""
-    vectors = table(spark, sf_dir, "embeddings")
-    texts = documents(spark, sf_dir).select(F.col("doc_id").alias("vec_id"), "text")
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given vectors in four collections."""
     number = (F.col("vec_id") % 4).cast("string")
-    return vectors.join(texts, "vec_id").select(
+    return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").cast("string").alias("id"),
         F.concat(F.lit("faq_c"), number).alias("collection"),
-        F.concat(F.lit("Course "), number).alias("course"),
-        F.concat(F.lit("label-"), F.col("label").cast("string")).alias("section"),
+        F.col("label").alias("label"),
         F.col("embedding").alias("dense"),
+    )
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts in four collections, as points to embed."""
+    return documents(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.concat(F.lit("faq_c"), (F.col("doc_id") % 4).cast("string")).alias("collection"),
         "text",
     )

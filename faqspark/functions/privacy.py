@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from hashlib import sha256
 from operator import or_
 
 from pyspark.sql import Column, functions as F
@@ -69,7 +70,7 @@ def user_hash(user: Column, salt: str) -> Column:
     """
     key = salt.encode("utf-8")
     if len(key) > 64:
-        raise ValueError("the salt must have at most 64 bytes")
+        key = sha256(key).digest()
     key = key.ljust(64, b"\0")
     inner = bytearray(b ^ 0x36 for b in key)
     outer = bytearray(b ^ 0x5C for b in key)

@@ -23,9 +23,15 @@ def flatten_paragraph(elements: Column) -> Column:
     return strip(F.coalesce(F.array_join(runs, ""), F.lit("")))
 
 
+# Scripts written without blanks: every character is a token of its own.
+SINGLE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]"
+
+
 def tokens(text: Column) -> Column:
-    """Lower-case ASCII words and numbers."""
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda t: t != "")
+    """Lower-case words and numbers of any script, accents included."""
+    low = F.lower(text)
+    spaced = F.when(low.rlike(SINGLE), F.regexp_replace(low, f"({SINGLE})", " $1 ")).otherwise(low)
+    return F.filter(F.split(spaced, r"[^\p{L}\p{M}\p{N}]+"), lambda t: t != "")
 
 
 def token_codes(text: Column) -> Column:

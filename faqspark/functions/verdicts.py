@@ -29,10 +29,10 @@ TYPE_CUES = [
     ("resource", r"link|video|slides|docs|notebook|where can"),
 ]
 LANGUAGE_CUES = [
-    ("en", r"(^|[.!?\n] *)(how|what|why|when|where|which|who)[^a-z]"),
-    ("de", r"(^|[.!?\n] *)(wie|was|warum|wann|wo|welche|wer)[^a-z]"),
-    ("fr", r"(^|[.!?\n] *)(comment|quoi|pourquoi|quand|quel|quelle|qui|que)[^a-z]"),
-    ("es", r"(^|[.!?\n] *)(como|por que|cuando|donde|cual|quien|que)[^a-z]"),
+    ("en", r"(^|[.!?\n] *)(how|what|why|when|where|which|who)[^\p{L}]"),
+    ("de", r"(^|[.!?\n] *)(wie|was|warum|wann|wo|welche|wer)[^\p{L}]"),
+    ("fr", r"(^|[.!?\n] *)(comment|quoi|pourquoi|quand|quel|quelle|qui|que|où)[^\p{L}]"),
+    ("es", r"(^|[.!?\n] *)¿? *(c[oó]mo|por qu[eé]|cu[aá]ndo|d[oó]nde|cu[aá]l|qui[eé]n|qu[eé])[^\p{L}]"),
 ]
 
 VERDICT_FIELDS = VERDICT.names

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import sys
 import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from faqspark.functions import verdicts as V
 from faqspark.functions.text import strip
@@ -18,7 +19,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Classifier = Callable[[DataFrame, str], DataFrame]
 MAX_BATCH = 16
-WAITS = (1.0, 2.0, 4.0)
+# Waits before the second and the third attempt, in seconds.
+WAITS = (1.0, 2.0)
+log = logging.getLogger(__name__)
 
 
 def classify(df: DataFrame, text: str = "text", role: str | None = None) -> DataFrame:
@@ -33,13 +36,15 @@ def model_classifier(
 ) -> Classifier:
     """Wrap a model that maps an ordered list of texts to an ordered list of verdict dicts.
 
-    ``load`` runs once per Python worker and batches stream through. A call that fails is tried
-    again after each wait; one that never succeeds leaves no answer, which becomes the failure
-    record while all other rows go on.
+    ``load`` runs once per Python worker and batches stream through. A call that fails, or returns
+    another number of answers than it got texts, is logged and tried again after each wait: three
+    attempts by default. One that never succeeds leaves no answer, which becomes the failure
+    record while all other rows go on. The result has a column ``attempts`` beside ``verdict``.
     """
     names = VERDICT.names
+    answer_type = T.StructType([*VERDICT.fields, T.StructField("attempts", T.IntegerType())])
 
-    @F.pandas_udf(VERDICT)
+    @F.pandas_udf(answer_type)
     def call(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         predict = load()
         for column in columns:
@@ -47,25 +52,31 @@ def model_classifier(
             for start in range(0, len(texts), batch):
                 part = texts[start:start + batch]
                 answers: list[dict] = [{}] * len(part)
-                for wait in (0.0, *waits):
+                for attempt, wait in enumerate((0.0, *waits), 1):
                     time.sleep(wait)
                     began = time.monotonic()
                     try:
-                        answers = predict(part)
+                        got = predict(part)
+                        if len(got) != len(part):
+                            raise ValueError(f"{len(got)} answers to {len(part)} texts")
+                        answers = got
                         break
                     except Exception:
-                        continue
+                        log.warning("attempt %d of model %s failed", attempt, model, exc_info=True)
                 spent = int(1000 * (time.monotonic() - began) / max(1, len(part)))
                 rows += [
-                    {**dict.fromkeys(names), "llm_model": model, "latency_ms": spent, **a} if a else dict.fromkeys(names)
+                    {**dict.fromkeys(names), "attempts": attempt}
+                    | ({"llm_model": model, "latency_ms": spent, **a} if a else {})
                     for a in answers
                 ]
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=answer_type.names)
 
     def score(df: DataFrame, text: str) -> DataFrame:
-        answered = df.withColumn("verdict", call(F.col(text)))
-        present = F.when(F.col("verdict.llm_model").isNotNull(), F.col("verdict"))
-        return normalize(answered.withColumn("verdict", present), "verdict", model)
+        answered = df.withColumn("_answer", call(F.col(text)))
+        verdict = F.struct(*[F.col(f"_answer.{name}").alias(name) for name in names])
+        present = F.when(F.col("_answer.llm_model").isNotNull(), verdict)
+        counted = answered.withColumns({"verdict": present, "attempts": F.col("_answer.attempts")}).drop("_answer")
+        return normalize(counted, "verdict", model)
 
     return score
 

@@ -36,10 +36,14 @@ def enrich_messages(messages: DataFrame, courses: DataFrame, fetched_at: str | N
     return parse_messages(out).where(F.col("event_ts").isNotNull())
 
 
-def quarantine(messages: DataFrame) -> DataFrame:
-    """The rows ``enrich_messages`` drops, with the reason."""
-    return parse_messages(messages).where(F.col("event_ts").isNull()).withColumn(
-        "reason", F.when(F.coalesce(F.col("ts"), F.lit("")) == "", "missing ts").otherwise("bad ts")
+def quarantine(messages: DataFrame, courses: DataFrame) -> DataFrame:
+    """The rows ``enrich_messages`` drops, with the reason; ``course_id`` is null for an unknown channel."""
+    channels = courses.select("course_id", F.explode("channels").alias("channel_id"))
+    placed = parse_messages(messages.join(channels, "channel_id", "left"))
+    return placed.where(F.col("course_id").isNull() | F.col("event_ts").isNull()).withColumn(
+        "reason",
+        F.when(F.col("course_id").isNull(), "unknown channel")
+        .when(F.coalesce(F.col("ts"), F.lit("")) == "", "missing ts").otherwise("bad ts"),
     )
 
 
@@ -94,16 +98,14 @@ def ingest_counters(messages: DataFrame, courses: DataFrame) -> DataFrame:
 def partition_manifest(messages: DataFrame) -> DataFrame:
     """Message count and SHA-256 digest of each course and day.
 
-    Each line is hashed, the eight 32-bit words of the hashes are summed, and the sums are
+    Each line, all stored fields with null told from empty text, is hashed; the eight 32-bit words
+    of the hashes are summed as decimals, which hold any number of rows, and the sums are
     hashed. The result depends on every line but not on their order, so it is combined
-    map-side and no partition is ever gathered or sorted.
+    map-side and no partition is ever gathered or sorted. Call it with what was read back.
     """
-    line = F.concat_ws(
-        "\t", "channel_id", "ts", F.coalesce("thread_ts", F.lit("")),
-        F.coalesce("user_id", F.lit("")), F.coalesce("text", F.lit("")),
-    )
+    line = F.concat_ws("\t", *[F.coalesce(F.concat(F.lit("="), c), F.lit("~")) for c in RAW_MESSAGE.names])
     words = [
-        F.conv(F.substring("_h", 8 * i + 1, 8), 16, 10).cast("bigint").alias(f"_w{i}") for i in range(8)
+        F.conv(F.substring("_h", 8 * i + 1, 8), 16, 10).cast("decimal(28,0)").alias(f"_w{i}") for i in range(8)
     ]
     sums = (
         messages.select(*DAY, F.sha2(line, 256).alias("_h"))

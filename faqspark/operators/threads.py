@@ -95,6 +95,18 @@ def compact_threads(messages: DataFrame, same_day: bool = True, page: int = PAGE
     return packed.withColumn("answer_compact", F.array_join("answers", "\n"))
 
 
+def rebuilt_items(items: DataFrame, replies: DataFrame, touched: DataFrame, page: int = PAGE) -> DataFrame:
+    """Items (thread, part, ...) after a batch: the parts of touched threads anew, all others as they were.
+
+    ``replies`` are the merged ones of all threads. Parts that a thread no longer has go with its old rows.
+    """
+    theirs = replies.join(touched, THREAD, "left_semi")
+    packed = compact_replies(theirs, THREAD, "text", "event_ts", "ts", page)
+    times = theirs.groupBy(*THREAD).agg(F.min("first_seen").alias("created_at"), F.max("fetched_at").alias("updated_at"))
+    fresh = packed.withColumn("answer_compact", F.array_join("answers", "\n")).join(times, THREAD)
+    return items.join(touched, THREAD, "left_anti").unionByName(fresh.select(*items.columns))
+
+
 def preferred_answers(messages: DataFrame, page: int = PAGE) -> DataFrame:
     """First instructor reply of a thread if there is one, else all replies joined."""
     threaded = with_thread(messages).where("NOT is_head")

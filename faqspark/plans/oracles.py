@@ -40,7 +40,8 @@ def strip(expr: str) -> str:
 
 
 def words(expr: str) -> str:
-    return rf"list_filter(string_split_regex(lower({expr}), '[^a-z0-9]+'), lambda w: w <> '')"
+    spaced = rf"regexp_replace(lower({expr}), '([\p{{Han}}\p{{Hiragana}}\p{{Katakana}}])', ' \1 ', 'g')"
+    return rf"list_filter(string_split_regex({spaced}, '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda w: w <> '')"
 
 
 def title(expr: str) -> str:
@@ -179,8 +180,7 @@ TABLES = {
     "points_d": dense("points", "id"),
     "points_v": packed("points", "id"),
     "points_idf": idf("points"),
-    "x": """SELECT vec_id::VARCHAR AS id, 'faq_c' || (vec_id % 4) AS collection, label, embedding, text
-      FROM embeddings JOIN documents ON vec_id = doc_id""",
+    "x": "SELECT doc_id::VARCHAR AS id, 'faq_c' || (doc_id % 4) AS collection, text FROM documents",
     "x_s": sparse("x", "id"),
     "x_idf": idf("x"),
     "q": "SELECT item_id::VARCHAR AS query_id, text FROM benchmark",
@@ -265,9 +265,9 @@ def pages(source: str, key: str, page: int, answer: str = "text") -> str:
 VERDICT_COLUMNS = (
     "channel_id, ts, is_question, question_type, confidence, title, reason, llm_model, latency_ms"
 )
-MANIFEST_LINE = (
-    "concat_ws(chr(9), channel_id, ts, coalesce(thread_ts, ''), coalesce(user_id, ''), coalesce(text, ''))"
-)
+MANIFEST_LINE = "concat_ws(chr(9), " + ", ".join(
+    f"coalesce('=' || {c}, '~')" for c in ("channel_id", "ts", "thread_ts", "user_id", "role", "text", "fetched_at")
+) + ")"
 WORD_SUMS = ", ':', ".join(
     f"cast(sum(('0x' || substr(h, {8 * i + 1}, 8))::BIGINT) AS VARCHAR)" for i in range(8)
 )
@@ -318,13 +318,14 @@ ORACLES: dict[str, str] = {
              ELSE 'dimension mismatch' END AS status,
         coalesce(n, 0) AS points_count, coalesce(hi, 0) AS dense_dim, round(coalesce(terms, 0), 6) AS avg_terms
       FROM (VALUES ('faq_c0'), ('faq_c1'), ('faq_c2'), ('faq_c3'), ('faq_c9')) r(collection)
-      LEFT JOIN (SELECT collection, count(*) AS n, min(len(embedding)) AS lo, max(len(embedding)) AS hi,
+      LEFT JOIN (SELECT collection, count(*) AS n, 64 AS lo, 64 AS hi,
                    avg(coalesce(t, 0)) AS terms
                  FROM x LEFT JOIN (SELECT id, count(*) AS t FROM x_s GROUP BY id) USING (id)
                  GROUP BY collection) s USING (collection)"""),
     "quarantine": sql("""SELECT course_id, channel_id, ts, thread_ts, user_id,
         CASE WHEN coalesce(ts, '') = '' THEN 'missing ts' ELSE 'bad ts' END AS reason
-      FROM parsed WHERE event_ts IS NULL"""),
+      FROM parsed WHERE event_ts IS NULL AND channel_id <> 'C104'
+      UNION ALL SELECT NULL, channel_id, ts, thread_ts, user_id, 'unknown channel' FROM m WHERE channel_id = 'C104'"""),
     # projections and filters
     "parse_event_time": sql("""SELECT channel_id, ts, fetched_at, user_id,
         strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') AS event_time,
@@ -353,16 +354,18 @@ ORACLES: dict[str, str] = {
       LEFT JOIN (SELECT *, event_ts::DATE AS d FROM replies) r USING ({THREAD}, d)"""),
     "question_threads": sql(f"SELECT {THREAD}, ts, user_id FROM judged_heads WHERE is_question"),
     "memoized_verdicts": sql(f"""SELECT doc_id, sha256(text) || ':' || {lit(V.MODEL)} AS text_key, is_question,
-        question_type, confidence, title FROM ({verdicts('documents', role=None)})"""),
-    "stale_embeddings": sql("""SELECT id, CASE WHEN label % 3 = 1 THEN 'v0' END AS embed_version FROM x
-      WHERE label % 3 <> 0"""),
+        question_type, confidence, title FROM ({verdicts('clean', role=None)})""",
+        {"clean": f"SELECT * REPLACE ({scrub('text')} AS text) FROM documents"}),
+    "stale_embeddings": """SELECT vec_id::VARCHAR AS id, CASE WHEN label % 3 = 1 THEN 'v0' END AS embed_version
+      FROM embeddings WHERE label % 3 <> 0""",
     "golden_eval": sql(f"""SELECT *, round((tp + tn) / n, 6) AS accuracy,
         CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 6) END AS precision,
         CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 6) END AS recall
       FROM (SELECT count(*) AS n, count(*) FILTER (WHERE is_question AND quality = 1) AS tp,
           count(*) FILTER (WHERE is_question AND quality <> 1) AS fp, count(*) FILTER (WHERE NOT is_question AND quality = 1) AS fn,
           count(*) FILTER (WHERE NOT is_question AND quality <> 1) AS tn
-        FROM ({verdicts('documents', role=None)}) JOIN labels USING (doc_id))"""),
+        FROM ({verdicts('clean', role=None)}) JOIN labels USING (doc_id))""",
+        {"clean": f"SELECT * REPLACE ({scrub('text')} AS text) FROM documents"}),
     # aggregations
     "course_day_groups": sql(f"""SELECT {DAY}, floor((n - 1) / 20)::INTEGER AS page, count(*) AS n,
         string_agg(concat_ws('|', channel_id, ts, user_id), ',' ORDER BY s.n) AS messages
@@ -374,10 +377,10 @@ ORACLES: dict[str, str] = {
       LEFT JOIN (SELECT course_id, count(*) AS messages, count(*) FILTER (WHERE event_ts IS NULL) AS dropped,
           count(DISTINCT event_ts::DATE) AS files FROM parsed GROUP BY 1) USING (course_id)"""),
     "faq_counts": sql("SELECT course_id, count(*) AS n FROM chunks GROUP BY ROLLUP (course_id)"),
-    "compact_threads": sql(pages("same_day", THREAD, 2)),
+    "compact_threads": sql(pages("same_day", THREAD, 2, scrub("text"))),
     "preferred_answer": sql(f"""SELECT {THREAD}, 0 AS part,
-        arg_min(text, (event_ts, ts)) AS answer FROM replies WHERE role = 'assistant' GROUP BY ALL
-      UNION ALL SELECT {THREAD}, part, answer_compact FROM ({pages('rest', THREAD, 1000)})""",
+        arg_min({scrub("text")}, (event_ts, ts)) AS answer FROM replies WHERE role = 'assistant' GROUP BY ALL
+      UNION ALL SELECT {THREAD}, part, answer_compact FROM ({pages('rest', THREAD, 1000, scrub("text"))})""",
         {"rest": f"""SELECT * FROM replies r WHERE NOT EXISTS (SELECT 1 FROM replies a WHERE a.role = 'assistant'
           AND a.course_id = r.course_id AND a.channel_id = r.channel_id AND a.thread_key = r.thread_key)"""}),
     "verdict_metrics": sql(f"""SELECT course_id,
@@ -458,22 +461,30 @@ ORACLES: dict[str, str] = {
               INTERVAL 1 HOUR)) AS start FROM events) GROUP BY ALL""",
     "stream_thread_upsert": sql(f"""SELECT course_id || ':' || thread_key AS id, channel_id, part, reply_count,
         answer_compact, created_at, updated_at
-      FROM ({pages('replies', THREAD, 1000)}) JOIN (SELECT course_id, channel_id, coalesce(thread_ts, ts) AS thread_key,
+      FROM ({pages('replies', THREAD, 1000, scrub("text"))}) JOIN (SELECT course_id, channel_id, coalesce(thread_ts, ts) AS thread_key,
           min(fetched_at) AS created_at, max(fetched_at) AS updated_at FROM enriched GROUP BY ALL) USING ({THREAD})"""),
-    "reconcile_threads": sql(pages("replies", THREAD, 1000)),
-    "upsert_faq_items": sql(f"""SELECT {THREAD}, 0 AS part, count(*) AS reply_count, {lit(FIRST)} AS created_at,
-        max(last_seen) AS updated_at
-      FROM (SELECT course_id, channel_id, coalesce(thread_ts, ts) AS thread_key, ts, max(fetched_at) AS last_seen
-            FROM enriched WHERE coalesce(thread_ts, ts) <> ts GROUP BY ALL) GROUP BY {THREAD}"""),
+    "reconcile_threads": sql(pages("replies", THREAD, 1000, scrub("text"))),
+    "upsert_faq_items": sql(f"""SELECT {THREAD}, part, reply_count, answer_compact, created_at, updated_at
+      FROM ({pages('replies', THREAD, 2, scrub("text"))}) JOIN (SELECT course_id, channel_id,
+          coalesce(thread_ts, ts) AS thread_key, min(fetched_at) AS created_at, max(fetched_at) AS updated_at
+        FROM enriched WHERE coalesce(thread_ts, ts) <> ts GROUP BY ALL) USING ({THREAD})"""),
+    "model_verdicts": sql("""SELECT course_id, CASE WHEN failed THEN 'error:stub' ELSE 'stub' END AS llm_model,
+        count(*) AS total, count(*) FILTER (WHERE NOT failed) AS success, count(*) FILTER (WHERE tries > 1) AS retried,
+        count(*) FILTER (WHERE failed) AS failed, count(*) FILTER (WHERE asks AND NOT failed) AS questions
+      FROM (SELECT *, tries = 4 OR n % 7 = 0 AS failed FROM (
+        SELECT course_id, length(text) AS n, contains(text, '?') AS asks,
+          CASE WHEN length(text) % 7 = 0 THEN 3 WHEN length(text) % 3 = 0 THEN 3 WHEN length(text) % 5 = 0 THEN 2 ELSE 1 END AS tries
+        FROM (SELECT text, min(course_id) AS course_id FROM masked GROUP BY text)))
+      GROUP BY ALL"""),
     "faq_items": sql(f"""SELECT course_id || ':' || thread_key AS id, coalesce(part, 0) AS answer_part, course_id,
         thread_key AS thread_ts, strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, text AS question_text_redacted,
         original AS original_question_sha256, is_question, confidence AS llm_confidence, llm_model,
         title AS question_title, question_type, reason AS question_reason, coalesce(reply_count, 0) AS reply_count,
         coalesce(answers, '') AS answers_redacted, coalesce(answer_compact, '') AS answer_compact_redacted,
         user_hash, {lit(RUN_AT)} AS created_at, {lit(RUN_AT)} AS updated_at, 'token-hash' AS embed_model,
-        64 AS embed_dim, 'v1' AS embed_version, coalesce(round(l1, 6), 0) AS dense
-      FROM judged_heads LEFT JOIN (SELECT original, sum(abs(value::DOUBLE)) AS l1 FROM head_d GROUP BY 1)
-        USING (original) JOIN hashes USING (user_id) LEFT JOIN (
+        64 AS embed_dim, 'v1' AS embed_version, shown AS dense
+      FROM judged_heads JOIN (SELECT original, array_to_string(list_transform(v, lambda x: round(x * 1000)::INTEGER), ' ') AS shown
+          FROM head_v) USING (original) JOIN hashes USING (user_id) LEFT JOIN (
           SELECT {THREAD}, floor((n - 1) / 1000)::INTEGER AS part, max(total) AS reply_count,
             string_agg(answer, chr(10) ORDER BY n) AS answer_compact, string_agg(answer, '␞' ORDER BY n) AS answers
           FROM (SELECT *, {scrub('text')} AS answer,
@@ -481,8 +492,9 @@ ORACLES: dict[str, str] = {
                   count(*) OVER (PARTITION BY {THREAD}) AS total FROM same_day) GROUP BY ALL) USING ({THREAD})
       WHERE is_question""", {
           "hashes": "SELECT * FROM user_hashes",
-          "head_texts": "SELECT DISTINCT original, text FROM judged_heads",
-          "head_d": dense("head_texts", "original"),
+          "head": "SELECT DISTINCT original, text FROM judged_heads",
+          "head_d": dense("head", "original"),
+          "head_v": packed("head", "original"),
       }),
 }
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folder on the session's default filesystem where no checkpoint folder is set.
+DEFAULT_FOLDER = "/tmp/checkpoints"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on: every calendar day is a UTC day."""
@@ -14,18 +16,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _filesystem(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder of this machine.
+    Where it is unset, a folder on the session's default filesystem; on a cluster whose default is
+    the machines' own disks, that is refused.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
-        if not sc.master.startswith("local"):
+        path, filesystem = _filesystem(spark, DEFAULT_FOLDER)
+        if filesystem.getScheme() == "file" and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to storage shared by all executors")
-        folder = tempfile.mkdtemp(prefix="faqspark-")
-        sc.setCheckpointDir(folder)
+        folder = filesystem.makeQualified(path).toString()
     return folder.rstrip("/")
 
 
@@ -47,11 +55,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than the session has cores.
-
-    Meant for expensive per-row work on a few files with large row groups; ``key`` must be
-    unique or nearly so. Large inputs have more splits than that and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+def removed(copy: DataFrame) -> None:
+    """Delete the files of a stored copy that nothing reads any more."""
+    spark = copy.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in copy.inputFiles()}:
+        path, filesystem = _filesystem(spark, folder)
+        filesystem.delete(path, True)

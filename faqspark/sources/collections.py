@@ -86,17 +86,13 @@ def collection_info(points: DataFrame, requested: DataFrame, dim: int) -> DataFr
     )
 
 
-def merge_items(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """Upsert that keeps ``created_at`` of the old row and the newer ``updated_at``."""
-    o, n = old.alias("o"), new.alias("n")
-    on = [F.col(f"o.{c}") == F.col(f"n.{c}") for c in key]
-    known = F.col(f"n.{key[0]}").isNotNull()
-
-    def pick(name: str) -> Column:
-        if name == "created_at":
-            return F.coalesce("o.created_at", "n.created_at")
-        if name == "updated_at":
-            return F.greatest("o.updated_at", "n.updated_at")
-        return F.when(known, F.col(f"n.{name}")).otherwise(F.col(f"o.{name}"))
-
-    return o.join(n, on, "full_outer").select(*[pick(c).alias(c) for c in old.columns])
+def merge_replies(old: DataFrame, new: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Replies (key, ts, text, event_ts, fetched_at, first_seen) after a batch, and the keys it touched.
+
+    A reply is kept once per ``key`` and ``ts``: its latest fetch, and when it was first seen. A batch may hold only
+    part of a conversation, or rows that are known already; replaying one changes nothing.
+    """
+    both = old.unionByName(new.withColumn("first_seen", F.col("fetched_at")))
+    seen = both.groupBy(*key, "ts").agg(F.min("first_seen").alias("first_seen"))
+    latest = latest_by_key(both.drop("first_seen"), [*key, "ts"], ["fetched_at", "text"])
+    return latest.join(seen, [*key, "ts"]).select(*old.columns), new.select(*key).distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -84,18 +85,25 @@ def read_window(
 def read_raw_exports(spark: SparkSession, root: str) -> DataFrame:
     """Raw files ``<course>/year=/month=/day=/<date>.json``, each a JSON array or JSON lines.
 
-    The course directory may lack ``course_id=``, so the course comes from the file path.
-    An array file is one record to the reader; producers must keep files of a size one task
-    can parse, which the day layout of the exports gives.
+    Lines are read with the splittable text reader; a line holds one record or a whole array. Files
+    whose array runs over several lines are told by a line that opens an array and does not
+    close it, and are parsed whole, so a producer must keep those to what one task can hold. The
+    course directory may lack ``course_id=``, so the course comes from the decoded file path.
     """
-    rows = (
-        spark.read.schema(RAW_MESSAGE)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .json(root)
-    )
-    course = F.regexp_extract("_metadata.file_path", r"/(?:course_id=)?([^/]+)/year=[0-9]+/month=[0-9]+/day=[0-9]+/", 1)
-    return rows.select("*", course.alias("course_id"))
+    reader = spark.read.option("recursiveFileLookup", True)
+    lines = reader.text(root).select(F.trim("value").alias("value"), F.col("_metadata.file_path").alias("path"))
+    opened = lines.where("startswith(value, '[') AND NOT endswith(value, ']')").select("path").distinct()
+    whole = [row["path"] for row in opened.collect()]
+    single = lines.where(~F.col("path").isin(whole)) if whole else lines
+    records = single.where("value != ''").select(
+        F.explode(F.from_json("value", T.ArrayType(RAW_MESSAGE))).alias("m"), "path"
+    ).select("m.*", "path")
+    if whole:
+        arrays = reader.schema(RAW_MESSAGE).option("multiLine", True).json([unquote(path) for path in whole])
+        records = records.unionByName(arrays.select("*", F.col("_metadata.file_path").alias("path")))
+    course = F.regexp_extract("path", r"/(?:course_id=)?([^/]+)/year=[0-9]+/month=[0-9]+/day=[0-9]+/", 1)
+    decoded = F.url_decode(F.replace(course, F.lit("+"), F.lit("%2B")))
+    return records.select(*RAW_MESSAGE.names, decoded.alias("course_id"))
 
 
 def read_permissive(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

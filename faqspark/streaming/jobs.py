@@ -7,15 +7,21 @@ batch that runs twice after a failure counts once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from faqspark.operators.ingest import DAY, dedupe_messages, enrich_messages
 from faqspark.operators.threads import THREAD, compact_threads, with_thread
+from faqspark.functions.privacy import scrub_pii
 from faqspark.functions.text import thread_id
 from faqspark.schemas import RAW_MESSAGE
 from faqspark.sources.collections import latest_by_key
 
+# Fixed value: storage buckets of the thread store.
+THREAD_BUCKETS = 64
+
 
 def message_stream(spark: SparkSession, root: str, files_per_trigger: int | None = None) -> DataFrame:
     """Raw messages as JSON lines arriving in a folder."""
@@ -26,13 +32,15 @@ def message_stream(spark: SparkSession, root: str, files_per_trigger: int | None
 
 
 def start_ingest(
-    stream: DataFrame, courses: DataFrame, root: str, checkpoint: str, files_per_day: int = 8
+    stream: DataFrame, courses: DataFrame, root: str, checkpoint: str, files_per_day: int | None = None
 ) -> StreamingQuery:
     """Enriched messages into course and day partitions; the file sink's log makes it exactly once.
 
     Rows are gathered by day, but salted, so that a busy day is written by ``files_per_day``
-    tasks per trigger and the quiet ones leave no crowd of small files.
+    tasks per trigger (by default as many as the session has cores) and the quiet ones leave no
+    crowd of small files.
     """
+    files_per_day = files_per_day or stream.sparkSession.sparkContext.defaultParallelism
     enriched = enrich_messages(stream, courses).drop("event_ts")
     salt = F.pmod(F.xxhash64("channel_id", "ts"), F.lit(files_per_day))
     return (
@@ -102,24 +110,53 @@ def rolling_from_panes(panes: DataFrame, keys: list[str], hours: int = 24) -> Da
     )
 
 
+def merge_threads(root: str) -> Callable[[DataFrame, int], None]:
+    """The merge of enriched messages into stored threads.
+
+    A micro-batch adds its messages to the message store and writes the rows of the threads it touched anew, from
+    all messages of those threads; other threads are neither rebuilt nor rewritten. Buckets of the message store keep the
+    look-up to part of it. Directories are named by micro-batch and replaced on a replay.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        threaded = with_thread(batch).withColumn("bucket", _thread_bucket())
+        threaded.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/messages/batch={number:012d}")
+        messages = spark.read.option("basePath", f"{root}/messages").parquet(f"{root}/messages").where(F.col("batch") <= number)
+        touched = messages.where(F.col("batch") == number).select("bucket", *THREAD).distinct()
+        theirs = dedupe_messages(messages.join(touched, ["bucket", *THREAD], "left_semi"))
+        seen = messages.join(touched, ["bucket", *THREAD], "left_semi").groupBy(*THREAD).agg(
+            F.min("fetched_at").alias("created_at"), F.max("fetched_at").alias("updated_at")
+        )
+        packed = compact_threads(theirs.withColumn("text", scrub_pii(F.col("text"))), same_day=False)
+        packed.join(seen, THREAD).write.mode("overwrite").parquet(f"{root}/threads/batch={number:012d}")
+
+    return merge
+
+
 def start_thread_updates(stream: DataFrame, courses: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Append each micro-batch's messages to the thread store; late replies need no rewrite."""
+    """Late replies into the threads they belong to, by ``merge_threads``."""
     return (
-        enrich_messages(stream, courses)
-        .writeStream.foreachBatch(_store_batches(root)).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
+        enrich_messages(stream, courses).writeStream.foreachBatch(merge_threads(root))
+        .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     )
 
 
+def _thread_bucket() -> Column:
+    """Storage bucket of a thread."""
+    return F.pmod(F.xxhash64(*THREAD), F.lit(THREAD_BUCKETS)).cast("int")
+
+
 def read_threads(spark: SparkSession, root: str) -> DataFrame:
-    """Current thread rows over all stored batches.
+    """Current thread rows: of each thread those of the last micro-batch that touched it.
 
     A message seen twice counts once. ``created_at`` is the first fetch that brought anything
     of the thread and ``updated_at`` the last, so replaying a batch changes nothing.
     """
-    stored = spark.read.option("basePath", root).parquet(root)
-    times = with_thread(stored).groupBy(*THREAD).agg(
-        F.min("fetched_at").alias("created_at"), F.max("fetched_at").alias("updated_at")
-    )
-    packed = compact_threads(dedupe_messages(stored), same_day=False)
-    return packed.join(times, THREAD).withColumn("id", thread_id(F.col("course_id"), F.col("thread_key")))
+    kept = spark.read.option("basePath", f"{root}/threads").parquet(f"{root}/threads")
+    last = kept.groupBy(*[F.col(c).alias(f"_{c}") for c in THREAD]).agg(F.max("batch").alias("_batch"))
+    same = [F.col(c) == F.col(f"_{c}") for c in [*THREAD, "batch"]]
+    current = kept.join(last, same, "left_semi").drop("batch")
+    return current.withColumn("id", thread_id(F.col("course_id"), F.col("thread_key")))

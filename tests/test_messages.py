@@ -107,10 +107,10 @@ def test_enrich_and_quarantine_split_the_input(spark):
     rows = [message("1.0"), message("bad"), message(""), message(None)]
     courses = fx.courses(spark)
     good = ingest.enrich_messages(raw(spark, rows), courses, "run")
-    bad = ingest.quarantine(raw(spark, rows))
+    bad = ingest.quarantine(raw(spark, rows + [("C999", *message("2.0")[1:])]), courses)
     assert [(r["ts"], r["course_id"], r["fetched_at"]) for r in good.collect()] == [("1.0", "course-0", "run")]
     assert sorted((r["ts"] or "", r["reason"]) for r in bad.collect()) == [
-        ("", "missing ts"), ("", "missing ts"), ("bad", "bad ts")
+        ("", "missing ts"), ("", "missing ts"), ("2.0", "unknown channel"), ("bad", "bad ts")
     ]
 
 
@@ -195,14 +195,19 @@ def test_window_scan_prunes_partitions(spark):
 
 
 def test_raw_exports_read_arrays_and_lines(spark, tmp_path):
-    folder = tmp_path / "raw" / "course-9" / "year=2024" / "month=08" / "day=13"
-    folder.mkdir(parents=True)
-    both = [{"ts": "1.0", "text": "é", "extra": 1}, {"ts": "2.0", "text": "b"}]
-    (folder / "2024-08-13.json").write_text(json.dumps(both, ensure_ascii=False), encoding="utf-8")
+    both = [{"ts": "1.0", "text": "é", "extra": 1}, {"ts": "2.0", "text": "b"}, {"ts": "3.0", "text": "[c]"}]
+    forms = {
+        "course-9": json.dumps(both, ensure_ascii=False), "ml course+1": json.dumps(both, indent=2, ensure_ascii=False),
+        "course_id=c 3": "\n".join(json.dumps(r, ensure_ascii=False) for r in both) + "\n\n",
+    }
+    for course, body in forms.items():
+        folder = tmp_path / "raw" / course / "year=2024" / "month=08" / "day=13"
+        folder.mkdir(parents=True)
+        (folder / "2024-08-13.json").write_text(body, encoding="utf-8")
     rows = msgs.read_raw_exports(spark, str(tmp_path / "raw")).collect()
-    assert sorted((r["course_id"], r["ts"], r["text"]) for r in rows) == [
-        ("course-9", "1.0", "é"), ("course-9", "2.0", "b")
-    ]
+    assert sorted((r["course_id"], r["ts"], r["text"]) for r in rows) == sorted(
+        (course.removeprefix("course_id="), r["ts"], r["text"]) for course in forms for r in both
+    )
 
 
 def test_unreadable_lines_are_kept_apart(spark, tmp_path):
@@ -224,6 +229,15 @@ def test_manifest_depends_on_content_not_order(spark):
     changed = rows[:-1] + [message(f"{BASE + 49}", text="other")]
     assert digest(changed)["digest"] != one["digest"]
     assert digest(rows + rows[:1])["digest"] != one["digest"]
+    for place, value in ((4, "system"), (6, "later"), (2, "")):
+        other = (*rows[0][:place], value, *rows[0][place + 1:])
+        assert digest([other, *rows[1:]])["digest"] != one["digest"]
+
+
+def test_manifest_sums_hold_any_number_of_rows(spark):
+    """Sums of 32-bit words as decimals stay exact far beyond 64 bits."""
+    words = spark.range(4).select(F.lit(2**62).cast("decimal(28,0)").alias("w"))
+    assert int(words.agg(F.sum("w")).first()[0]) == 2**64
 
 
 def test_silent_channels_count(spark):

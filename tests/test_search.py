@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from datetime import datetime
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from faqspark import fixtures as fx
-from faqspark.operators import canonical, embedding, faq_documents, retrieval
+from faqspark.operators import canonical, embedding, faq_documents, retrieval, similar_sets, threads
 from faqspark.plans.faq_index import build_points, index_documents
 from faqspark.runtime import scratch_path
 from faqspark.schemas import FAQ_CHUNK
@@ -141,14 +142,22 @@ def test_replacing_a_document_drops_its_old_points(spark):
     assert sorted(r["id"] for r in store.replace_documents(old, new).collect()) == ["w", "z"]
 
 
-def test_merge_items_keeps_creation_time(spark):
-    schema = "id string, n int, created_at string, updated_at string"
-    old = spark.createDataFrame([("a", 1, "d1", "d1"), ("b", 1, "d1", "d1")], schema)
-    new = spark.createDataFrame([("b", 2, "d2", "d2"), ("c", 2, "d2", "d2")], schema)
-    once = store.merge_items(old, new, ["id"])
-    want = [("a", 1, "d1", "d1"), ("b", 2, "d1", "d2"), ("c", 2, "d2", "d2")]
-    assert sorted(map(tuple, once.collect())) == want
-    assert sorted(map(tuple, store.merge_items(once, new, ["id"]).collect())) == want
+def test_late_replies_alone_extend_a_stored_thread(spark):
+    """A batch with one late reply keeps the replies stored before and moves the parts that follow."""
+    key = ["course_id", "channel_id", "thread_key"]
+    shape = "course_id string, channel_id string, thread_key string, ts string, event_ts timestamp, text string, fetched_at string"
+
+    def replies(rows):
+        return spark.createDataFrame([("c", "C1", t, ts, datetime(2024, 8, 1, 0, 0, int(ts)), f"r{ts}", f) for t, ts, f in rows], shape)
+
+    kept = replies([]).withColumn("first_seen", F.col("fetched_at"))
+    items = spark.createDataFrame(
+        [], "course_id string, channel_id string, thread_key string, part int, reply_count long, answer_compact string, created_at string, updated_at string")
+    for batch in ([("a", "5", "d1"), ("a", "7", "d1"), ("b", "9", "d1")], [("a", "2", "d2")], [("a", "2", "d2")]):
+        kept, touched = store.merge_replies(kept, replies(batch), key)
+        items = threads.rebuilt_items(items, kept, touched, page=2)
+    got = sorted((r["thread_key"], r["part"], r["reply_count"], r["answer_compact"], r["created_at"], r["updated_at"]) for r in items.collect())
+    assert got == [("a", 0, 3, "r2\nr5", "d1", "d2"), ("a", 1, 3, "r7", "d1", "d2"), ("b", 0, 1, "r9", "d1", "d1")]
 
 
 # --- retrieval -----------------------------------------------------------------------------
@@ -318,7 +327,7 @@ def test_connected_components(spark, shape):
         "random": [(rng.randrange(120), rng.randrange(120)) for _ in range(90)],
     }[shape]
     links = [(a, b) for a, b in links if a != b]
-    got = canonical.connected_components(spark.createDataFrame(links, "id long, leader long"))
+    got = similar_sets.connected_components(spark.createDataFrame(links, "id long, leader long"))
     assert {r["id"]: r["label"] for r in got.collect()} == plain_components(links)
 
 
@@ -335,6 +344,29 @@ def test_hot_group_gives_one_link_per_member(spark):
     assert all(r["group_size"] == 1 for r in groups if r["doc_id"] >= 100)
     from faqspark.functions.text import token_set
 
-    sets = df.select(F.col("doc_id").alias("id"), token_set(F.col("text")).alias("codes"))
-    stars = canonical._stars(sets, canonical.LEVELS).where("id < 100").count()
-    assert stars <= 100 * sum(number for _, number in canonical.LEVELS) / 4
+    sets = df.select(F.col("doc_id").alias("id"), token_set(F.col("text")).alias("codes")).dropDuplicates(["codes"])
+    prefixes = similar_sets.rare_tokens(sets, 0.6)
+    assert prefixes.groupBy("id").count().agg({"count": "max"}).first()[0] <= 40 - 24 + 1
+    assert similar_sets._leader_pairs(prefixes).count() <= prefixes.count()
+
+
+@pytest.mark.parametrize("n", [300, 2500])
+def test_crowded_short_texts_lose_no_pair(spark, n):
+    """Twelve words out of 45: every bucket is crowded with unlike texts."""
+    rng = random.Random(n)
+    texts = [frozenset(rng.sample(range(45), 12)) for _ in range(n)]
+    df = spark.createDataFrame([(k, " ".join(f"w{x}" for x in t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    masks = np.array([sum(1 << x for x in t) for t in texts], np.uint64)
+    links = [(k, k) for k in range(n)]
+    for k in range(n):
+        common = np.bitwise_count(masks[:k] & masks[k])
+        links += [(k, int(x)) for x in np.flatnonzero(common >= 0.6 * (24 - common.astype(float)) - 1e-9)]
+    got = {r["doc_id"]: r["canonical"] for r in canonical.canonical_groups(df, "doc_id", "text").collect()}
+    assert got == plain_components(links)
+
+
+def test_groups_in_other_scripts(spark):
+    texts = ["Привет как дела сегодня", "Привет как дела", "如何安装软件包", "如何安装软件", "Größe ändern wie", "…", "—"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["canonical"] for r in canonical.canonical_groups(df, "doc_id", "text").collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 5, 6: 6}

@@ -89,7 +89,7 @@ def test_late_reply_updates_its_thread(spark):
 
 def test_replayed_batch_changes_nothing(spark, sf):
     root = scratch_path(spark, "out")
-    store = jobs._store_batches(root)
+    store = jobs.merge_threads(root)
     enriched = ingest.enrich_messages(fx.messages(spark, sf), fx.courses(spark))
     store(enriched, 0)
     once = sorted(map(str, jobs.read_threads(spark, root).collect()))
