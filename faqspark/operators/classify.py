@@ -61,8 +61,8 @@ def model_classifier(
                             raise ValueError(f"{len(got)} answers to {len(part)} texts")
                         answers = got
                         break
-                    except Exception:
-                        log.warning("attempt %d of model %s failed", attempt, model, exc_info=True)
+                    except Exception as failure:
+                        log.warning("attempt %d of model %s failed: %r", attempt, model, failure)
                 spent = int(1000 * (time.monotonic() - began) / max(1, len(part)))
                 rows += [
                     {**dict.fromkeys(names), "attempts": attempt}

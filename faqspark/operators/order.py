@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from faqspark.runtime import stored
+
 PAGE = 1000
 
 
@@ -20,10 +22,11 @@ def with_position(
     Of messages, a slice of one minute is bounded whatever their number: after de-duplication
     a channel has at most one message per microsecond.
 
-    The exchange is spelled out because rows that arrive partitioned by the group alone, say
+    The input is written once: counting the slices and ranking inside them read the same stored rows, so
+    whatever produced them runs once. The exchange is spelled out because rows that arrive partitioned by the group alone, say
     from a join, would pass as clustered by (group, slice) and stay in one task.
     """
-    sliced = df.withColumn("_slice", slice_by).repartition(*group, "_slice")
+    sliced = stored(df.withColumn("_slice", slice_by), "slices").repartition(*group, "_slice")
     sizes = sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_n"))
     whole = Window.partitionBy(*group)
     before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

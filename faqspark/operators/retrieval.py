@@ -152,6 +152,8 @@ def _candidates(points: DataFrame, block: QueryBlock, depth: int) -> DataFrame:
         )
 
     columns = ["id", *kinds, *(["scope"] if block.scopes is not None else [])]
+    if block.scopes is not None:
+        points = points.where(F.col("scope").isin(sorted(set(block.scopes))))
     return points.select(*columns).mapInArrow(search, CANDIDATE)
 
 
@@ -180,13 +182,11 @@ def _blocks(queries: DataFrame, kinds: list[str], stats: DataFrame | None) -> It
     if "sparse" in kinds:
         packed = packed.join(_weighted_queries(queries, stats), "query_id", "left")
         size[1] = F.sum(F.size("sparse.indices")).alias("terms")
+    packed = stored(packed, "queries")
     total = queries.agg(*size).first()
     n_blocks = max(1, ceil(total["n"] / QUERY_BLOCK), ceil((total["terms"] or 0) / TERM_BLOCK))
     for number in range(n_blocks):
-        part = packed if n_blocks == 1 else packed.where(
-            F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == number
-        )
-        rows = part.collect()
+        rows = packed.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == number).collect()
         block = QueryBlock(
             ids=[r["query_id"] for r in rows],
             scopes=np.array([r["scope"] for r in rows], object) if "scope" in wanted else None,
@@ -212,11 +212,8 @@ def top_k(
     """
     if kind == "sparse" and stats is None:
         stats = term_stats(points)
-    parts = [
-        _ranked(_candidates(points, block, depth), depth).select("query_id", "rank", "id", "score")
-        for block in _blocks(queries, [kind], stats)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    found = [_candidates(points, block, depth) for block in _blocks(queries, [kind], stats)]
+    return _ranked(reduce(DataFrame.unionByName, found), depth).select("query_id", "rank", "id", "score")
 
 
 def _fused(candidates: DataFrame, limit: int, depth: int, k: int) -> DataFrame:
@@ -239,23 +236,21 @@ def hybrid_search(
     candidate lists are cut. ``stats`` are the ``term_stats`` of the whole collection. Vectors
     never reach the result.
 
-    The hits, at most about ``QUERY_BLOCK * limit`` rows per block, are written out, so that the
-    corpus is scored once; the payload is then fetched by a join that may safely broadcast them.
-    Where points are stored by ``bucket``, their buckets prune the partitions that are read.
+    The blocks' candidates are merged in one job and the hits written out, so that the corpus is scored
+    once per block; the payload is then fetched by a join that the optimizer broadcasts if the hits are
+    small. Where points are stored by ``bucket``, their buckets prune the partitions that are read.
     """
     stats = term_stats(points) if stats is None else stats
     depth = limit * multiplier
     where = [c for c in ("bucket",) if c in points.columns]
-    parts = []
-    for block in _blocks(queries, ["dense", "sparse"], stats):
-        hits = _fused(_candidates(points, block, depth), limit, depth, k)
-        if where:
-            hits = hits.withColumn("bucket", bucket_of(F.col("id")))
-        # The filter is always true; partition pruning at run time asks for one on this side.
-        hits = stored(hits, "hits").where(F.col("rank") <= limit)
-        found = points.select("id", "payload", *where).join(F.broadcast(hits), ["id", *where])
-        parts.append(found.select("query_id", "rank", "id", "score", "payload"))
-    return reduce(DataFrame.unionByName, parts)
+    found = [_candidates(points, block, depth) for block in _blocks(queries, ["dense", "sparse"], stats)]
+    hits = _fused(reduce(DataFrame.unionByName, found), limit, depth, k)
+    if where:
+        hits = hits.withColumn("bucket", bucket_of(F.col("id")))
+    # The filter is always true; partition pruning at run time asks for one on this side.
+    hits = stored(hits, "hits").where(F.col("rank") <= limit)
+    shown = points.select("id", "payload", *where).join(hits, ["id", *where])
+    return shown.select("query_id", "rank", "id", "score", "payload")
 
 
 def search_by_course(points: DataFrame, queries: DataFrame, course: str, **options) -> DataFrame:

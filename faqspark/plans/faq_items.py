@@ -17,24 +17,30 @@ from faqspark.operators.threads import THREAD, attach_replies, compact_replies,
 from faqspark.runtime import stored
 
 
-def question_heads(messages: DataFrame, text: str = "text") -> DataFrame:
-    """Thread heads that ask something. Texts are masked before the model sees them."""
-    heads = with_thread(messages).where("is_head").withColumn("question_text_redacted", scrub_pii(F.col(text)))
+def question_heads(messages: DataFrame, text: str = "text", all_messages: bool = False) -> DataFrame:
+    """Thread heads that ask something. Texts are masked before the model sees them.
+
+    With ``all_messages`` replies are judged too; one that asks heads a thread of its own.
+    """
+    threaded = with_thread(messages)
+    asking = threaded.withColumn("thread_key", F.col("ts")) if all_messages else threaded.where("is_head")
+    heads = asking.withColumn("question_text_redacted", scrub_pii(F.col(text)))
     return classify(heads, "question_text_redacted", "role").where("verdict.is_question")
 
 
 def build_faq_items(
-    messages: DataFrame, courses: DataFrame, salt: str, run_at: str, same_day: bool = True, page: int = PAGE
+    messages: DataFrame, courses: DataFrame, salt: str, run_at: str, same_day: bool = True, page: int = PAGE,
+    all_messages: bool = False,
 ) -> DataFrame:
     """FAQ items keyed by ``id`` and ``answer_part``.
 
-    Question heads and their replies are each written once to shared storage:
+    The de-duplicated messages, the question heads and their replies are each written once to shared storage:
     a model behind ``classify`` is then never called twice for a row, and the count and the
     rank of replies read the same stored rows. Replies are masked only after the join has left
     those of question threads.
     """
-    kept = enrich_messages(dedupe_messages(messages), courses)
-    asked = question_heads(kept).select(
+    kept = stored(enrich_messages(dedupe_messages(messages), courses), "messages")
+    asked = question_heads(kept, all_messages=all_messages).select(
         *THREAD, "event_ts", "user_id", F.sha2("text", 256).alias("original_question_sha256"),
         "question_text_redacted", "verdict",
     )

@@ -161,15 +161,17 @@ def doc_blocks(spark, sf):
 
 @query
 def upsert_points(spark, sf):
-    """Two batches: all chunks, then new versions of two courses and one new point per chunk."""
-    first = faq_documents.last_per_id(faq_documents.with_point_id(_chunks(spark, sf))).select(
-        "collection", "id", "question", F.lit(1).alias("version")
-    )
+    """Two stored batches: all chunks, then new versions of two courses and one new point per chunk."""
+    root = scratch_path(spark, "points")
+    vector = F.array(F.length("question").cast("float"), F.lit(1.0).cast("float"))
+    first = stored(faq_documents.last_per_id(faq_documents.with_point_id(_chunks(spark, sf))).select(
+        "collection", "id", "question", F.lit(1).alias("version"), vector.alias("dense")
+    ), "first-points")
     again = first.where("collection IN ('faq_c1', 'faq_c3')").withColumn("version", F.lit(2))
-    added = first.select(
-        "collection", F.concat(F.lit("new_"), "id").alias("id"), "question", F.lit(2).alias("version")
-    )
-    return store.upsert(first, again.unionByName(added))
+    added = first.withColumns({"id": F.concat(F.lit("new_"), "id"), "version": F.lit(2)})
+    store.write_batch(first, root, 0, 2)
+    store.write_batch(again.unionByName(added), root, 1, 2)
+    return store.read_points(spark, root).select("collection", "id", "question", "version")
 
 
 @query
@@ -177,7 +179,12 @@ def collection_info(spark, sf):
     requested = spark.sql(
         "SELECT * FROM VALUES ('faq_c0'), ('faq_c1'), ('faq_c2'), ('faq_c3'), ('faq_c9') AS t(collection)"
     )
-    info = store.collection_info(_corpus(spark, sf), requested, 64)
+    root, folded = scratch_path(spark, "points"), scratch_path(spark, "points")
+    points = _corpus(spark, sf)
+    store.write_batch(points, root, 0, 64)
+    store.write_batch(points.where("collection = 'faq_c2'"), root, 1, 64)
+    store.compact(spark, root, folded, 64)
+    info = store.collection_info(store.read_points(spark, folded, single_batch=True), requested, 64)
     return info.withColumn("avg_terms", F.round("avg_terms", 6))
 
 
@@ -246,13 +253,14 @@ def hybrid_by_course(spark, sf):
 
 @query
 def hybrid_by_section(spark, sf):
-    """Search inside the section with most chunks."""
+    """Search inside the section with most chunks; without any section there are no hits."""
     points, stats = _index(spark, sf)
     biggest = (
         points.where("payload.section != ''").groupBy(F.col("payload.section").alias("section"))
-        .count().orderBy(F.desc("count"), "section").first()["section"]
+        .count().orderBy(F.desc("count"), "section").limit(1).select("section")
     )
-    return _hits(retrieval.search(points, _questions(spark, sf), section=biggest, stats=stats))
+    inside = points.join(biggest, F.col("payload.section") == F.col("section"), "left_semi")
+    return _hits(retrieval.search(inside, _questions(spark, sf), stats=stats))
 
 
 @query
@@ -285,7 +293,7 @@ def thread_messages(spark, sf):
 
 @query
 def same_day_replies(spark, sf):
-    threaded = threads.with_thread(_stored(spark, sf))
+    threaded = threads.with_thread(stored(_stored(spark, sf), "messages"))
     heads = threaded.where("is_head").select(*threads.THREAD, "event_ts")
     replies = threaded.where("NOT is_head")
     return threads.attach_replies(heads, replies, keep_unanswered=True).select(
@@ -295,8 +303,9 @@ def same_day_replies(spark, sf):
 
 @query
 def question_threads(spark, sf):
-    heads = _heads(spark, sf)
-    asked = question_heads(_stored(spark, sf)).select(*threads.THREAD, "verdict.is_question")
+    kept = stored(_stored(spark, sf), "messages")
+    heads = threads.with_thread(kept).where("is_head")
+    asked = question_heads(kept).select(*threads.THREAD, "verdict.is_question")
     return threads.question_threads(heads, asked).select(*threads.THREAD, "ts", "user_id")
 
 
@@ -360,12 +369,12 @@ def _compacted(packed: DataFrame) -> DataFrame:
 
 @query
 def compact_threads(spark, sf):
-    return _compacted(threads.compact_threads(_masked(spark, sf), page=2))
+    return _compacted(threads.compact_threads(stored(_masked(spark, sf), "messages"), page=2))
 
 
 @query
 def preferred_answer(spark, sf):
-    return threads.preferred_answers(_masked(spark, sf)).select(*threads.THREAD, "part", "answer")
+    return threads.preferred_answers(stored(_masked(spark, sf), "messages")).select(*threads.THREAD, "part", "answer")
 
 
 @query

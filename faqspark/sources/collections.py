@@ -47,11 +47,19 @@ def write_batch(points: DataFrame, root: str, batch: int, dim: int) -> None:
 
 
 def read_points(spark: SparkSession, root: str, single_batch: bool = False) -> DataFrame:
-    """Current points. With a single (or compacted) batch the keys are unique already."""
+    """Current points. With a single (or compacted) batch the keys are unique already.
+
+    Keys and batch numbers alone tell which rows a later batch has replaced; they are few, and leaving
+    them out by an anti join moves no vector as long as they can be broadcast.
+    """
     kept = spark.read.option("basePath", root).parquet(root)
     if single_batch:
         return kept.drop("batch")
-    return latest_by_key(kept, ["collection", "id"], ["batch"]).drop("batch")
+    last = kept.groupBy(F.col("collection").alias("_collection"), F.col("id").alias("_id")).agg(
+        F.max("batch").alias("_last"), F.count("*").alias("_n")
+    ).where("_n > 1")
+    replaced = (F.col("collection") == F.col("_collection")) & (F.col("id") == F.col("_id")) & (F.col("batch") < F.col("_last"))
+    return kept.join(last, replaced, "left_anti").drop("batch")
 
 
 def compact(spark: SparkSession, root: str, target: str, dim: int) -> None:
