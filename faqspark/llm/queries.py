@@ -105,7 +105,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR n_symbols * 10 > n_words OR n_marks * 5 > n_words
        OR n_capitals * 10 > word_chars * 3 OR word_chars < 2 * n_words OR word_chars > 12 * n_words
-       OR (n_lines - n_own_lines) * 100 > n_lines * 30) AS kept
+       OR (n_lines - n_own_lines) * 100 > n_lines * 50) AS kept
 FROM f"""
 
 _OP5 = rf"""

@@ -134,7 +134,7 @@ RULES = (
     Rule("exclamations", lambda t: t.count("!") * 5 > t.n_words),
     Rule("capitals", lambda t: t.count(CAPITALS) * 10 > t.word_chars * 3),
     Rule("word_length", lambda t: ~t.word_chars.between(t.n_words * 2, t.n_words * 12)),
-    Rule("repeated_lines", lambda t: t.repeated_lines(30)),
+    Rule("repeated_lines", lambda t: t.repeated_lines(50)),
 )
 
 
