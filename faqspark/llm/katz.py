@@ -165,7 +165,9 @@ def _unpacked(data: bytes, kinds: list) -> list[np.ndarray]:
     return [np.frombuffer(data[a:b], k) for a, b, k in zip(bounds, bounds[1:], kinds)]
 
 
-_KINDS = [np.uint64, np.uint32, np.uint64, np.uint16, np.uint16, np.uint16, np.uint32, np.int64, np.int64, np.uint8, np.uint8]
+#: Words and their numbers of entries; histories; per entry the history's place (two halves), the row's place and the count,
+#: larger counts apart; per row the steps of the row numbers and flags; the ids of the rows whose end is in the block.
+_KINDS = [np.uint64, np.uint32, np.uint64, np.uint16, np.uint16, np.uint16, np.uint8, np.uint32, np.int64, np.uint32, np.uint8, np.int64]
 
 
 def _blocks(spread: Spread):
@@ -187,9 +189,11 @@ def _blocks(spread: Spread):
             histories, which = np.unique(history[a:b], return_inverse=True)
             rows, place = np.unique(row[a:b], return_inverse=True)
             much = np.minimum(count[a:b], 255)
+            own = uid[rows]
             data = _packed([
                 tokens, runs.astype(np.uint32), histories, (which & 0xFFFF).astype(np.uint16), (which >> 16).astype(np.uint16), place.astype(np.uint16),
-                count[a:b][much == 255].astype(np.uint32), uid[rows], doc[rows], (known[rows] + 2 * learn[rows]).astype(np.uint8), much.astype(np.uint8)])
+                much.astype(np.uint8), count[a:b][much == 255].astype(np.uint32), own[:1], np.diff(own, prepend=own[0]).astype(np.uint32),
+                (known[rows] + 2 * learn[rows]).astype(np.uint8), doc[row[a:b][token[a:b] == END]]])
             yield pa.RecordBatch.from_arrays([pa.array([int(bucket[a])], pa.int32()), pa.array([data], pa.binary())], names=["bucket", "data"])
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,16 +269,18 @@ def _scorer(spread: Spread, unigrams: Unigrams):
         order = np.argsort(words)
         words, word_counts = words[order], right.column("c").to_numpy()[order]
         parts, docs = [], 0
-        uid, doc, flag = [], [], []
+        uid, doc, flag = [], [], []  # a row's id is known in the bucket of its end only
         for data in left.column("data"):
-            tokens, runs, histories, low, high, place, much_more, u, d, f, much = _unpacked(data.as_py(), _KINDS)
-            count = much.astype(np.int64)
+            tokens, runs, histories, low, high, place, much, much_more, base, steps, f, ids = _unpacked(data.as_py(), _KINDS)
+            count = much.astype(np.int32)
             count[much == 255] = much_more
-            parts.append((histories[low.astype(np.int64) + (high.astype(np.int64) << 16)], np.repeat(tokens, runs), place.astype(np.int32) + np.int32(docs), count.astype(np.int32)))
-            uid.append(u)
+            token, d, there = np.repeat(tokens, runs), np.zeros(len(f), np.int64), np.zeros(len(f), bool)
+            d[place[token == END]], there[place[token == END]] = ids, True
+            parts.append((histories[low.astype(np.int32) + (high.astype(np.int32) << 16)], token, place.astype(np.int32) + np.int32(docs), count))
+            uid.append(base + np.cumsum(steps, dtype=np.int64))
             doc.append(d)
-            flag.append(f)
-            docs += len(u)
+            flag.append(np.where(there, f, f & 2))
+            docs += len(f)
         if not parts:
             return _rows(COUNTS, np.zeros(0, np.int64))
         history, token, row, count = (np.concatenate(x) for x in zip(*parts))
