@@ -326,6 +326,12 @@ ORACLES: dict[str, str] = {
         CASE WHEN coalesce(ts, '') = '' THEN 'missing ts' ELSE 'bad ts' END AS reason
       FROM parsed WHERE event_ts IS NULL AND channel_id <> 'C104'
       UNION ALL SELECT NULL, channel_id, ts, thread_ts, user_id, 'unknown channel' FROM m WHERE channel_id = 'C104'"""),
+    "unreadable_lines": sql("""SELECT channel_id, ts, fetched_at, NULL AS line, 'read' AS reason FROM m WHERE user_id <> 'U0007'
+      UNION ALL SELECT NULL, NULL, NULL, substr('{"channel_id":"', 1, 12), 'bad json' FROM m WHERE user_id = 'U0007'"""),
+    "replace_documents": sql("""SELECT doc_id, chunk_no, question FROM (
+        SELECT *, min(chunk_no) OVER (PARTITION BY doc_id) AS first FROM chunks) WHERE doc_id % 4 <> 1 OR chunk_no = first"""),
+    "model_embed": """SELECT doc_id, length(text)::DOUBLE AS x, (length(text) - length(replace(text, '?', '')))::DOUBLE AS y
+      FROM documents""",
     # projections and filters
     "parse_event_time": sql("""SELECT channel_id, ts, fetched_at, user_id,
         strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') AS event_time,

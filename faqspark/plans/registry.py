@@ -197,6 +197,28 @@ def quarantine(spark, sf):
     )
 
 
+@query
+def unreadable_lines(spark, sf):
+    """JSON lines of which one user's are cut short: they are kept apart as text, all others go on."""
+    root = scratch_path(spark, "lines")
+    source = fx.messages(spark, sf)
+    line = F.to_json(F.struct(*RAW_MESSAGE.names))
+    source.select(F.when(F.col("user_id") == "U0007", F.substring(line, 1, 12)).otherwise(line).alias("value")).write.text(root)
+    good, bad = msgs.read_permissive(spark, root)
+    return good.select("channel_id", "ts", "fetched_at", F.lit(None).cast("string").alias("line"), F.lit("read").alias("reason")).unionByName(
+        bad, allowMissingColumns=True
+    )
+
+
+@query
+def replace_documents(spark, sf):
+    """A quarter of the documents is cut anew and keeps its first chunk only; the others stay."""
+    current = stored(_chunks(spark, sf).select("doc_id", "chunk_no", "question"), "chunks")
+    first = current.groupBy("doc_id").agg(F.min("chunk_no").alias("chunk_no"))
+    batch = current.where("doc_id % 4 = 1").join(first, ["doc_id", "chunk_no"], "left_semi")
+    return store.replace_documents(current, batch)
+
+
 # --- projections and filters ---------------------------------------------------------------
 
 
@@ -577,6 +599,19 @@ def sparse_embed(spark, sf):
     )
 
 
+def counting_model():
+    """An encoder that counts: characters, question marks."""
+    return lambda texts: [[float(len(t)), float(t.count("?"))] for t in texts]
+
+
+@query
+def model_embed(spark, sf):
+    """Vectors of a plugged-in encoder."""
+    encode = embedding.model_udf(counting_model)
+    vectors = fx.documents(spark, sf).select("doc_id", encode(F.col("text")).alias("v"))
+    return vectors.select("doc_id", F.col("v")[0].cast("double").alias("x"), F.col("v")[1].cast("double").alias("y"))
+
+
 def _verdicts(df: DataFrame) -> DataFrame:
     return df.select(
         "channel_id", "ts", *[F.col(f"verdict.{c}").alias(c) for c in V.VERDICT_FIELDS if c != "request_id"]
