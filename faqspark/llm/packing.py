@@ -183,6 +183,7 @@ def packed(docs: DataFrame, *, tokenizer: str | None = None, longest: int = SEQU
     table = table[np.lexsort((table[:, 1], table[:, 0]))]
     before = F.sum("count").over(Window.partitionBy("length").orderBy("part")) - F.col("count")
     bases = counts.select(F.col("length").alias("l"), F.col("part").alias("p"), before.alias("base"))
-    ranked = pieces.join(bases, (F.col("length") == F.col("l")) & (F.col("part") == F.col("p"))).select(
+    # The offsets grow with the partitions and compress well, so a size on disk says little: never broadcast them.
+    ranked = pieces.join(bases.hint("merge"), (F.col("length") == F.col("l")) & (F.col("part") == F.col("p"))).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("rank") + F.col("base")).alias("rank"))
     return ranked.mapInArrow(_placer(table), PACKED)
