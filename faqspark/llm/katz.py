@@ -27,7 +27,7 @@ from faqspark.llm.words import Words, mix, slices
 #: Counts up to this are discounted.
 DISCOUNTED = 5
 #: Token occurrences that a bucket holds, about; occurrences and documents of a block's batch.
-BUCKET_TOKENS, BATCH_TOKENS, BATCH_DOCS = 2_500_000, 2_000_000, 60_000
+BUCKET_TOKENS, BATCH_TOKENS, BATCH_DOCS = 2_500_000, 1_500_000, 60_000
 #: Words and pairs with at least this share of all tokens may be spread; so there are at most as many as its inverse.
 WORD_SHARE, PAIR_SHARE = 1 / 50_000, 1 / 1_000
 #: Codes that stand for the start and the end of a text.
@@ -78,16 +78,22 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from sums.flush(True)
 
 
-def _sequence(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """History, token and row of every token, the end of each row included."""
-    rows = len(words.count)
-    row = np.concatenate([words.row(), np.arange(rows)])
-    order = np.argsort(row, kind="stable")
-    token = np.concatenate([words.hash, np.full(rows, END, np.uint64)])[order]
-    row = row[order]
-    history = np.concatenate([[START], token[:-1]]).astype(np.uint64)
-    history[np.diff(row, prepend=-1) != 0] = START
-    return history, token, row
+def _tokens(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and their rows, the end of each row included."""
+    rows = np.arange(len(words.count), dtype=np.int32)
+    row = np.repeat(rows, words.count + 1)
+    token = np.empty(len(row), np.uint64)
+    token[np.arange(len(words.hash)) + np.repeat(rows, words.count)] = words.hash
+    token[np.cumsum(words.count + 1) - 1] = END
+    return token, row
+
+
+def _histories(token: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """What stands before every token of consecutive rows."""
+    history = np.empty_like(token)
+    history[1:] = token[:-1]
+    history[np.diff(row, prepend=np.int32(-1)) != 0] = START
+    return history
 
 
 def pair_code(history: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -100,7 +106,8 @@ def _pair_counter(frequent: np.ndarray):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
         for batch in _learnt(batches):
-            history, token, _ = _sequence(Words(batch.column("text")))
+            token, row = _tokens(Words(batch.column("text")))
+            history = _histories(token, row)
             places = [np.searchsorted(frequent, x) for x in (history, token)]
             both = np.logical_and(*(frequent[np.minimum(p, len(frequent) - 1)] == x for p, x in zip(places, (history, token))))
             code = places[0][both].astype(np.uint64) * np.uint64(len(frequent)) + places[1][both].astype(np.uint64)
@@ -174,15 +181,22 @@ def _blocks(spread: Spread):
     """Occurrences (history, token, document, count) of a batch of documents, one block per bucket."""
 
     def emit(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        history, token, row, uid, doc, known, learn = (np.concatenate(x) for x in zip(*parts))
+        token, row, uid, doc, known, learn = (np.concatenate(x) for x in zip(*parts))
+        parts.clear()
+        history = _histories(token, row)
         bucket = spread.bucket(history, token, uid[row].view(np.uint64))
-        order = np.lexsort((row, history, token, bucket))
-        history, token, row, bucket = history[order], token[order], row[order], bucket[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (history[1:] != history[:-1]) | (token[1:] != token[:-1]) | (row[1:] != row[:-1]) | (bucket[1:] != bucket[:-1])
+        order = np.lexsort((history, token, bucket)).astype(np.int32)  # stable: rows stay in order
+        history, token = history[order], token[order]
+        row, bucket = row[order], bucket[order]
+        del order
+        new = np.ones(len(row), bool)
+        new[1:] = False
+        for key in (history, token, row, bucket):
+            new[1:] |= key[1:] != key[:-1]
         first = np.flatnonzero(new)
-        count = np.diff(np.append(first, len(order)))
+        count = np.diff(np.append(first, len(row)))
         history, token, row, bucket = history[first], token[first], row[first], bucket[first]
+        del first, new
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=spread.buckets))
         for a, b in zip(cuts, cuts[1:]):
             tokens, runs = np.unique(token[a:b], return_counts=True)
@@ -199,14 +213,14 @@ def _blocks(spread: Spread):
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, tokens, docs = [], 0, 0
         for batch in slices(batches):
-            history, token, row = _sequence(Words(batch.column("text")))
+            token, row = _tokens(Words(batch.column("text")))
             ids = batch.column("doc_id")
-            parts.append((history, token, row + docs, batch.column("uid").to_numpy(), ids.fill_null(0).to_numpy(),
+            parts.append((token, row + np.int32(docs), batch.column("uid").to_numpy(), ids.fill_null(0).to_numpy(),
                           ids.is_valid().to_numpy(zero_copy_only=False), batch.column("learn").to_numpy(zero_copy_only=False)))
             tokens, docs = tokens + len(token), docs + batch.num_rows
             if tokens > BATCH_TOKENS or docs > BATCH_DOCS - 2048:
                 yield from emit(parts)
-                parts, tokens, docs = [], 0, 0
+                tokens, docs = 0, 0
         if parts:
             yield from emit(parts)
 
