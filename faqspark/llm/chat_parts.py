@@ -15,9 +15,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Control strings. All begin with one of the characters that are escaped inside texts.
+#: Control strings. All begin with one of the characters that ``escape`` guards inside texts.
 BEGIN, INST, INST_END, END = "<s>", "[INST]", "[/INST]", "</s>"
-ESCAPED = "\\<["
 PLACEHOLDERS = {"image": "<image>", "audio": "<audio>", "document": "<document>"}
 #: Tokens per unit: an image's unit is a 14 x 14 patch, an audio's 20 ms, a document's a page.
 UNIT_TOKENS = {"image": 1, "audio": 1, "document": 512}
@@ -63,8 +62,9 @@ def format_turns(messages: DataFrame) -> DataFrame:
     body = F.array_join(F.transform(parts, _visit), "")
     others = F.filter(parts, lambda p: F.coalesce(p["kind"], F.lit("")) != "text")
     head = F.concat(F.lit(BEGIN + INST), role, F.lit(INST_END))
-    shaped = messages.select("conv_id", "turn", head.alias("head"), body.alias("body"),
-                             F.col("role").eqNullSafe("assistant").alias("learn"), F.transform(others, _attachment).alias("attachments"))
+    shaped = messages.select(
+        "conv_id", "turn", head.alias("head"), body.alias("body"), F.col("role").eqNullSafe("assistant").alias("learn"),
+        F.transform(others, _attachment).alias("attachments"))
     start = F.length("head").cast("long")
     return shaped.select(
         "conv_id", "turn", F.concat("head", "body", F.lit(END)).alias("segment"), start.alias("loss_start"),
