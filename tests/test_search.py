@@ -347,7 +347,7 @@ def test_hot_group_gives_one_link_per_member(spark):
     sets = df.select(F.col("doc_id").alias("id"), token_set(F.col("text")).alias("codes")).dropDuplicates(["codes"])
     prefixes = similar_sets.rare_tokens(sets, 0.6)
     assert prefixes.groupBy("id").count().agg({"count": "max"}).first()[0] <= 40 - 24 + 1
-    assert similar_sets._leader_pairs(prefixes).count() <= prefixes.count()
+    assert similar_sets._leader_pairs(prefixes, 0.6).count() <= prefixes.count()
 
 
 @pytest.mark.parametrize("n", [300, 2500])
