@@ -4,7 +4,8 @@ Well-formed emails, ip addresses, cards and phones are always spans. Beyond them
 propose disguised ones ("name at host dot com", numbers without plus sign, odd separators), which may
 overlap. The trees learn from the corpus itself: positives are its well-formed spans rewritten into such
 disguises in their own context, negatives are its other candidates and rewritten spans with spoilt digits.
-Thresholds are set per kind on documents that the trees have not seen.
+All rows are searched for documents to learn from, so a rare kind is learnt too. Thresholds are set per kind
+from score histograms over all documents of a fold that the trees have not seen.
 """
 
 from __future__ import annotations
@@ -20,12 +21,15 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from faqspark.llm.boosting import Trees, fit
-from faqspark.llm.folds import first_by_hash
+from faqspark.llm.folds import first_by_hash, held_out
+from faqspark.llm.store import Saved
 from faqspark.llm.words import slices
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents with candidates that the trees learn from, at most, and characters of context on either side.
+#: Documents that the trees learn from, at most, a fifth of them for each kind; characters of context on either side.
 MAX_TRAIN, CONTEXT = 4_000, 40
+#: One document of so many is kept from the trees; bins of their log odds from even upwards, and bins per unit.
+FOLDS, BINS, PER_UNIT = 4, 1024, 64
 #: Share of right decisions that a kind's threshold must reach on unseen documents, and spans needed to learn at all.
 PRECISION, LEAST_SPANS = 0.99, 40
 
@@ -153,31 +157,67 @@ def _disguises(kind: str, own: str, pick: int) -> tuple[str, str | None]:
     return forms[pick % 4] if len(digits) >= 10 else body, None
 
 
+_PLAIN_DISGUISE = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+(?: at [A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+|\(at\)[A-Za-z0-9-]+(?:(?:\(dot\)[A-Za-z0-9-]+)+|(?:\.[A-Za-z0-9-]+)+)"
+                        r"| \[at\] [A-Za-z0-9-]+(?: \[dot\] [A-Za-z0-9-]+)+| @ [A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"),
+    "ip": re.compile(r"[0-9]+( \. | dot |\[\.\]|\(\.\))[0-9]+(?:\1[0-9]+){2}"),
+    "card": re.compile(r"[0-9]{4}([./_]|  | -)[0-9]{4}\1[0-9]{4}(?:\1[0-9]{4})?(?:\1[0-9]{1,3})?"),
+    "phone": re.compile(r"\([0-9]{3}\) [0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}"),
+}
+
+
+def disguised(kind: str, own: str) -> bool:
+    """Whether a candidate equals a disguise of a valid span, so that nobody knows it for a wrong one.
+
+    Bare digits equal a disguised phone as well, but most are other numbers; they are not meant here.
+    """
+    if not _PLAIN_DISGUISE[kind].fullmatch(own):
+        return False
+    if kind == "ip":
+        return _octets(re.findall(r"[0-9]+", own))
+    return kind != "card" or (13 <= len(d := _digits(own)) <= 19 and luhn(d))
+
+
+def lessons(key: int | None, text: str | None) -> Iterator[tuple[int, list[float]]]:
+    """Labels and figures of a text's candidates and of its rewritten spans."""
+    text = text or ""
+    base = base_spans(text)
+    for kind, start, end in base:
+        pick = start + 7 * end + (key or 0)
+        for label, shape in zip((1, 0), _disguises(kind, text[start:end], pick)):
+            if shape:
+                head, tail = text[max(start - CONTEXT, 0) : start], text[end : end + CONTEXT]
+                whole = head + shape + tail
+                for other in [s for s in proposals(whole) if s[1] < len(head) + len(shape) and len(head) < s[2]]:
+                    same = other[0] == kind and other[1] == len(head) and other[2] == len(head) + len(shape)
+                    yield int(label == 1 and same), describe(whole, other)
+    for span in proposals(text):
+        if not any(span[1] < e and s < span[2] for _, s, e in base) and not disguised(span[0], text[span[1] : span[2]]):
+            yield 0, describe(text, span)
+
+
 def _lessons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training rows (fold, label, figures) of each text's spans."""
+    """Training rows (label, figures) of each text's spans."""
     for batch in slices(batches):
-        rows: list[tuple[int, int, bytes]] = []
-        for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-            text, fold = text or "", (key or 0) % 4
-            base = base_spans(text)
-
-            def lesson(label: int, whole: str, span: Span) -> None:
-                rows.append((fold, label, np.array(describe(whole, span), np.float32).tobytes()))
-
-            for kind, start, end in base:
-                pick = start + 7 * end + (key or 0)
-                for label, shape in zip((1, 0), _disguises(kind, text[start:end], pick)):
-                    if shape:
-                        head, tail = text[max(start - CONTEXT, 0) : start], text[end : end + CONTEXT]
-                        whole = head + shape + tail
-                        for other in [s for s in proposals(whole) if s[1] < len(head) + len(shape) and len(head) < s[2]]:
-                            same = other[0] == kind and other[1] == len(head) and other[2] == len(head) + len(shape)
-                            lesson(int(label == 1 and same), whole, other)
-            for span in proposals(text):
-                if not any(span[1] < e and s < span[2] for _, s, e in base):
-                    lesson(0, text, span)
-        fold, label, x = zip(*rows) if rows else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(fold, pa.int32()), pa.array(label, pa.int32()), pa.array(x, pa.binary())], names=["fold", "label", "x"])
+        rows = [(label, np.array(x, np.float32).tobytes()) for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist())
+                for label, x in lessons(key, text)]
+        label, x = zip(*rows) if rows else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(x, pa.binary())], names=["label", "x"])
+
+
+#: Bit beside those of the kinds: the text has candidates.
+_CANDIDATES = 1 << len(KINDS)
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, holds) of texts with spans or candidates: a bit for each kind of well-formed span, and one for candidates."""
+    for batch in slices(batches):
+        holds = []
+        for text in batch.column("text").to_pylist():
+            bits = {1 << KINDS.index(kind) for kind, _, _ in base_spans(text or "")}
+            holds.append(sum(bits) | _CANDIDATES * bool(proposals(text or "")))
+        keep = np.flatnonzero(holds)
+        yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(keep)), pa.array(np.array(holds, np.int32)[keep], pa.int32())], names=["id", "holds"])
 
 
 @dataclass(frozen=True)
@@ -198,33 +238,73 @@ class Model:
         return taken
 
 
-def thresholds(scores: np.ndarray, labels: np.ndarray, kinds: np.ndarray) -> dict[str, float]:
-    """Per kind the smallest score, not under one half, from which on PRECISION is reached; none (2.0) if no score does."""
+def thresholds(counts: np.ndarray) -> dict[str, float]:
+    """Per kind the smallest score, not under one half, from which on PRECISION is reached; none (2.0) if no score does.
+
+    ``counts`` has kind, label and bin of the log odds.
+    """
     least = {}
-    for at, kind in enumerate(KINDS):
-        own, right = scores[kinds == at], labels[kinds == at]
-        order = np.argsort(-own, kind="stable")
-        precision = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
-        fine = np.flatnonzero((precision >= PRECISION) & (own[order] >= 0.5))
-        least[kind] = float(own[order][fine[-1]]) if len(fine) and right[order][: fine[-1] + 1].sum() >= LEAST_SPANS / 4 else 2.0
+    for kind, (wrong, right) in zip(KINDS, counts[:, :, ::-1].cumsum(axis=2)):
+        fine = np.flatnonzero((right >= PRECISION * (right + wrong)) & (right >= LEAST_SPANS / 4))
+        least[kind] = float(1 / (1 + np.exp(-(BINS - 1 - fine[-1]) / PER_UNIT))) if len(fine) else 2.0
     return least
 
 
+def bins(scores: np.ndarray) -> np.ndarray:
+    """Bin of each score's log odds, -1 under one half."""
+    inner = np.clip(scores, 1e-12, 1 - 1e-12)
+    return np.clip(np.floor(np.log(inner / (1 - inner)) * PER_UNIT + 1e-6), -1, BINS - 1).astype(np.int64)
+
+
+def histograms(docs: DataFrame, trees: Trees) -> np.ndarray:
+    """Lessons of all rows (id, text) by kind, label and bin of their score; one row per cell reaches the driver."""
+    sent = docs.sparkSession.sparkContext.broadcast(trees)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * len(KINDS) * BINS, np.int64)
+        for batch in slices(batches):
+            for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                found = list(lessons(key, text))
+                if found:
+                    label, x = np.array([y for y, _ in found]), np.array([f for _, f in found], np.float32).astype(float)
+                    at = bins(sent.value.score(x))
+                    cell = (x[:, 0].astype(np.int64) * 2 + label) * BINS + at
+                    np.add.at(total, cell[at >= 0], 1)
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(total[cell], pa.int64())], names=["cell", "n"])
+
+    counts = np.zeros(2 * len(KINDS) * BINS, np.int64)
+    for cell, n in docs.mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n")).collect():
+        counts[cell] = n
+    return counts.reshape(len(KINDS), 2, BINS)
+
+
+def sample(docs: DataFrame, most: int) -> DataFrame:
+    """Ids of at most ``most`` rows (id, text), by hash: a fifth each among those that hold a kind, and among those with candidates."""
+    held = Saved(docs.mapInArrow(_held, "id bigint, holds int").groupBy("id").agg(F.bit_or("holds").alias("holds")), "pii-held").df
+    parts = [first_by_hash(held.where(F.col("holds").bitwiseAND(1 << k) != 0).select("id"), most // (len(KINDS) + 1)) for k in range(len(KINDS) + 1)]
+    ids = parts[0]
+    for part in parts[1:]:
+        ids = ids.unionByName(part)
+    return ids.distinct()
+
+
 def train(docs: DataFrame, *, max_train: int = MAX_TRAIN) -> Model | None:
-    """Trees and thresholds from at most ``max_train`` documents with a digit or an at sign, chosen by hash; None if they hold too few spans."""
-    hopeful = docs.where("doc_id IS NOT NULL").where(F.col("text").rlike("[0-9]{3}|@")).select(F.col("doc_id").alias("id"))
-    ids = first_by_hash(hopeful.distinct(), max_train)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("id", "text")
-    got = chosen.mapInArrow(_lessons, "fold int, label int, x binary").toArrow()
-    label, fold = got.column("label").to_numpy(), got.column("fold").to_numpy()
+    """Trees from at most ``max_train`` documents, thresholds from all of an unseen fold; None if there are too few spans.
+
+    The documents to learn from are sought among all rows, for each kind of well-formed span by itself.
+    """
+    known = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text")
+    unseen = held_out(F.col("id"), FOLDS)
+    ids = sample(known.where(~unseen), max_train).withColumnRenamed("id", "chosen")
+    got = known.join(F.broadcast(ids), F.col("id") == F.col("chosen")).select("id", "text").mapInArrow(_lessons, "label int, x binary").toArrow()
+    label = got.column("label").to_numpy()
     if label.sum() < LEAST_SPANS or label.all():
         return None
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(len(label), -1).astype(float)
-    order = np.lexsort([*x.T, label, fold])
-    x, label, fold = x[order], label[order], fold[order]
-    seen = fold != 0
-    trees = fit(x[seen], label[seen].astype(float))
-    return Model(trees, thresholds(trees.score(x[~seen]), label[~seen], x[~seen, 0].astype(int)))
+    order = np.lexsort([*x.T, label])
+    trees = fit(x[order], label[order].astype(float))
+    return Model(trees, thresholds(histograms(known.where(unseen), trees)))
 
 
 def spans_of(text: str | None, model: Model | None) -> tuple[list[Span], list[Span]]:

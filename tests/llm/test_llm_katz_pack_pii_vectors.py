@@ -214,6 +214,28 @@ def test_personal_data_awkward_rows(spark):
     assert not any(plain_spans(r.text) for r in clean.collect())
 
 
+def test_a_rare_kind_is_learnt_where_most_documents_have_digits(spark):
+    """One document in forty holds a card; all have digits, and the sample is a fifteenth of them."""
+    rng = random.Random(4)
+    table = []
+    for k in range(6000):
+        card = [rng.randrange(10) for _ in range(15)]
+        card = next("".join(map(str, card + [d])) for d in range(10) if pii.luhn("".join(map(str, card + [d]))))
+        own = f"paid by card {card} then" if k % 40 == 0 else f"we saw {100 + k} of {rng.randrange(10**4)} things"
+        table.append((4 * k, " ".join(f"w{rng.randrange(500)}" for _ in range(8)) + " " + own + " and so on"))
+    model = pii.train(spark.createDataFrame(table, "doc_id bigint, text string"), max_train=400)
+    assert model is not None and model.least["card"] <= 1
+    assert [s[0] for s in pii.spans_of("w1 w2 w3 paid by card 4111/1111/1111/1111 then and so on", model)[1]] == ["card"]
+    assert pii.spans_of("w1 w2 we saw 4111 of 1111 things and so on", model)[1] == []
+
+
+def test_disguises_of_valid_spans_are_no_negatives():
+    for kind, own in (("card", "4111/1111/1111/1111"), ("ip", "1 dot 2 dot 3 dot 4"), ("email", "ann.lee at mail3 dot example dot com"), ("phone", "(555) 123-4567")):
+        assert pii.disguised(kind, own) and not any(label == 0 and x[0] == pii.KINDS.index(kind) for label, x in pii.lessons(1, f"so {own} it"))
+    for kind, own in (("card", "4111/1111/1111/1112"), ("ip", "1 dot 2 dot 3 dot 256"), ("email", "jim at mail3.example"), ("phone", "5551234567")):
+        assert not pii.disguised(kind, own)
+
+
 def test_boosted_trees_learn_an_interaction():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(2000, 3))
