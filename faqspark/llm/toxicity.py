@@ -1,6 +1,7 @@
 """Counterfactually regularised toxicity classifier.
 
-A logistic model over the presence of words and word beginnings, hashed into buckets. For labelled
+A logistic model over the presence of words and word beginnings, hashed into buckets; long or unspaced
+runs also have the beginnings at each of their characters, and joined words those of their pieces. For labelled
 sentences that name a group, the group is swapped for others and for a neutral word, and the squared
 change of the score is part of the loss: the model cannot tell groups apart, nor use their mention.
 """
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from faqspark.llm.folds import first_by_hash, held_out, label_table
-from faqspark.llm.words import Words, mix, slices
+from faqspark.llm.words import Words, hash_runs, mix, slices
 
 BUCKET_BITS = 20
 #: Bytes of the word beginnings that are features beside the whole word.
@@ -36,7 +37,11 @@ IDENTITY_TERMS = (
 
 
 def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Row and bucket of the features of every word, repeats included. Bytes that are not letters at a word's ends are ignored."""
+    """Row and bucket of the features of every word, repeats included. Bytes that are not letters at a word's ends are ignored.
+
+    Every byte of a word counts, however long it is. Runs of letters inside a word are words too. Where blanks do not
+    part words (runs over ``_LONGEST`` bytes, other scripts) every character may begin one.
+    """
     start, end = words.start.copy(), words.end.copy()
     letter = _LETTER[words.data]
     for _ in range(3):
@@ -46,22 +51,85 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     start, end, row = start[keep], end[keep], words.row()[keep]
     if not len(start):
         return row, np.zeros(0, np.int64)
+    dense = (end - start > _LONGEST) | _holds(_UNSPACED[words.data], start, end)
+    joined = _holds(~letter, start, end)
+    found = [_beginnings(words.data, start, end, row), _whole(words.data, start, end, row)]
+    if joined.any():
+        piece = _pieces(letter, start[joined], end[joined], row[joined])
+        found += [_beginnings(words.data, *piece), _whole(words.data, *piece)]
+    found += _inside(words.data, start[dense], end[dense], row[dense])
+    return np.concatenate([r for r, _ in found]), (np.concatenate([c for _, c in found]) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def _holds(marked: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether each run holds a marked byte."""
+    before = np.zeros(len(marked) + 1, np.int64)
+    np.cumsum(marked, out=before[1:])
+    return before[end] > before[start]
+
+
+def _beginnings(data: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and codes of the first bytes of every run."""
+    code, found = np.zeros(len(start), np.uint64), []
+    for k in range(max(BEGINNINGS)):
+        inside = start + k < end
+        start, end, row, code = start[inside], end[inside], row[inside], code[inside]
+        code = mix(code * np.uint64(257) + data[start + k].astype(np.uint64) + np.uint64(1))
+        if k + 1 in BEGINNINGS:
+            found.append((row, code ^ np.uint64(k + 1)))
+    return np.concatenate([r for r, _ in found]), np.concatenate([c for _, c in found])
+
+
+def _whole(data: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and codes of whole runs; those over ``_LONGEST`` bytes go on from there by a sum over the rest."""
     size = end - start
     code = np.zeros(len(start), np.uint64)
-    found = []
-    length = int(min(size.max(), _LONGEST))
-    for k in range(length):
+    for k in range(int(min(size.max(initial=0), _LONGEST))):
         inside = size > k
-        byte = words.data[np.minimum(start + k, len(words.data) - 1)].astype(np.uint64)
+        byte = data[np.minimum(start + k, len(data) - 1)].astype(np.uint64)
         code = np.where(inside, mix(code * np.uint64(257) + byte + np.uint64(1)), code)
-        if k + 1 in BEGINNINGS:
-            found.append((row[inside], code[inside] ^ np.uint64(k + 1)))
-    found.append((row, code))
-    return np.concatenate([r for r, _ in found]), (np.concatenate([c for _, c in found]) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    long = size > _LONGEST
+    code[long] = mix(code[long] ^ hash_runs(data, start[long] + _LONGEST, end[long]))
+    return row, code
+
 
+def _pieces(letter: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of the runs of letters inside words."""
+    change, edge = np.zeros(len(letter) + 1, np.int8), np.zeros(len(letter) + 1, bool)
+    change[start] += 1
+    change[end] -= 1
+    edge[start] = True
+    inner = np.zeros(len(letter) + 2, bool)
+    inner[1:-1] = letter & (np.cumsum(change[:-1]) > 0)
+    first, last = np.flatnonzero(inner[1:-1] & (~inner[:-2] | edge[:-1])), np.flatnonzero(inner[1:-1] & (~inner[2:] | edge[1:])) + 1
+    return first, last, row[np.searchsorted(start, first, "right") - 1]
 
-#: Bytes of a word that its feature looks at.
-_LONGEST = 24
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values, sorted; several times faster than hashing millions of them."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def _inside(data: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and codes of the beginnings at every character of runs, each once per block of runs or of parts of a long one."""
+    size = end - start
+    before = np.concatenate([[0], np.cumsum(size)])
+    for block in range(0, int(before[-1]), _BLOCK):
+        place = np.arange(block, min(block + _BLOCK, int(before[-1])))
+        run = np.searchsorted(before, place, "right") - 1
+        at = start[run] + place - before[run]
+        fresh = (data[at] & 0xC0) != 0x80
+        r, code = _beginnings(data, at[fresh], end[run[fresh]], row[run[fresh]])
+        both = _distinct((r.astype(np.int64) << BUCKET_BITS) | (code >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
+        yield both >> BUCKET_BITS, (both & ((1 << BUCKET_BITS) - 1)).astype(np.uint64) << np.uint64(64 - BUCKET_BITS)
+
+
+#: Bytes of a word above which every character may begin a word; positions looked at in one step.
+_LONGEST, _BLOCK = 24, 1 << 20
+#: Bytes of scripts and marks that stand between words or do without blanks: no-break space, and characters of three bytes or more.
+_UNSPACED = np.zeros(256, bool)
+_UNSPACED[[0xC2, *range(0xE0, 256)]] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
 
@@ -69,7 +137,7 @@ _LETTER[[*range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
 def present(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row, bucket) of a text column, sorted."""
     row, bucket = features(Words(column))
-    both = np.unique((row.astype(np.int64) << BUCKET_BITS) | bucket)
+    both = _distinct((row.astype(np.int64) << BUCKET_BITS) | bucket)
     return both >> BUCKET_BITS, both & ((1 << BUCKET_BITS) - 1)
 
 
@@ -96,7 +164,7 @@ class Model:
         row, bucket = features(Words(column))
         slot = self.slot[bucket]
         hit = slot >= 0
-        pairs = np.unique((row[hit].astype(np.int64) << 16) | slot[hit])
+        pairs = _distinct((row[hit].astype(np.int64) << 16) | slot[hit])
         total = np.bincount(pairs >> 16, weights=self.weight[pairs & 0xFFFF], minlength=len(column))
         return 1 / (1 + np.exp(-np.clip(total + self.bias, -40, 40)))
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
-_BLOCK = 1 << 20
+_BLOCK, _SHORT = 1 << 20, 1 << 12
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -65,6 +65,24 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             start = end
 
 
+def hash_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One hash of all the bytes of each run, of any length over 0; long runs are summed by themselves, in blocks."""
+    size = end - start
+    out = np.zeros(len(start), np.uint64)
+    short = np.flatnonzero(size <= _SHORT)
+    for some in np.array_split(short, len(short) * _SHORT // _BLOCK + 1):
+        if len(some):
+            before = np.cumsum(size[some]) - size[some]
+            place = np.arange(int(size[some].sum())) - np.repeat(before, size[some])
+            values = _BYTE[data[np.repeat(start[some], size[some]) + place]] * _power(_SHORT)[0][place]
+            out[some] = np.add.reduceat(values, before)
+    for k in np.flatnonzero(size > _SHORT):
+        for low in range(start[k], end[k], _BLOCK):
+            part = data[low : min(low + _BLOCK, end[k])]
+            out[k] = mix(out[k : k + 1] + (_BYTE[part] * _power(_BLOCK)[0][: len(part)]).sum(dtype=np.uint64))[0]
+    return mix(out + size.astype(np.uint64))
+
+
 class Words:
     """Words of a slice: ``hash``, byte ``start`` and ``end``, and ``first[d]:first[d + 1]`` of row d."""
 

@@ -58,6 +58,29 @@ def encoded(texts):
     return [bucket[row == k].astype(np.int32) for k in range(len(texts))]
 
 
+@pytest.mark.parametrize("before, term, after", [
+    ("今天天气很好我们一起去公园散步", "垃圾白痴", "然后回家吃饭"), ("a-very-long_joined/run-of-words-without-blanks-", "idiot", "-and-more"),
+    ("one\u00a0run\u00a0held\u00a0by\u00a0hard\u00a0blanks\u00a0", "idiot", "\u00a0on"), ("not-an-", "idiot", "-hm"), ("很好的", "垃圾", "东西")])
+def test_a_term_late_in_an_unspaced_run_changes_the_score(before, term, after):
+    toxic = [f"w{k} {term} w{k + 1}" for k in range(60)]
+    clean = [f"w{k} fine w{k + 1}" for k in range(60)]
+    model = toxicity.fit(np.array([1.0] * 60 + [0.0] * 60), encoded(toxic + clean), [])
+    scores = model.score(__import__("pyarrow").array([before + after, before + term + after, before + "fine" + after]))
+    assert scores[1] > 0.5 and scores[1] > scores[0] + 0.1 and scores[1] > scores[2] + 0.1
+
+
+def test_every_byte_of_a_long_word_counts():
+    for n in (40, 5000, 3_000_000):
+        one, two, three = encoded(["x" * n + "a" + "x" * 9, "x" * n + "b" + "x" * 9, "x" * n + "xa" + "x" * 9])
+        assert set(one.tolist()) != set(two.tolist()) and set(one.tolist()) != set(three.tolist())
+
+
+def test_features_do_not_depend_on_the_rows_beside():
+    texts = ["a-bcde", "fghi-j", "很好的东西" * 9, "x" * 30, "x" * 30 + "-y", "z" * 5000 + "q", "", "--", "今天-天气"]
+    for together, alone in zip(encoded(texts), (encoded([t])[0] for t in texts)):
+        assert together.tolist() == alone.tolist()
+
+
 def test_counterfactual_penalty_protects_neutral_mentions():
     """Abuse in the sample names one group; without the penalty a neutral mention looks abusive."""
     toxic = ["those women are scum and trash"] * 30 + ["the women sing badly"] * 10
