@@ -94,6 +94,18 @@ def test_mixture_stays_within_budgets_and_is_a_permutation(spark):
     assert sum(r.n_tokens * (r.full + r.extra) for r in plan) <= total
 
 
+def test_one_giant_document_keeps_no_others_out_of_the_mix(spark):
+    """A source far above its budget holds one giant document; its budget is used whatever the order is."""
+    table = [(k, " ".join(["w"] * (30_000 if k == 7 else 10)), "big") for k in range(3000)] + [(5000, " ".join(["v"] * 40_000), "one")]
+    frame = spark.createDataFrame(table, "doc_id bigint, text string, source string").repartition(4)
+    for seed in range(4):
+        used = Counter()
+        for r in mixing.mix(frame, budget=16_000, seed=seed).collect():
+            used[r.source] += len(r.text.split())
+        assert used["big"] >= 8_000 and used["one"] == 40_000
+        assert used["big"] < 8_000 + 30_000
+
+
 def test_mix_awkward_rows(spark):
     mixed = mixing.mix(docs(spark))
     assert mixed.columns == docs(spark).columns
