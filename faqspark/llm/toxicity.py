@@ -8,6 +8,8 @@ change of the score is part of the loss: the model cannot tell groups apart, nor
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from faqspark.llm.folds import first_by_hash, held_out, label_table
+from faqspark.llm.store import Saved
 from faqspark.llm.words import Words, hash_runs, mix, slices
 
 BUCKET_BITS = 20
@@ -25,6 +28,8 @@ BUCKET_BITS = 20
 BEGINNINGS = (4, 5, 6)
 #: Labelled documents that the model is fitted on, at most, and sentences that are swapped.
 MAX_TRAIN, MAX_SWAPS = 12_000, 4_000
+#: Swaps of one document that replace the same term, at most.
+TERM_SWAPS = 4
 #: Features kept: the most telling ones of the sample, each in at least this many documents of its class.
 MAX_FEATURES, MIN_DOCUMENTS = 8_192, 4
 #: Groups whose terms may stand for each other; the first of each set is the neutral word.
@@ -143,13 +148,29 @@ def present(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def swaps(text: str, terms=IDENTITY_TERMS) -> Iterator[tuple[str, str]]:
     """Every sentence of a text that names a group, with the term replaced by the neutral word and by the next term."""
+    for _, sentence, swapped in _term_swaps(text, terms):
+        yield sentence, swapped
+
+
+def _term_swaps(text: str, terms=IDENTITY_TERMS) -> Iterator[tuple[str, str, str]]:
+    """The term replaced, the sentence and the sentence without it."""
     for sentence in re.split(r"(?<=[.!?])\s+|\n", text):
         for group in terms:
             for at, term in enumerate(group):
                 pattern = rf"\b{term}\b"
                 if re.search(pattern, sentence, re.IGNORECASE):
-                    for other in {group[0], group[(at + 1) % len(group)]} - {term}:
-                        yield sentence, re.sub(pattern, other, sentence, flags=re.IGNORECASE)
+                    for other in sorted({group[0], group[(at + 1) % len(group)]} - {term}):
+                        yield term, sentence, re.sub(pattern, other, sentence, flags=re.IGNORECASE)
+
+
+def chosen_swaps(key: int | None, text: str | None) -> list[tuple[int, str, str]]:
+    """(hash, before, after) of at most ``TERM_SWAPS`` swaps of each term in a text, by hash of its id and the swap's number."""
+    kept: dict[str, list[tuple[int, str, str]]] = {}
+    for number, (term, before, after) in enumerate(_term_swaps(text) if text and _MENTION.search(text) else ()):
+        code = int.from_bytes(hashlib.blake2b(f"{key}:{number}".encode(), digest_size=7).digest(), "little")
+        own = kept.setdefault(term, [])
+        (heapq.heappush if len(own) < TERM_SWAPS else heapq.heappushpop)(own, (-code, before, after))
+    return sorted((-code, before, after) for own in kept.values() for code, before, after in own)
 
 
 @dataclass(frozen=True)
@@ -170,18 +191,19 @@ class Model:
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text its buckets, and the buckets lost and gained by each swap in it."""
+    """Per text its buckets, and the hash of each chosen swap in it with the buckets lost and gained by it."""
     for batch in slices(batches):
         row, bucket = present(batch.column("text"))
         cut = np.searchsorted(row, np.arange(batch.num_rows + 1))
         buckets = [bucket[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])]
         changed = []
-        for text in batch.column("text").to_pylist():
-            pairs = list(swaps(text)) if text and _MENTION.search(text) else []
-            sides = [[set(b[r == k].tolist()) for k in range(len(pairs))] for r, b in (present(pa.array([p[s] for p in pairs], pa.string())) for s in (0, 1))] if pairs else [[], []]
-            changed.append([np.array([*(x - y), -1, *(y - x)], np.int32).tobytes() for x, y in zip(*sides)])
-        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(buckets, pa.binary()), pa.array(changed, pa.list_(pa.binary()))],
-                                         names=["label", "buckets", "changed"])
+        for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            some = chosen_swaps(key, text)
+            sides = [[set(b[r == k].tolist()) for k in range(len(some))] for r, b in (present(pa.array([p[s] for p in some], pa.string())) for s in (1, 2))] if some else [[], []]
+            changed.append([{"id": p[0], "move": np.array([*sorted(x - y), -1, *sorted(y - x)], np.int32).tobytes()} for p, x, y in zip(some, *sides)])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("label"), pa.array(buckets, pa.binary()), pa.array(changed, pa.list_(pa.struct([("id", pa.int64()), ("move", pa.binary())])))],
+            names=["label", "buckets", "changed"])
 
 
 _MENTION = re.compile(r"\b(?:" + "|".join(t for g in IDENTITY_TERMS for t in g) + r")\b", re.IGNORECASE)
@@ -239,22 +261,24 @@ def fit(label: np.ndarray, buckets: list[np.ndarray], changed: list[tuple[np.nda
 
 
 def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", max_train: int = MAX_TRAIN, max_swaps: int = MAX_SWAPS) -> Model:
-    """Fit on at most ``max_train`` labelled documents outside the held-out fold, chosen by hash.
+    """Fit on at most ``max_train`` labelled documents outside the held-out fold and ``max_swaps`` of their swaps, chosen by hash.
 
     The chosen ids are bounded and broadcast, so the texts stay where they are.
     """
     ids = first_by_hash(label_table(labels, column), max_train)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("doc_id", "text", "label")
-    got = rows.select("text", F.col("label").cast("long").alias("label")).mapInArrow(
-        _examples, "label bigint, buckets binary, changed array<binary>").toArrow()
+    examples = Saved(rows.select("doc_id", "text", F.col("label").cast("long").alias("label")).mapInArrow(
+        _examples, "label bigint, buckets binary, changed array<struct<id:bigint,move:binary>>"), "toxicity-examples").df
+    got = examples.select("label", "buckets").toArrow()
     label = got.column("label").to_numpy().astype(float)
     buckets = [np.frombuffer(b.as_buffer(), np.int32) for b in got.column("buckets")]
+    moves = first_by_hash(examples.select(F.explode("changed").alias("c")).select("c.*"), max_swaps, "move").toArrow()
     changed = []
-    for packed in (p for row in got.column("changed").to_pylist() for p in row or ()):
+    for packed in moves.column("move").to_pylist():
         both = np.frombuffer(packed, np.int32)
         cut = int(np.flatnonzero(both == -1)[0])
         changed.append((both[:cut], both[cut + 1 :]))
-    return fit(label, buckets, changed[:max_swaps])
+    return fit(label, buckets, changed)
 
 
 def with_score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:

@@ -53,6 +53,20 @@ def test_swaps_change_only_group_terms():
     assert all("Nice" not in a for a, _ in found)
 
 
+def test_one_long_document_cannot_fill_all_swaps(spark, monkeypatch):
+    """The first document has more mentions of one group than there are swaps; other documents name another."""
+    long = "The women sing. " * 300
+    table = [(k, long if k < 4 else f"w{k} the hindus cook." if k % 2 else "such trash") for k in range(200)]
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda label, buckets, changed: seen.append((len(label), changed)))
+    frame = spark.createDataFrame(table, "doc_id bigint, text string").coalesce(1)
+    marks = spark.createDataFrame([(k, k % 2) for k, _ in table], "doc_id bigint, toxic int")
+    toxicity.train(frame, marks, max_swaps=40)
+    assert seen[0][0] > 100 and len(seen[0][1]) == 40
+    hindu = set(encoded(["hindus"])[0].tolist())
+    assert sum(bool(hindu & set(before.tolist())) for before, _ in seen[0][1]) >= 20
+
+
 def encoded(texts):
     row, bucket = toxicity.present(__import__("pyarrow").array(texts))
     return [bucket[row == k].astype(np.int32) for k in range(len(texts))]
