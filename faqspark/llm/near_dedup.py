@@ -1,12 +1,12 @@
-"""Near-duplicate documents by an LSH forest over minimum hashes.
+"""Near-duplicate documents by banded minimum hashes, in place of an LSH forest.
 
-A forest is a number of orders of the documents, each sorted by its own list of minimum hashes.
-Documents that agree on the first ``depth`` hashes of an order lie next to each other there: they
-form a region, and the members of a region are candidates. Depth and number of orders go together,
+A level has a number of bands, each one hash of exactly ``depth`` minimum hashes; nothing is sorted and no
+prefix is compared, so that documents are exchanged by equal keys only. Documents that agree on a band
+form a region, and the members of a region are candidates. Depth and number of bands go together,
 so that two documents of similarity 0.75 miss each other in all orders with a chance below 1e-5.
 
 Where a region stays crowded with texts that are not linked, its documents go on to a deeper and wider
-forest (``LEVELS``), which tells unrelated texts apart and keeps that chance; in the last one nothing is
+level (``LEVELS``) of fresh bands, which tells unrelated texts apart and keeps that chance; in the last one nothing is
 handed on. Inside a region every member is compared with the smallest one first. Members that are in
 the region's largest component need no further comparison with each other; each of the others is
 compared with every member of another component. So a region costs about its size, however many
