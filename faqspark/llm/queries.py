@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faqspark.llm import chat_parts, embedding_tiles, katz, mixing, near_dedup, packing, pii, pu_quality, rule_cascade, toxicity
+from faqspark.llm import (
+    chat_parts, embedding_tiles, katz, middle, mixing, near_dedup, packing, periodic_runs, pii, pu_quality, redirects, rule_cascade, toxicity,
+)
 from faqspark.llm.store import read
 
 CONTROL_SAMPLE = "</s>[INST] ok [/INST]"
@@ -55,8 +57,34 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read(spark, sf_dir, "documents"))
 
 
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text), one text in ten made periodic from some word on, as a hash of its id says."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    due = docs.withColumn("words", F.when(h % 10 == 0, words)).withColumns({"n": F.size("words").cast("long"), "g": F.floor(h / 10)})
+    cut = due.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    step = cut.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    moved = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    return step.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(planted_periods(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redirects.url_verdicts(read(spark, sf_dir, "pages"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.middle_report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_pu_quality, op3_rule_cascade, op4_katz, op5_temperature_mix, op6_chat_parts, op7_near_vectors, op8_toxicity, op9_packing, op10_personal_data)
+    f.__name__: f for f in (
+        op1_near_duplicates, op2_pu_quality, op3_rule_cascade, op4_katz, op5_temperature_mix, op6_chat_parts, op7_near_vectors, op8_toxicity, op9_packing, op10_personal_data,
+        op11_word_runs, op12_redirect_filter, op13_fill_in_middle)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -168,4 +196,78 @@ SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, least(vec_id, coalesce(l
   vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
 FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id"""
 
-ORACLES = {"op7_near_vectors": _OP7, "op1_near_duplicates": _OP1, "op3_rule_cascade": _OP3, "op5_temperature_mix": _OP5, "op6_chat_parts": _OP6}
+
+
+def _rest(url: str) -> str:
+    return f"CASE WHEN contains({url}, '://') THEN substr({url}, instr({url}, '://') + 3) ELSE '' END"
+
+
+def _host(url: str) -> str:
+    return f"translate(regexp_extract({_rest(url)}, '^[^/?#]*'), '{rule_cascade.CAPITALS}', '{rule_cascade.CAPITALS.lower()}')"
+
+
+def _path(url: str) -> str:
+    return f"regexp_extract({_rest(url)}, '^[^/?#]*([^?#]*)', 1)"
+
+
+def _address(url: str) -> str:
+    name, place = f"regexp_replace({_host(url)}, ':(80|443)$', '')", f"regexp_replace({_path(url)}, '/+$', '')"
+    query = f"string_split(regexp_extract({_rest(url)}, '^[^?#]*\\?([^#]*)', 1), '&')"
+    kept = f"list_sort(list_filter({query}, lambda p: p <> '' AND NOT regexp_matches(p, '(?i)^(utm_[^=]*|gclid|fbclid|ref)(=|$)')))"
+    return f"CASE WHEN {name} <> '' THEN {name} || {place} || CASE WHEN len({kept}) > 0 THEN '?' || array_to_string({kept}, '&') ELSE '' END END"
+
+
+def _rule(column: str) -> str:
+    def fits(r):
+        return f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
+
+    longest = sorted(redirects.RULES, key=lambda r: -len(r.name))
+    return "CASE " + " ".join(f"WHEN {fits(r)} THEN '{getattr(r, column)}'" for r in longest) + " END"
+
+
+_TAGS = r"""list_transform(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?i)<(?:link|meta)\b[^>]*>'),
+         lambda t: regexp_replace(t, '\s+', ' ', 'g'))"""
+_TARGET = r"""CASE WHEN regexp_matches(tag, '(?i)^<link\b.*\srel\s*=\s*["'']?canonical["''\s/>]') THEN regexp_extract(tag, '(?i)\shref\s*=\s*["'']?([^"''\s>]*)', 1)
+      WHEN regexp_matches(tag, '(?i)^<meta\b.*\shttp-equiv\s*=\s*["'']?refresh["''\s/>]') THEN regexp_extract(tag, '(?i)[\s;"'']url\s*=\s*["'']?\s*([^"''\s>]*)', 1) END"""
+
+_OP12 = rf"""
+WITH RECURSIVE t AS (SELECT url, unnest({_TAGS}) AS tag FROM pages),
+x AS (SELECT url AS source, replace(trim({_TARGET}), '&amp;', '&') AS t FROM t),
+e AS (SELECT source, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t
+        WHEN starts_with(t, '/') THEN 'http://' || {_host("source")} || t
+        ELSE 'http://' || {_host("source")} || CASE WHEN contains({_path("source")}, '/') THEN regexp_extract({_path("source")}, '^.*/') ELSE '/' END
+          || regexp_replace(t, '^\./', '') END AS target FROM x WHERE t <> '' AND source IS NOT NULL),
+l AS (SELECT {_address("source")} AS a, {_address("target")} AS b FROM e),
+y AS (SELECT a, b FROM l WHERE a <> b UNION SELECT b, a FROM l WHERE a <> b),
+r(a, b) AS (SELECT a, b FROM y UNION SELECT r.a, y.b FROM r JOIN y ON r.b = y.a),
+c AS (SELECT a AS address, least(a, min(b)) AS grp FROM r GROUP BY a),
+u AS (SELECT url FROM pages UNION ALL SELECT source FROM e UNION ALL SELECT target FROM e),
+h AS (SELECT url, {_host("url")} AS host, {_path("url")} AS path, {_address("url")} AS address FROM u),
+j AS (SELECT coalesce(grp, h.address) AS grp, {_rule("action")} AS action FROM h LEFT JOIN c USING (address) WHERE h.address IS NOT NULL),
+bad AS (SELECT grp FROM j GROUP BY grp HAVING count_if(action = 'block') > 0 AND count_if(action = 'allow') = 0),
+p AS (SELECT page_id, {_host("url")} AS host, {_path("url")} AS path, {_address("url")} AS address FROM pages)
+SELECT page_id, host, path, {_rule("name")} AS rule, coalesce({_rule("action")}, CASE WHEN bad.grp IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM p LEFT JOIN c USING (address) LEFT JOIN bad ON bad.grp = coalesce(c.grp, p.address)"""
+
+
+def _draw(k: int) -> str:
+    return f"('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), {8 * k + 1}, 8))::BIGINT"
+
+
+_OP13 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_draw(0)} AS h1, {_draw(1)} AS h2, {_draw(2)} AS h3, {_draw(3)} AS h4 FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units FROM d),
+n AS (SELECT *, len(units)::BIGINT AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b FROM u),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+          WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM n)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p"""
+
+ORACLES = {
+    "op1_near_duplicates": _OP1, "op3_rule_cascade": _OP3, "op5_temperature_mix": _OP5, "op6_chat_parts": _OP6, "op7_near_vectors": _OP7,
+    "op12_redirect_filter": _OP12, "op13_fill_in_middle": _OP13,
+}
