@@ -298,6 +298,8 @@ ORACLES: dict[str, str] = {
     "scan_messages": sql(
         "SELECT course_id, channel_id, ts, thread_ts, user_id, role, text, fetched_at FROM stored"
     ),
+    "broken_exports": sql("""SELECT course_id, channel_id, ts, NULL AS line, 'read' AS reason FROM stored WHERE user_id <> 'U0007'
+      UNION ALL SELECT course_id, NULL, NULL, '{"ts": "' || ts || '"', 'bad json' FROM stored WHERE user_id = 'U0007'"""),
     "scan_window": sql(f"""SELECT 'day' AS span, {DAY}, channel_id, ts FROM stored
         WHERE event_ts::DATE BETWEEN DATE '2024-08-12' AND DATE '2024-08-13'
       UNION ALL SELECT 'hours', {DAY}, channel_id, ts FROM stored

@@ -89,25 +89,38 @@ def _hits(hits: DataFrame) -> DataFrame:
 # --- sources and sinks ---------------------------------------------------------------------
 
 
+def _write_raw(kept: DataFrame, root: str, record: Callable[[Column], Column] = lambda line: line) -> None:
+    """Course 0 as an array on one line, course 1 as arrays over many lines, the others as JSON lines below a plain course directory."""
+    line, lines = (F.to_json(F.struct(*RAW_MESSAGE.names), options) for options in ({}, {"pretty": "true"}))
+    for course, text, glue in (("course-0", line, ","), ("course-1", lines, ",\n")):
+        page = F.substring("ts", 1, 6)
+        pages = kept.where(F.col("course_id") == course).groupBy(*ingest.DAY, page.alias("page")).agg(
+            F.concat(F.lit("["), F.array_join(F.collect_list(record(text)), glue), F.lit("]")).alias("value"))
+        pages.drop("page").write.option("maxRecordsPerFile", 1).mode("append").partitionBy(*ingest.DAY).text(root)
+    for course in ("course-2", "course-3", "course-4"):
+        kept.where(F.col("course_id") == course).select(*ingest.DAY[1:], record(line).alias("value")).write.partitionBy(
+            *ingest.DAY[1:]).text(f"{root}/{course}")
+
+
 @query
 def scan_messages(spark, sf):
-    """Two courses as arrays, the others as JSON lines below a plain course directory."""
     root = scratch_path(spark, "raw")
-    kept = _stored(spark, sf)
-    pages = ingest.course_day_pages(kept.where("course_id < 'course-2'"))
-    array = F.to_json(F.transform("messages", lambda m: m.dropFields("position")))
-    pages.select(*ingest.DAY, array.alias("value")).write.option("maxRecordsPerFile", 1).partitionBy(
-        *ingest.DAY
-    ).text(root)
-    for course in ("course-2", "course-3", "course-4"):
-        kept.where(F.col("course_id") == course).select(*ingest.DAY[1:], *RAW_MESSAGE.names).write.partitionBy(
-            *ingest.DAY[1:]
-        ).json(f"{root}/{course}")
+    _write_raw(stored(_stored(spark, sf), "messages"), root)
     return msgs.read_raw_exports(spark, root).select(
         "course_id", "channel_id", "ts", "thread_ts", "user_id", "role", "text", "fetched_at"
     )
 
 
+@query
+def broken_exports(spark, sf):
+    """One user's records are cut short, in arrays as in lines: each costs itself only."""
+    root = scratch_path(spark, "raw")
+    _write_raw(stored(_stored(spark, sf), "messages"), root, lambda line: F.when(
+        F.col("user_id") == "U0007", F.concat(F.lit('{"ts": "'), "ts", F.lit('"'))).otherwise(line))
+    good = msgs.read_raw_exports(spark, root).select("course_id", "channel_id", "ts", F.lit(None).cast("string").alias("line"), F.lit("read").alias("reason"))
+    return good.unionByName(msgs.rejected_raw_exports(spark, root), allowMissingColumns=True)
+
+
 @query
 def scan_window(spark, sf):
     root = scratch_path(spark, "messages")

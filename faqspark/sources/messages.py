@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from faqspark.functions.times import event_time
 from faqspark.operators.ingest import DAY, dedupe_messages, in_window
 from faqspark.runtime import stored
 from faqspark.schemas import RAW_MESSAGE, STORED_MESSAGE
+from faqspark.sources.json_records import record_texts
 
 
 def write_messages(messages: DataFrame, root: str, max_records_per_file: int = 1_000_000) -> None:
@@ -82,28 +82,34 @@ def read_window(
     return out.where(in_window(event_time(F.col("ts")), as_of, hours)) if hours else out
 
 
+def _raw_exports(spark: SparkSession, root: str) -> DataFrame:
+    """(path, text, records) of raw files; ``records`` is null where a text is no JSON object."""
+    texts = record_texts(spark, root)
+    whole = F.concat(F.lit("["), "text", F.lit("]"))
+    return texts.select("path", "text", F.from_json(whole, T.ArrayType(RAW_MESSAGE)).alias("records"))
+
+
 def read_raw_exports(spark: SparkSession, root: str) -> DataFrame:
     """Raw files ``<course>/year=/month=/day=/<date>.json``, each a JSON array or JSON lines.
 
-    Lines are read with the splittable text reader; a line holds one record or a whole array. Files
-    whose array runs over several lines are told by a line that opens an array and does not
-    close it, and are parsed whole, so a producer must keep those to what one task can hold. The
-    course directory may lack ``course_id=``, so the course comes from the decoded file path.
+    Arrays may run over any number of lines, in files of any size. A broken record costs itself only;
+    ``rejected_raw_exports`` has it. The course directory may lack ``course_id=``, so the course comes from the decoded
+    file path.
     """
-    reader = spark.read.option("recursiveFileLookup", True)
-    lines = reader.text(root).select(F.trim("value").alias("value"), F.col("_metadata.file_path").alias("path"))
-    opened = lines.where("startswith(value, '[') AND NOT endswith(value, ']')").select("path").distinct()
-    whole = [row["path"] for row in opened.collect()]
-    single = lines.where(~F.col("path").isin(whole)) if whole else lines
-    records = single.where("value != ''").select(
-        F.explode(F.from_json("value", T.ArrayType(RAW_MESSAGE))).alias("m"), "path"
-    ).select("m.*", "path")
-    if whole:
-        arrays = reader.schema(RAW_MESSAGE).option("multiLine", True).json([unquote(path) for path in whole])
-        records = records.unionByName(arrays.select("*", F.col("_metadata.file_path").alias("path")))
-    course = F.regexp_extract("path", r"/(?:course_id=)?([^/]+)/year=[0-9]+/month=[0-9]+/day=[0-9]+/", 1)
-    decoded = F.url_decode(F.replace(course, F.lit("+"), F.lit("%2B")))
-    return records.select(*RAW_MESSAGE.names, decoded.alias("course_id"))
+    records = _raw_exports(spark, root).select("path", F.explode("records").alias("m")).where("m IS NOT NULL").select("path", "m.*")
+    return records.select(*RAW_MESSAGE.names, _course("path").alias("course_id"))
+
+
+def rejected_raw_exports(spark: SparkSession, root: str) -> DataFrame:
+    """(course_id, line, reason) of what ``read_raw_exports`` cannot read, as text."""
+    bad = _raw_exports(spark, root).where("records IS NULL OR exists(records, m -> m IS NULL)")
+    return bad.select(_course("path").alias("course_id"), F.col("text").alias("line"), F.lit("bad json").alias("reason"))
+
+
+def _course(path: str) -> Column:
+    """Course directory of a file's path, decoded."""
+    course = F.regexp_extract(path, r"/(?:course_id=)?([^/]+)/year=[0-9]+/month=[0-9]+/day=[0-9]+/", 1)
+    return F.url_decode(F.replace(course, F.lit("+"), F.lit("%2B")))
 
 
 def read_permissive(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

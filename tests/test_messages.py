@@ -210,6 +210,61 @@ def test_raw_exports_read_arrays_and_lines(spark, tmp_path):
     )
 
 
+def export(folder, course, body):
+    day = folder / course / "year=2024" / "month=08" / "day=13"
+    day.mkdir(parents=True, exist_ok=True)
+    (day / "2024-08-13.json").write_text(body, encoding="utf-8")
+
+
+def reply(n):
+    """A record with nested objects, and text that looks like structure."""
+    return {"ts": f"{n}.0", "text": 'a "},\n{ [x]\\', "replies": [{"user": "U1", "ts": "9.9"}, {"user": "U2", "ts": "8.8"}], "n": {"a": {"b": 1}}}
+
+
+FORMS = ("lines", "array", "flat", "pretty", "tight")
+BROKEN = {"none": None, "cut": '{"ts": "x", "replies": [{"a": 1', "closed": '{"ts": "x"}}', "word": "oops", "list": '{"ts": [}'}
+
+
+def body_of(form, wrong):
+    """Forty records in one form, a broken one among them or, where all share a line, behind them."""
+    records = [json.dumps(reply(n), indent=None if form in ("lines", "array") else 1) for n in range(40)]
+    if form == "flat":
+        records = ["\n".join(line.strip() for line in r.split("\n")) for r in records]
+    joined = form in ("array", "tight")
+    if wrong and not joined:
+        records.insert(20, wrong)
+    text = {"lines": "\n", "array": ", ", "tight": ", "}.get(form, ",\n").join(records)
+    text = text if form == "lines" else f"[{text}]" if joined else f"[\n{text}\n]\n"
+    return f"{text}\n{wrong}\n" if wrong and joined else text
+
+
+@pytest.mark.parametrize("split", [1 << 20, 1500])
+def test_a_broken_record_costs_itself_only(spark, tmp_path, split):
+    for form in FORMS:
+        for name, wrong in BROKEN.items():
+            export(tmp_path, f"{form}-{name}", body_of(form, wrong))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        good = sorted((r.course_id, r.ts) for r in msgs.read_raw_exports(spark, str(tmp_path)).collect())
+        bad = sorted((r.course_id, r.line) for r in msgs.rejected_raw_exports(spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert good == sorted((f"{form}-{name}", f"{n}.0") for form in FORMS for name in BROKEN for n in range(40))
+    assert bad == sorted((f"{form}-{name}", wrong) for form in FORMS for name, wrong in BROKEN.items() if wrong)
+
+
+def test_a_cut_array_line_keeps_the_other_lines(spark, tmp_path):
+    lines = [json.dumps({"ts": f"{n}.0", "text": "t"}) for n in range(100)]
+    export(tmp_path, "c1", "\n".join([*lines[:3], '[{"ts": "x"', *lines[3:]]))
+    export(tmp_path, "c2", "[]\n \n[\n]\n")
+    export(tmp_path, "c3", '[{"ts": "1.0"}, {"ts": "x", {"ts": "2.0"}, {"ts": "2.0"')
+    good = msgs.read_raw_exports(spark, str(tmp_path))
+    assert sorted((r.course_id, r.ts) for r in good.collect()) == sorted([("c1", f"{n}.0") for n in range(100)] + [("c3", "1.0"), ("c3", "2.0")])
+    bad = msgs.rejected_raw_exports(spark, str(tmp_path)).collect()
+    assert sorted((r.course_id, r.line, r.reason) for r in bad) == [("c1", '{"ts": "x"', "bad json"), ("c3", '{"ts": "2.0"', "bad json"), ("c3", '{"ts": "x"', "bad json")]
+    assert "CartesianProduct" not in good._jdf.queryExecution().executedPlan().toString()
+
+
 def test_unreadable_lines_are_kept_apart(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"ts": "1.0"}\n{"ts": \n{"ts": "2.0"}\n', encoding="utf-8")
     good, bad = msgs.read_permissive(spark, str(tmp_path))
