@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 from pyspark.sql.functions import arrow_udf
 
 from faqspark.llm.components import components
@@ -43,9 +43,15 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q.astype(np.int8), scale, np.linalg.norm(x - q * scale[:, None], axis=1)
 
 
-def _unit(x: np.ndarray) -> np.ndarray:
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows in doubles, very large and very small ones by a power of two, so that their squares stay finite and above 0."""
     x = x.astype(np.float64)
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    power = np.frexp(np.abs(x).max(axis=1))[1]
+    return np.ldexp(x, np.where(np.abs(power) > 400, -power, 0)[:, None])
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = _scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -76,7 +82,7 @@ def _block(table: pa.Table) -> pa.Table:
     """One row for a group of vectors: ids, weights, the vectors, their int8 form, scales and errors."""
     table = table.sort_by("id")
     dim = table.column("dim")[0].as_py()
-    x = _matrix(table.column("embedding"), dim).astype(np.float64)
+    x = _scaled(_matrix(table.column("embedding"), dim))
     q, scale, error = quantised(_unit(x))
     angle = table.column("angle").to_numpy()
     data = {k: [v] for k, v in {
@@ -202,9 +208,11 @@ def near_vectors(vectors: DataFrame, *, threshold: float = THRESHOLD, block_numb
     Vectors are linked if their labels are equal and known and their cosine, in double precision, is at least
     ``threshold`` (above 0). Vectors that are null, empty, zero or hold null or non-finite components, vectors of different
     length and rows without vec_id are linked with nothing. Every row counts as a vector: copies link with each other.
-    Equal vectors of a label are one class with a weight, so a hot group of copies is compared once.
+    Equal vectors of a label are one class with a weight, so a hot group of copies is compared once. Components keep
+    their type, floats or doubles; any other type becomes doubles.
     """
-    x = F.transform("embedding", lambda v: v.cast("float"))
+    kind = "float" if isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType) else "double"
+    x = F.transform("embedding", lambda v: v.cast(kind))
     d1, d2 = F.xxhash64(F.lit(1), "embedding"), F.xxhash64("embedding", F.lit(2))
     rows = vectors.select("vec_id", F.col("label").cast("int").alias("label"), x.alias("embedding")).select(
         "vec_id", "label", "embedding", d1.alias("d1"), d2.alias("d2"), F.size("embedding").alias("dim"),
@@ -216,7 +224,7 @@ def near_vectors(vectors: DataFrame, *, threshold: float = THRESHOLD, block_numb
     heads = usable.join(named, match & (F.col("vec_id") == F.col("id"))).select("id", "copies", "label", "dim", "embedding", "d1", "d2")
     classes = Saved(heads.dropDuplicates(["id", "label", "d1", "d2"]).drop("d1", "d2"), "vectors").df
     pivots = _pivots(classes, block_numbers)
-    placed = Saved(classes.mapInArrow(_placed(pivots), "id bigint, copies bigint, label int, dim int, embedding array<float>, cell int, angle double"), "placed").df
+    placed = Saved(classes.mapInArrow(_placed(pivots), f"id bigint, copies bigint, label int, dim int, embedding array<{kind}>, cell int, angle double"), "placed").df
     cells = placed.groupBy("label", "dim", "cell").agg(F.ceil(F.count(F.lit(1)) * F.col("dim") / block_numbers).cast("long").alias("n_blocks"))
     keyed = placed.join(cells, ["label", "dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")))
     blocks = Saved(keyed.select("id", "copies", "label", "dim", "embedding", "cell", "angle", "block").groupBy(

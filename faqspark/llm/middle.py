@@ -15,6 +15,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from faqspark.llm.store import free_name
+
 #: Units: lines with their line break; code points; or words with the blanks after them, blanks in front being one too.
 LINE = r"(?:[^\n]*+\n|[^\n]++)"
 CHARACTER = r"(?s:.)"
@@ -22,6 +24,8 @@ WORD = r"(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+|[\x20\x09-\x0D]++)"
 #: Marks of prefix, suffix and middle.
 SENTINELS = ("<P>", "<S>", "<M>")
 PLAIN, PSM, SPM = "plain", "psm", "spm"
+#: The struct's name, with the first number that makes it free.
+STRUCT = "fim"
 
 
 def draws(row_id: Column, seed: int, count: int = 4) -> list[Column]:
@@ -49,7 +53,7 @@ def _checked(sentinels: Sequence[str]) -> tuple[str, str, str]:
 
 def cut(docs: DataFrame, *, row_id: str = "doc_id", unit: str = LINE, sentinels: Sequence[str] = SENTINELS,
         percent: int = 100, spm_percent: int = 50, seed: int = 7) -> DataFrame:
-    """``docs`` with one more column, a struct named by ``struct_name``: units, form and output of each row's text.
+    """``docs`` with one more column, a struct named like ``STRUCT``: units, form and output of each row's text.
 
     ``percent`` of the texts are rewritten, ``spm_percent`` of them with the suffix first. Null texts count as empty;
     empty texts and those that hold a sentinel stay plain. Rows of equal id and text are cut alike; without an id the
@@ -62,7 +66,7 @@ def cut(docs: DataFrame, *, row_id: str = "doc_id", unit: str = LINE, sentinels:
     for m in mark:
         held |= F.contains(text, F.lit(m))
     form = F.when((text == "") | held | (h3 % 100 >= percent), PLAIN).when(h4 % 100 < spm_percent, SPM).otherwise(PSM)
-    name = struct_name(docs)
+    name = free_name(docs, STRUCT)
     counted = docs.withColumn(name, F.struct(F.regexp_count(text, F.lit(unit)).cast("long").alias("units"), form.alias("form"), text.alias("text")))
     n, kind, whole = (F.col(f"{name}.{c}") for c in ("units", "form", "text"))
     first, second = h1 % (n + 1), h2 % (n + 1)
@@ -72,12 +76,6 @@ def cut(docs: DataFrame, *, row_id: str = "doc_id", unit: str = LINE, sentinels:
     return counted.withColumn(name, F.struct(n.alias("units"), kind.alias("form"), output.alias("output")))
 
 
-def struct_name(docs: DataFrame) -> str:
-    """A column name that ``docs`` does not have, in any case."""
-    taken = {c.lower() for c in docs.columns}
-    return next(f"fim{k}" for k in range(len(taken) + 1) if f"fim{k}" not in taken)
-
-
 def parts(output: Column, form: Column, sentinels: Sequence[str] = SENTINELS) -> Column:
     """Struct of prefix, middle and suffix, read back from an output; of a plain one the text is the suffix."""
     mark = _checked(sentinels)
@@ -104,7 +102,7 @@ def fill_in_middle(docs: DataFrame, **options) -> DataFrame:
 
     Null texts stay null. See ``cut`` for the options and for ties, repeated rows and clashing names.
     """
-    made, name = cut(docs, **options), struct_name(docs)
+    made, name = cut(docs, **options), free_name(docs, STRUCT)
     output = F.when(F.col("text").isNotNull(), F.col(f"{name}.output"))
     out = {"text": output}
     if "n_chars" in docs.columns:
@@ -118,7 +116,7 @@ def middle_report(docs: DataFrame, **options) -> DataFrame:
     Lengths are null for a plain form. An empty table gives no rows.
     """
     rows = docs.select("doc_id", "text")
-    made, name = cut(rows, **options), struct_name(rows)
+    made, name = cut(rows, **options), free_name(rows, STRUCT)
     form, output = F.col(f"{name}.form"), F.col(f"{name}.output")
     mark = options.get("sentinels", SENTINELS)
     back = made.withColumn("back", parts(output, form, mark))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from faqspark.llm.rule_cascade import words_of
-from faqspark.llm.store import Saved
+from faqspark.llm.store import Saved, free_name
 
 #: Exponents tried per pass over the source table; five halvings at once.
 _GRID = 32
@@ -24,7 +24,8 @@ def _number(*parts) -> Column:
 def source_shares(docs: DataFrame) -> DataFrame:
     """(source, n_docs, tokens, share) of rows (source, n_tokens); null is a source of its own."""
     stats = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("tokens"))
-    return stats.withColumn("share", F.col("tokens") / F.greatest(F.sum("tokens").over(Window.partitionBy()), F.lit(1)))
+    total = stats.agg(F.sum("tokens")).scalar()
+    return stats.withColumn("share", F.col("tokens") / F.greatest(total, F.lit(1)))
 
 
 def exponent(shares: DataFrame, budget: int, *, max_repeats: float | None = 4.0, target_entropy: float | None = None,
@@ -63,7 +64,8 @@ def quotas(shares: DataFrame, alpha: float, budget: int) -> DataFrame:
     A source without tokens costs nothing; its rows get one pass.
     """
     p = F.when(F.col("tokens") > 0, F.pow("share", F.lit(alpha))).otherwise(0.0)
-    weighted = shares.withColumn("p", p).withColumn("weight", F.col("p") / F.greatest(F.sum("p").over(Window.partitionBy()), F.lit(1e-300)))
+    total = shares.agg(F.sum(p)).scalar()
+    weighted = shares.withColumn("p", p).withColumn("weight", F.col("p") / F.greatest(total, F.lit(1e-300)))
     quota = F.floor(F.col("weight") * F.lit(float(budget))).cast("long")
     return weighted.withColumn("quota", quota).select(
         "source", "n_docs", "tokens", "weight",
@@ -72,15 +74,14 @@ def quotas(shares: DataFrame, alpha: float, budget: int) -> DataFrame:
 
 
 def plan_mix(docs: DataFrame, *, budget: int | None = None, max_repeats: float | None = 4.0, target_entropy: float | None = None,
-             seed: int = 17, fill: bool = False) -> DataFrame:
+             seed: int = 17) -> DataFrame:
     """How often, and where, each row of ``docs`` (doc_id, source, n_tokens) is used.
 
     Returns (doc_id, source, n_tokens, full, extra, block_rank, place): ``full`` whole passes, and one
     more if ``extra`` is 1. A source is cut by hash into about sqrt(rows) blocks; the order of the blocks
     and the order inside them are its permutation. The partial pass takes rows in this order while
-    their summed tokens stay within what is left of the source's budget, so a source never exceeds it, but
-    the first row that does not fit ends the pass. With ``fill`` it takes rows while those before them leave some
-    budget: no long row can keep others out, and a source exceeds its budget by less than one row.
+    those before them leave some of the source's budget: no long row keeps others out, a source's budget is used
+    up, and is exceeded by less than one row.
     No task sorts more than the blocks of a source or the rows of a block. ``budget`` defaults to
     the tokens of all rows. Rows with equal doc_id are ordered by their tokens; null sources form
     a source; rows without doc_id are ordered by tokens too.
@@ -101,10 +102,9 @@ def plan_mix(docs: DataFrame, *, budget: int | None = None, max_repeats: float |
     inside = Window.partitionBy("source", "block").orderBy("code", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
     joined = placed.join(blocks, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
     end = F.col("before") + F.sum("n_tokens").over(inside)
-    taken = end - F.col("n_tokens") < F.col("rest") if fill else end <= F.col("rest")
     return joined.select(
         "doc_id", "source", "n_tokens", "full",
-        F.when(taken & (F.col("rest") > 0), 1).otherwise(0).cast("long").alias("extra"),
+        F.when(end - F.col("n_tokens") < F.col("rest"), 1).otherwise(0).cast("long").alias("extra"),
         "block_rank", F.row_number().over(inside).cast("long").alias("place"))
 
 
@@ -117,8 +117,7 @@ def mixture(docs: DataFrame, **limits) -> DataFrame:
     """The realised mixture: one row (doc_id, source, n_tokens, pass, block_rank, place) per use of a document.
 
     ``pass``, ``block_rank`` and ``place`` give a source's order of use. Empty texts cost no tokens and
-    come along in whole passes, and in a partial pass up to its end. An empty table gives no rows. The partial
-    pass ends before the first document that does not fit, as the query's SQL has it; ``fill`` goes past it.
+    come along in whole passes, and in a partial pass while it lasts. An empty table gives no rows.
     """
     plan = plan_mix(with_tokens(docs), **limits)
     uses = F.col("full") + F.col("extra")
@@ -127,15 +126,16 @@ def mixture(docs: DataFrame, **limits) -> DataFrame:
 
 
 def mix(docs: DataFrame, **limits) -> DataFrame:
-    """``docs`` with every row as often as the mixture uses it, all columns kept.
+    """``docs`` with every row as often as the mixture uses it, all columns kept, whatever their names.
 
     Rows that share a doc_id are one document whose uses all its rows get. Rows without doc_id cannot
-    be told apart: they stay once each and count for no budget. Partial passes are filled: a source has
-    less than one document above its budget, and one long document keeps no others out.
+    be told apart: they stay once each and count for no budget. A source has less than one document above its
+    budget, and one long document keeps no others out. Null texts cost nothing; an empty table stays empty.
     """
     known = docs.where("doc_id IS NOT NULL")
     one = with_tokens(known).groupBy("doc_id").agg(F.min("source").alias("source"), F.sum("n_tokens").alias("n_tokens"))
-    uses = plan_mix(one, fill=True, **limits).select(F.col("doc_id").alias("_mix_id"), (F.col("full") + F.col("extra")).alias("_mix_uses"))
-    named = known.join(uses.where("_mix_uses > 0"), F.col("doc_id") == F.col("_mix_id"))
-    many = named.select(*[known[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), "_mix_uses")).alias("_mix_use"))
-    return many.drop("_mix_use").unionByName(docs.where("doc_id IS NULL"))
+    of, times, use = (free_name(docs, base) for base in ("mixed", "times", "use"))
+    uses = plan_mix(one, **limits).select(F.col("doc_id").alias(of), (F.col("full") + F.col("extra")).alias(times))
+    named = known.join(uses.where(F.col(times) > 0), F.col("doc_id") == F.col(of)).drop(of)
+    many = named.withColumn(use, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).drop(times, use)
+    return many.unionByName(docs.where("doc_id IS NULL"))

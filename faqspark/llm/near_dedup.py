@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, Window
 
 from faqspark.llm.components import components
-from faqspark.llm.store import Saved
+from faqspark.llm.store import Saved, free_name
 from faqspark.llm.words import Words, mix, shingles, slices
 
 WIDTH, PERCENT = 5, 75
@@ -278,10 +278,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates, that of the smallest doc_id; all columns stay.
+    """``docs`` with one row of each group of near duplicates, that of the smallest doc_id; all columns stay, whatever their names.
 
-    Rows with the same doc_id count as one document, of which one row stays; rows without doc_id all stay.
+    Rows with the same doc_id count as one document, of which the row with the smallest text stays (null first); rows
+    without doc_id all stay. Texts of other rows are not exchanged.
     """
-    dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_dropped_id")).distinct()
-    known = docs.where("doc_id IS NOT NULL").join(dropped, F.col("doc_id") == F.col("_dropped_id"), "left_anti")
-    return known.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    gone, many, place = (free_name(docs, base) for base in ("gone", "many", "place"))
+    dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias(gone)).distinct()
+    known = docs.where("doc_id IS NOT NULL").join(dropped, F.col("doc_id") == F.col(gone), "left_anti")
+    repeated = docs.groupBy(F.col("doc_id").alias(many)).count().where("count > 1").select(many)
+    same = F.col("doc_id") == F.col(many)
+    order = Window.partitionBy("doc_id").orderBy("text", *(c for c, kind in docs.dtypes if c != "text" and not kind.startswith(("map", "variant"))))
+    first = known.join(repeated, same, "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
+    return known.join(repeated, same, "left_anti").unionByName(first).unionByName(docs.where("doc_id IS NULL"))

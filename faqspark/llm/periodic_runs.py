@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
+from faqspark.llm.store import free_name
 from faqspark.llm.words import Words, mix, slices
 
 #: A run has at least so many words, and at least so many times its period.
@@ -260,7 +261,7 @@ def without_repeats(docs: DataFrame, *, min_length: int = MIN_LENGTH, min_expone
     texts stay, repeated rows change alike, an empty table stays empty.
     """
     found = run_columns(F.col("text"), min_length, min_exponent)
-    name = next(f"found{k}" for k in range(len(docs.columns) + 1) if f"found{k}" not in docs.columns)
+    name = free_name(docs, "found")
     many = docs.withColumn(name, found)
     changed = F.size(F.col(name)["runs"]) > 0
     out = {"text": F.when(changed, F.col(name)["collapsed"]).otherwise(F.col("text"))}

@@ -91,6 +91,7 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
+# Longest name and label of an address, most labels after the first, most digits: longer candidates are no address or number.
 _AT, _DOT = r"(?: ?@ ?| at | ?\(at\) ?| ?\[at\] ?)", r"(?:\.| dot | ?\(dot\) ?| ?\[dot\] ?)"
 _LOOSE_EMAIL = re.compile(rf"(?<![\w.%+-])[A-Za-z0-9._%+-]{{1,64}}{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,6}}", re.IGNORECASE)
 _LOOSE_IP = re.compile(r"(?<![\w.])[0-9]{1,3}(?:(?: ?\. ?| dot |\[\.\]|\(\.\))[0-9]{1,3}){3}(?![\w])")
@@ -100,8 +101,8 @@ _LOOSE_NUMBER = re.compile(r"(?<![\w+])\(?[0-9](?:[ ()./_-]{0,2}[0-9]){6,24}(?!\
 def proposals(text: str) -> list[Span]:
     """Candidate spans of high recall, overlapping ones included."""
     found: list[Span] = []
-    if any(s in text for s in (" at ", "(at)", "[at]", "@", " AT ", "(AT)", "[AT]")):
-        lowered = text.lower()
+    lowered = text.lower()
+    if any(s in lowered for s in (" at ", "(at)", "[at]", "@")):
         if "dot" in lowered or "@" in text:
             found += [("email", m.start(), m.end()) for m in _LOOSE_EMAIL.finditer(text)]
     if _DIGIT.search(text):
@@ -327,7 +328,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every row of ``docs``.
 
     Counts and digest are of the well-formed spans, ``spans`` lists all; offsets are code points. Null and empty texts have
-    none. Repeated rows get equal results; rows without doc_id are searched too but not learnt from.
+    none. Repeated rows get equal results; rows without doc_id are searched too but not learnt from. An empty table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(train(docs))
 
@@ -356,7 +357,11 @@ def redact(text: str | None, model: Model | None) -> str | None:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with personal data replaced in ``text``, and ``n_chars`` counted anew where there is such a column."""
+    """``docs`` with personal data replaced in ``text``, and ``n_chars`` counted anew where there is such a column.
+
+    Null and empty texts stay as they are, repeated rows change alike, rows without doc_id are searched but not learnt
+    from; an empty table stays empty. All other columns pass through, whatever their names.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     @arrow_udf("string")

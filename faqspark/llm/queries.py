@@ -165,7 +165,7 @@ n AS (SELECT l.doc_id, l.source, l.n_tokens, full_passes, rest, block_rank, row_
         before + sum(l.n_tokens) OVER (PARTITION BY l.source, l.block ORDER BY code, l.doc_id, l.n_tokens ROWS UNBOUNDED PRECEDING) AS last
       FROM l JOIN o ON l.source IS NOT DISTINCT FROM o.source AND l.block = o.block
       WINDOW w AS (PARTITION BY l.source, l.block ORDER BY code, l.doc_id, l.n_tokens)),
-m AS (SELECT *, full_passes + CASE WHEN last <= rest AND rest > 0 THEN 1 ELSE 0 END AS uses FROM n)
+m AS (SELECT *, full_passes + CASE WHEN last - n_tokens < rest THEN 1 ELSE 0 END AS uses FROM n)
 SELECT doc_id, source, n_tokens, unnest(range(uses::BIGINT))::BIGINT AS pass, block_rank::BIGINT AS block_rank, place::BIGINT AS place
 FROM m WHERE uses > 0"""
 

@@ -22,6 +22,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return session(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    return next(f"{base}{k}" for k in range(len(taken) + 1) if f"{base}{k}".lower() not in taken)
+
+
 class Saved:
     """A table written below the shared folder; ``df`` reads it, ``drop`` removes it."""
 

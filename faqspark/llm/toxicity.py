@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from faqspark.llm.folds import first_by_hash, held_out, label_table
-from faqspark.llm.store import Saved
+from faqspark.llm.store import Saved, free_name
 from faqspark.llm.words import Words, hash_runs, mix, slices
 
 BUCKET_BITS = 20
@@ -38,6 +38,12 @@ IDENTITY_TERMS = (
     ("people", "women", "men", "immigrants", "refugees", "muslims", "jews", "christians", "hindus", "buddhists", "atheists", "catholics", "lesbians"),
     ("local", "black", "white", "asian", "african", "european", "american", "mexican", "indian", "chinese", "arab", "jewish", "islamic",
      "gay", "straight", "transgender", "bisexual", "disabled", "blind", "deaf", "old", "young", "female", "male"),
+    ("persona", "mujer", "hombre", "inmigrante", "refugiado", "refugiada", "musulmán", "musulmana", "judío", "judía", "cristiano", "cristiana", "gitano", "gitana", "lesbiana"),
+    ("personas", "mujeres", "hombres", "inmigrantes", "refugiados", "refugiadas", "musulmanes", "musulmanas", "judíos", "judías", "cristianos", "cristianas", "gitanos", "gitanas", "lesbianas"),
+    ("personne", "femme", "homme", "immigré", "immigrée", "réfugié", "réfugiée", "musulman", "musulmane", "juif", "juive", "chrétien", "chrétienne", "lesbienne"),
+    ("personnes", "femmes", "hommes", "immigrés", "immigrées", "réfugiés", "réfugiées", "musulmans", "musulmanes", "juifs", "juives", "chrétiens", "chrétiennes", "lesbiennes"),
+    ("mensch", "frau", "mann", "einwanderer", "einwanderin", "flüchtling", "muslimin", "jude", "jüdin", "christ", "christin", "lesbe"),
+    ("menschen", "frauen", "männer", "einwanderinnen", "flüchtlinge", "muslime", "musliminnen", "juden", "jüdinnen", "christen", "christinnen", "lesben"),
 )
 
 
@@ -180,6 +186,10 @@ class Model:
     slot: np.ndarray
     weight: np.ndarray
     bias: float
+    #: Log odds of the labelled share of class 1: what is known of a text that has no bucket with a weight.
+    odds: float
+    #: Whether anything telling was found; if not, the score says nothing of a text.
+    informed: bool = True
 
     def score(self, column: pa.Array) -> np.ndarray:
         row, bucket = features(Words(column))
@@ -187,7 +197,8 @@ class Model:
         hit = slot >= 0
         pairs = _distinct((row[hit].astype(np.int64) << 16) | slot[hit])
         total = np.bincount(pairs >> 16, weights=self.weight[pairs & 0xFFFF], minlength=len(column))
-        return 1 / (1 + np.exp(-np.clip(total + self.bias, -40, 40)))
+        some = np.bincount(pairs >> 16, minlength=len(column)) > 0
+        return 1 / (1 + np.exp(-np.clip(np.where(some, total + self.bias, self.odds), -40, 40)))
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,15 +236,19 @@ def fit(label: np.ndarray, buckets: list[np.ndarray], changed: list[tuple[np.nda
         fairness: float = 4.0, ridge: float = 1e-3, steps: int = 300) -> Model:
     """Weights that minimise balanced log loss + ``fairness`` * mean squared score change + ``ridge`` * squared weights.
 
-    Full-batch gradient descent with per-weight step sizes (Adam). Without rows of both classes the score is the share of class 1.
+    Full-batch gradient descent with per-weight step sizes (Adam). Where nothing tells the classes apart, and without rows
+    of both, the score of every text is the labelled share of class 1.
     """
     share = float(label.mean()) if len(label) else 0.0
     slot = np.full(1 << BUCKET_BITS, -1, np.int32)
+    odds = float(np.log(share / (1 - share))) if 0 < share < 1 else 20.0 if share else -20.0
     if not 0 < share < 1:
-        return Model(slot, np.zeros(1), 20.0 if share else -20.0)
+        return Model(slot, np.zeros(1), 0.0, odds, informed=False)
     row = np.repeat(np.arange(len(buckets)), [len(b) for b in buckets])
     bucket = np.concatenate(buckets)
     chosen = _chosen(label, row, bucket)
+    if not len(chosen):
+        return Model(slot, np.zeros(1), 0.0, odds, informed=False)
     slot[chosen] = np.arange(len(chosen))
     place = slot[bucket]
     row, place = row[place >= 0], place[place >= 0]
@@ -244,12 +259,12 @@ def fit(label: np.ndarray, buckets: list[np.ndarray], changed: list[tuple[np.nda
     move_row, move_at, move_by = move_row[move_at >= 0].astype(int), move_at[move_at >= 0].astype(int), move_by[move_at >= 0]
     n, m = len(label), max(len(changed), 1)
     balance = np.where(label == 1, 0.5 / share, 0.5 / (1 - share))
-    weight, bias = np.zeros(max(len(chosen), 1)), 0.0
+    weight, bias = np.zeros(len(chosen)), 0.0
     mean, square = np.zeros(len(weight) + 1), np.zeros(len(weight) + 1)
     for step in range(1, steps + 1):
         total = np.bincount(row, weights=weight[place], minlength=n) + bias
         gap = balance * (1 / (1 + np.exp(-np.clip(total, -40, 40))) - label) / n
-        slope = np.bincount(place, weights=gap[row], minlength=len(weight)) + 2 * ridge * weight / max(len(weight), 1) ** 0.5
+        slope = np.bincount(place, weights=gap[row], minlength=len(weight)) + 2 * ridge * weight / len(weight) ** 0.5
         if len(move_at):
             shift = np.bincount(move_row, weights=move_by * weight[move_at], minlength=m)
             slope += 2 * fairness / m * np.bincount(move_at, weights=move_by * shift[move_row], minlength=len(weight))
@@ -257,7 +272,7 @@ def fit(label: np.ndarray, buckets: list[np.ndarray], changed: list[tuple[np.nda
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
         move = 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
         weight, bias = weight - move[:-1], bias - move[-1]
-    return Model(slot, weight, bias)
+    return Model(slot, weight, bias, odds)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", max_train: int = MAX_TRAIN, max_swaps: int = MAX_SWAPS) -> Model:
@@ -295,11 +310,23 @@ def with_score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of ``docs``; a row without doc_id counts as held out."""
+    """(doc_id, held_out, score, predicted) of every row of ``docs``; a row without doc_id counts as held out.
+
+    Null and empty texts get the score of no words. Repeated rows get equal scores, an empty table gives no rows. Further
+    columns of either table are left alone. Without labels every score is near 0.
+    """
     scored = with_score(docs.select("doc_id", "text"), train(docs, labels))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, all columns kept."""
-    return with_score(docs, train(docs, labels), "_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    """The rows of ``docs`` that are not predicted toxic, all columns kept, whatever their names.
+
+    A model that found nothing telling in the labels rejects nothing, so null and empty texts stay, and an unlabelled or
+    empty table stays as it is. Repeated rows stay or go together; rows without doc_id are judged too.
+    """
+    model = train(docs, labels)
+    if not model.informed:
+        return docs
+    name = free_name(docs, "toxicity")
+    return with_score(docs, model, name).where(F.col(name) < 0.5).drop(name)

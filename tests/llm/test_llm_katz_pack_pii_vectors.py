@@ -292,3 +292,25 @@ def test_int8_bound_holds():
     size = np.linalg.norm(q * scale[:, None], axis=1)
     bound = (q.astype(float) @ q.T.astype(float)) * np.outer(scale, scale) + np.outer(size, error) + error[:, None] * (size + error)[None, :]
     assert (bound >= x @ x.T - 1e-12).all()
+
+
+def test_vectors_of_doubles_are_compared_in_doubles(spark):
+    import math
+
+    def at(cosine):
+        return [cosine, math.sqrt(1 - cosine * cosine)]
+
+    rows, k = [], 0
+    for gap in (1e-9, 2e-9, 5e-10, -1e-9, -5e-10):
+        rows += [(k, [1.0, 0.0], k // 2), (k + 1, at(0.93 + gap), k // 2)]
+        k += 2
+    for scale in (1e300, 1e-300, 1e200):
+        rows += [(k, [scale, 0.0], k // 2), (k + 1, [scale * 0.95, scale * 0.2], k // 2)]
+        k += 2
+    got = {r.vec_id: r.n_links for r in embedding_tiles.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()}
+    assert [got[i] for i in range(0, k, 2)] == [1, 1, 1, 0, 0, 1, 1, 1]
+
+
+@pytest.mark.parametrize("text", ["Jane.Doe At example Dot com", "write to jane.doe AT example DOT com", "jane (At) example (Dot) org"])
+def test_spelt_out_addresses_are_proposed_in_any_case(text):
+    assert any(kind == "email" for kind, _, _ in pii.proposals(text))

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from llm_cases import docs, empty, labels, no_labels, rows
+from pyspark.sql import functions as F
 
 from faqspark.llm import pu_quality, toxicity
 
@@ -123,3 +124,55 @@ def test_prior_and_non_negative_risk():
     net = pu_quality.fit_non_negative(positive, unlabelled, prior)
     assert (net.score(rng.normal(1.5, 1, (500, 2))) > 0.5).mean() > 0.93
     assert (net.score(rng.normal(-1.5, 1, (500, 2))) < 0.5).mean() > 0.93
+
+
+@pytest.mark.parametrize("n, every", [(400, 80), (400, 133), (40, 2), (3, 1)])
+def test_labels_that_nothing_tells_reject_nothing(spark, n, every):
+    """Texts have nothing to do with their labels, of which few, half or all are toxic."""
+    frame = spark.createDataFrame([(k, f"own{k} text{k}") for k in range(n)], "doc_id bigint, text string").withColumn("toxicity0", F.lit(1))
+    marks = spark.createDataFrame([(k, int(k % every == 0)) for k in range(n)], "doc_id bigint, toxic int")
+    kept = toxicity.without_toxic(frame, marks)
+    assert kept.columns == frame.columns and kept.count() == n
+
+
+def test_texts_without_telling_words_score_the_labelled_share():
+    toxic, clean = [f"w{k} vile scum" for k in range(20)], [f"w{k} kind bloom" for k in range(60)]
+    model = toxicity.fit(np.array([1.0] * 20 + [0.0] * 60), encoded(toxic + clean), [])
+    score = model.score(__import__("pyarrow").array(["unknown", "", None, "vile scum", "kind bloom"]))
+    assert score[:3] == pytest.approx([0.25] * 3) and score[3] > 0.9 and score[4] < 0.1
+
+
+@pytest.mark.parametrize("sentence, term", [("Aquellas mujeres cantan.", "hombres"), ("Cette femme chante.", "homme"), ("Die Juden singen.", "jüdinnen")])
+def test_swaps_in_other_languages(sentence, term):
+    assert any(term in after.lower() for _, after in toxicity.swaps(sentence))
+
+
+def plain_loss_slope(label, buckets, moves, fairness, ridge, weight, bias):
+    """The documented loss, and its slope by differences."""
+    share = label.mean()
+
+    def loss(w, b):
+        z = np.array([sum(w[k] for k in some) + b for some in buckets])
+        p = 1 / (1 + np.exp(-z))
+        fit = -np.mean(np.where(label == 1, 0.5 / share * np.log(p), 0.5 / (1 - share) * np.log(1 - p)))
+        change = np.mean([(sum(w[k] for k in gained) - sum(w[k] for k in lost)) ** 2 for lost, gained in moves]) if moves else 0.0
+        return fit + fairness * change + ridge * (w**2).sum() / len(w) ** 0.5
+
+    h = 1e-5
+    own = loss(weight, bias)
+    return own, [(loss(weight + h * np.eye(len(weight))[k], bias) - own) / h for k in range(len(weight))] + [(loss(weight, bias + h) - own) / h]
+
+
+def test_fit_minimises_the_documented_loss():
+    """The weights found are a minimum of the loss written out plainly: no direction improves it by much."""
+    texts = [f"{a} {b}" for a in ("vile", "scum") for b in ("women", "men")] * 6 + [f"{a} {b}" for a in ("kind", "calm") for b in ("women", "people")] * 9
+    label = np.array([1.0] * 24 + [0.0] * 36)
+    buckets = encoded(texts)
+    pairs = [p for t in texts for p in toxicity.swaps(t)][:40]
+    before, after = (encoded([p[k] for p in pairs]) for k in (0, 1))
+    changed = [(np.setdiff1d(x, y), np.setdiff1d(y, x)) for x, y in zip(before, after)]
+    model = toxicity.fit(label, buckets, changed, steps=3000)
+    own = lambda some: [int(k) for k in model.slot[some] if k >= 0]
+    value, slope = plain_loss_slope(label, [own(b) for b in buckets], [(own(x), own(y)) for x, y in changed], 4.0, 1e-3, model.weight, model.bias)
+    worse, _ = plain_loss_slope(label, [own(b) for b in buckets], [(own(x), own(y)) for x, y in changed], 4.0, 1e-3, model.weight * 0, 0.0)
+    assert value < worse and max(abs(g) for g in slope) < 2e-2

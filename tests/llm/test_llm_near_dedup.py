@@ -4,6 +4,7 @@ import random
 
 import pytest
 from llm_cases import docs, empty, rows
+from pyspark.sql import functions as F
 
 from faqspark.llm import near_dedup
 from faqspark.llm.components import components
@@ -111,3 +112,13 @@ def test_components_of_chains_and_stars(spark):
     chain = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
     got = {r.id: r.component_id for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 160)}
+
+
+def test_stage_keeps_columns_of_any_name_and_the_smallest_text(spark):
+    table = docs(spark).withColumns({n: F.lit(1) for n in ("gone0", "Many0", "place0", "_dropped_id", "k", "count")})
+    twice = table.unionByName(table.where("doc_id = 101").withColumn("text", F.lit("a smaller text")))
+    kept = near_dedup.without_near_duplicates(twice)
+    assert kept.columns == table.columns and kept.where("place0 != 1").count() == 0
+    ids = [r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()]
+    assert len(ids) == len(set(ids)) and kept.where("doc_id IS NULL").count() == 2
+    assert kept.where("doc_id = 101").first().text == "a smaller text"

@@ -87,11 +87,11 @@ def test_mixture_stays_within_budgets_and_is_a_permutation(spark):
         assert len({(r.block_rank, r.place) for r in own}) == len(own)
         size = sum(r.n_tokens for r in own)
         used = sum(r.n_tokens * (r.full + r.extra) for r in own)
-        assert used <= 2.0 * size + 1e-6
+        assert used < 2.0 * size + 12
         order = sorted(own, key=lambda r: (r.block_rank, r.place))
         extras = [r.extra for r in order]
         assert extras == sorted(extras, reverse=True), "the partial pass is a prefix of the permutation"
-    assert sum(r.n_tokens * (r.full + r.extra) for r in plan) <= total
+    assert total <= sum(r.n_tokens * (r.full + r.extra) for r in plan) + 2 < total + 2 * 12
 
 
 def test_one_giant_document_keeps_no_others_out_of_the_mix(spark):
@@ -106,6 +106,31 @@ def test_one_giant_document_keeps_no_others_out_of_the_mix(spark):
         assert used["big"] < 8_000 + 30_000
 
 
+def test_every_source_uses_up_its_budget(spark):
+    """The query's rows: a source has its quota, and less than one document above it, in whatever order it comes."""
+    table = [(k, 20_000 if k == 7 else 10, "big") for k in range(2001)] + [(5000 + k, 10, "one") for k in range(500)]
+    frame = spark.createDataFrame(table, "doc_id bigint, n_tokens bigint, source string")
+    for seed in range(5):
+        plan = mixing.plan_mix(frame, budget=40_000, max_repeats=None, target_entropy=0.68, seed=seed).collect()
+        used = Counter()
+        for r in plan:
+            used[r.source] += r.n_tokens * (r.full + r.extra)
+        assert 15_000 < used["one"] < 25_000 and 15_000 < used["big"] < 25_000 + 20_000
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    table = docs(spark).withColumns({n: F.lit(1) for n in ("mixed0", "Times0", "use0", "_mix_use", "_mix_id", "_mix_uses")})
+    mixed = mixing.mix(table)
+    assert mixed.columns == table.columns and mixed.where("use0 != 1 OR _mix_use != 1").count() == 0
+
+
+def test_repeated_words_of_very_long_texts(spark):
+    """Four million words, each window once but for one: hashes that lost bits to the positions find others."""
+    words = F.transform(F.sequence(F.lit(1), F.lit(4_000_000)), lambda k: F.when(k > 3_999_997, k - 3_000_000).otherwise(k).cast("string"))
+    text = spark.range(1).select(F.array_join(words, " ").alias("text"))
+    assert text.select(rule_cascade.Facts(F.col("text")).n_repeat_words.alias("n")).first().n == 6
+
+
 def test_mix_awkward_rows(spark):
     mixed = mixing.mix(docs(spark))
     assert mixed.columns == docs(spark).columns
