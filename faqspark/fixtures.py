@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from faqspark.runtime import prepare
+from faqspark.runtime import prepare, spread
 
 SALT = "fixture-salt"
 FIRST_FETCH = "2024-08-14T06:00:00Z"
@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,38 +3,40 @@
 Points have ``id`` (string), ``dense``, ``sparse`` and, when searches are confined to parts of
 the corpus, a ``scope`` column; queries have ``query_id`` (string), the same vectors and scope.
 
-The scan is the only pass over the corpus. Queries come in blocks of bounded size that every
-task holds as one matrix; a task keeps its best ``depth`` points per query and emits only
-those, so what is shuffled is (tasks x queries x depth) small rows, never a point's vector and
-never a row per (query, point). Building those pairs with joins would shuffle all of them.
+One job scores all queries, however many there are. Queries are dealt into groups that a task can hold. A single
+group is broadcast, and the scan of the points is the only pass over them. Several groups meet shards of the
+points in a cogroup by (shard, group): a query travels once per shard, a point once per group, and neither passes
+the driver. A task keeps its best ``depth`` points per query and emits only those, never a row per (query, point); they
+are merged in two steps. Queries of a scope are scored on the points of that scope alone.
 """
 
 from __future__ import annotations
 
 import heapq
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import reduce
 from math import ceil
 from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faqspark.operators.embedding import idf, term_rows, term_stats
 from faqspark.runtime import stored
-from faqspark.sources.collections import bucket_of
 
 # Tasks get this module's functions by value, so workers need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-QUERY_BLOCK = 1024
-TERM_BLOCK = 1 << 20
-PAIRS = 1 << 21
-SLAB = 2048
+# Queries and query terms of a group, about; points of a shard, about.
+GROUP_QUERIES, GROUP_TERMS, SHARD_POINTS = 4096, 1 << 20, 1 << 15
+# Points that share entries with queries, and cells of a score matrix, computed at a time.
+PAIRS, CELLS = 1 << 21, 1 << 21
+# Shards whose candidates meet before all candidates of a query do.
+TIER_SHARDS = 64
 RRF_K = 60
 DIGITS = 6
 CANDIDATE = "kind string, query_id string, id string, score double"
@@ -42,15 +44,14 @@ CANDIDATE = "kind string, query_id string, id string, score double"
 
 @dataclass
 class QueryBlock:
-    """At most ``QUERY_BLOCK`` queries as arrays; sparse queries as (sorted term, query, weight)."""
+    """Queries of one scope as arrays; sparse queries as (sorted term, query, weight)."""
 
+    scope: str | None
     ids: list[str]
-    scopes: np.ndarray | None
     dense: np.ndarray | None = None
     terms: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     term_query: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     term_weight: np.ndarray = field(default_factory=lambda: np.empty(0))
-    sparse: bool = False
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -118,48 +119,104 @@ class Best:
                 self.floors[q] = -self.kept[q][-1][0]
 
 
-def _candidates(points: DataFrame, block: QueryBlock, depth: int) -> DataFrame:
-    """Best ``depth`` points per query of each task, for the vector kinds the block has."""
-    sent = points.sparkSession.sparkContext.broadcast(vars(block))
-    kinds = (["dense"] if block.dense is not None else []) + (["sparse"] if block.sparse else [])
+def _blocks(queries: pa.Table, kinds: list[str]) -> list[QueryBlock]:
+    """The queries (query_id, scope?, dense?, terms?) of each scope as one block."""
+    scopes = queries.column("scope").unique().to_pylist() if "scope" in queries.column_names else [None]
+    blocks = []
+    for scope in scopes:
+        own = queries if "scope" not in queries.column_names else queries.filter(pc.equal(queries.column("scope"), scope))
+        if not own.num_rows:
+            continue
+        block = QueryBlock(scope, own.column("query_id").to_pylist())
+        if "dense" in kinds:
+            rows = own.column("dense").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            block.dense = _unit(rows.reshape(own.num_rows, -1))
+        if "sparse" in kinds:
+            lists = own.column("terms").combine_chunks()
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            flat = lists.flatten()
+            term, weight = (flat.field(name).to_numpy(zero_copy_only=False) for name in ("idx", "weight"))
+            query = np.repeat(np.arange(own.num_rows), sizes)
+            by_term = np.lexsort((query, term))
+            block.terms, block.term_query, block.term_weight = term[by_term].astype(np.int64), query[by_term], weight[by_term]
+        blocks.append(block)
+    return blocks
+
+
+def _search(points: Iterable[pa.RecordBatch], blocks: list[QueryBlock], kinds: list[str], depth: int, more: list[str]) -> pa.Table:
+    """Best ``depth`` of the points for every query and kind, with the points' columns ``more``."""
+    score = {"dense": _dense_scores, "sparse": _sparse_scores}
+    best = [{kind: Best(np.full(len(b.ids), -np.inf), [[] for _ in b.ids]) for kind in kinds} for b in blocks]
+    step = max(64, CELLS // max([len(b.ids) for b in blocks], default=1))
+    for batch in points:
+        scopes = batch.column("scope") if "scope" in batch.schema.names else None
+        for block, kept in zip(blocks, best):
+            own = batch if scopes is None else batch.filter(pc.equal(scopes, block.scope))
+            for start in range(0, own.num_rows, step):
+                slab = own.slice(start, step)
+                ids = np.array(list(zip(*(slab.column(c).to_pylist() for c in ("id", *more)))) + [None], object)[:-1]
+                for kind in kinds:
+                    kept[kind].add(*score[kind](block, slab.column(kind)), ids, depth)
+    rows = [(kind, block.ids[q], *point, -loss)
+            for block, kept in zip(blocks, best) for kind in kinds for q, some in enumerate(kept[kind].kept) for loss, point in some]
+    columns = list(zip(*rows)) if rows else [[] for _ in range(4 + len(more))]
+    names = ["kind", "query_id", "id", *more, "score"]
+    kind_of = {"score": pa.float64()} | {c: pa.int32() for c in more}
+    return pa.table({name: pa.array(list(column), kind_of.get(name, pa.string())) for name, column in zip(names, columns)})
+
+
+def _by_broadcast(points: DataFrame, queries: DataFrame, kinds: list[str], depth: int, more: list[str], schema: str) -> DataFrame:
+    """Candidates for a group of queries that every task holds; its size is checked by the caller."""
+    blocks = [vars(block) for block in _blocks(queries.toArrow(), kinds)]
+    sent = points.sparkSession.sparkContext.broadcast(blocks)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = SimpleNamespace(**sent.value)
-        if not queries.ids:
-            return
-        score = {"dense": _dense_scores, "sparse": _sparse_scores}
-        n = len(queries.ids)
-        best = {kind: Best(np.full(n, -np.inf), [[] for _ in range(n)]) for kind in kinds}
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLAB):
-                slab = batch.slice(start, SLAB)
-                ids = slab.column("id").to_numpy(zero_copy_only=False)
-                inside = True
-                if queries.scopes is not None:
-                    scopes = slab.column("scope").to_numpy(zero_copy_only=False)
-                    inside = scopes[:, None] == queries.scopes[None, :]
-                for kind in kinds:
-                    scores, allowed = score[kind](queries, slab.column(kind))
-                    best[kind].add(scores, allowed & inside, ids, depth)
-        rows = [
-            (kind, queries.ids[q], point, -loss)
-            for kind in kinds for q, kept in enumerate(best[kind].kept) for loss, point in kept
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                (pa.string(), pa.string(), pa.string(), pa.float64()))],
-            names=["kind", "query_id", "id", "score"],
-        )
-
-    columns = ["id", *kinds, *(["scope"] if block.scopes is not None else [])]
-    if block.scopes is not None:
-        points = points.where(F.col("scope").isin(sorted(set(block.scopes))))
-    return points.select(*columns).mapInArrow(search, CANDIDATE)
+        yield from _search(batches, [SimpleNamespace(**b) for b in sent.value], kinds, depth, more).to_batches()
+
+    return points.mapInArrow(search, schema)
+
+
+def _by_shard(points: DataFrame, queries: DataFrame, groups: int, kinds: list[str], depth: int, more: list[str], schema: str) -> DataFrame:
+    """Candidates of every shard of the points for every group of queries, in one cogroup."""
+    shards = max(1, ceil(points.count() / SHARD_POINTS))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    own = points.select("*", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("_shard"), numbers(groups).alias("_group"))
+    asked = queries.select("*", numbers(shards).alias("_shard"), F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("_group"))
+
+    def search(some: pa.Table, group: pa.Table) -> pa.Table:
+        return _search(some.combine_chunks().to_batches(), _blocks(group, kinds), kinds, depth, more)
+
+    sides = [side.groupBy("_shard", "_group") for side in (own, asked)]
+    return sides[0].cogroup(sides[1]).applyInArrow(search, schema)
+
+
+def _candidates(points: DataFrame, queries: DataFrame, kinds: list[str], depth: int, stats: DataFrame | None, more: list[str]) -> DataFrame:
+    """(kind, query_id, id, *more, score): at least the best ``depth`` points per query and kind."""
+    scope = ["scope"] if "scope" in queries.columns else []
+    packed = queries.select("query_id", *scope, *(["dense"] if "dense" in kinds else []))
+    if "sparse" in kinds:
+        packed = packed.join(_weighted_queries(queries, stats), "query_id", "left")
+    packed = stored(packed, "queries")
+    terms = F.sum(F.size("terms")) if "sparse" in kinds else F.lit(0)
+    total = packed.agg(F.count("*").alias("n"), terms.alias("terms")).first()
+    groups = max(1, ceil(total["n"] / GROUP_QUERIES), ceil((total["terms"] or 0) / GROUP_TERMS))
+    if scope:
+        # An inner join side: only scopes that are asked for are scored.
+        points = points.join(packed.select("scope").distinct(), "scope", "left_semi")
+    own = points.select("id", *kinds, *scope, *more)
+    schema = CANDIDATE.replace("score", "".join(f"{c} int, " for c in more) + "score")
+    if groups == 1:
+        return _by_broadcast(own, packed, kinds, depth, more, schema)
+    return _by_shard(own, packed, groups, kinds, depth, more, schema)
 
 
 def _ranked(candidates: DataFrame, depth: int) -> DataFrame:
-    order = Window.partitionBy("kind", "query_id").orderBy(F.desc("score"), "id")
-    return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= depth)
+    """The best ``depth`` per kind and query; points are limited by parts of the corpus before all of a query's meet."""
+    best = [F.desc("score"), "id"]
+    part = Window.partitionBy("kind", "query_id", F.pmod(F.xxhash64("id"), F.lit(TIER_SHARDS))).orderBy(*best)
+    some = candidates.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= depth)
+    order = Window.partitionBy("kind", "query_id").orderBy(*best)
+    return some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= depth)
 
 
 def _weighted_queries(queries: DataFrame, stats: DataFrame) -> DataFrame:
@@ -170,38 +227,6 @@ def _weighted_queries(queries: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
-def _blocks(queries: DataFrame, kinds: list[str], stats: DataFrame | None) -> Iterator[QueryBlock]:
-    """Split the queries by hash into blocks of about ``QUERY_BLOCK`` queries and at most about
-    ``TERM_BLOCK`` query terms, and pack each.
-
-    A block is all the driver and each task ever hold of the queries: some tens of megabytes.
-    """
-    wanted = ["query_id"] + (["scope"] if "scope" in queries.columns else [])
-    packed = queries.select(*wanted, *(["dense"] if "dense" in kinds else []))
-    size = [F.count("*").alias("n"), F.lit(0).alias("terms")]
-    if "sparse" in kinds:
-        packed = packed.join(_weighted_queries(queries, stats), "query_id", "left")
-        size[1] = F.sum(F.size("sparse.indices")).alias("terms")
-    packed = stored(packed, "queries")
-    total = queries.agg(*size).first()
-    n_blocks = max(1, ceil(total["n"] / QUERY_BLOCK), ceil((total["terms"] or 0) / TERM_BLOCK))
-    for number in range(n_blocks):
-        rows = packed.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == number).collect()
-        block = QueryBlock(
-            ids=[r["query_id"] for r in rows],
-            scopes=np.array([r["scope"] for r in rows], object) if "scope" in wanted else None,
-        )
-        if "dense" in kinds:
-            block.dense = _unit(np.array([r["dense"] for r in rows], np.float64)) if rows else np.empty((0, 0))
-        if "sparse" in kinds:
-            block.sparse = True
-            flat = sorted((t["idx"], q, t["weight"]) for q, r in enumerate(rows) for t in r["terms"] or [])
-            block.terms = np.array([f[0] for f in flat], np.int64)
-            block.term_query = np.array([f[1] for f in flat], np.int64)
-            block.term_weight = np.array([f[2] for f in flat], np.float64)
-        yield block
-
-
 def top_k(
     points: DataFrame, queries: DataFrame, kind: str, depth: int, stats: DataFrame | None = None
 ) -> DataFrame:
@@ -212,13 +237,12 @@ def top_k(
     """
     if kind == "sparse" and stats is None:
         stats = term_stats(points)
-    found = [_candidates(points, block, depth) for block in _blocks(queries, [kind], stats)]
-    return _ranked(reduce(DataFrame.unionByName, found), depth).select("query_id", "rank", "id", "score")
+    return _ranked(_candidates(points, queries, [kind], depth, stats, []), depth).select("query_id", "rank", "id", "score")
 
 
-def _fused(candidates: DataFrame, limit: int, depth: int, k: int) -> DataFrame:
+def _fused(candidates: DataFrame, limit: int, depth: int, k: int, more: list[str]) -> DataFrame:
     """Reciprocal Rank Fusion of the two candidate lists, cut to ``limit``."""
-    fused = _ranked(candidates, depth).groupBy("query_id", "id").agg(
+    fused = _ranked(candidates, depth).groupBy("query_id", "id", *more).agg(
         F.round(F.sum(1.0 / (k + F.col("rank"))), DIGITS).alias("score")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
@@ -236,27 +260,29 @@ def hybrid_search(
     candidate lists are cut. ``stats`` are the ``term_stats`` of the whole collection. Vectors
     never reach the result.
 
-    The blocks' candidates are merged in one job and the hits written out, so that the corpus is scored
-    once per block; the payload is then fetched by a join that the optimizer broadcasts if the hits are
-    small. Where points are stored by ``bucket``, their buckets prune the partitions that are read.
+    The hits are written out, so that the corpus is scored once; the payload is then fetched by a join that the optimizer
+    broadcasts if the hits are small. Where points are stored by ``bucket``, hits carry theirs, whatever their
+    number is, and prune the partitions that are read.
     """
     stats = term_stats(points) if stats is None else stats
     depth = limit * multiplier
     where = [c for c in ("bucket",) if c in points.columns]
-    found = [_candidates(points, block, depth) for block in _blocks(queries, ["dense", "sparse"], stats)]
-    hits = _fused(reduce(DataFrame.unionByName, found), limit, depth, k)
-    if where:
-        hits = hits.withColumn("bucket", bucket_of(F.col("id")))
+    hits = _fused(_candidates(points, queries, ["dense", "sparse"], depth, stats, where), limit, depth, k, where)
     # The filter is always true; partition pruning at run time asks for one on this side.
     hits = stored(hits, "hits").where(F.col("rank") <= limit)
     shown = points.select("id", "payload", *where).join(hits, ["id", *where])
     return shown.select("query_id", "rank", "id", "score", "payload")
 
 
+def of_course(points: DataFrame, course: str) -> DataFrame:
+    """Points of a course, given by name or by id; where they are stored by course, only its files are opened."""
+    at = (lambda name: F.col(name)) if {"course", "course_id"} <= set(points.columns) else (lambda name: F.col(f"payload.{name}"))
+    return points.where((at("course") == course) | (at("course_id") == course))
+
+
 def search_by_course(points: DataFrame, queries: DataFrame, course: str, **options) -> DataFrame:
     """Search within one course, given by name or by id."""
-    chosen = (F.col("payload.course") == course) | (F.col("payload.course_id") == course)
-    return hybrid_search(points.where(chosen), queries, **options)
+    return hybrid_search(of_course(points, course), queries, **options)
 
 
 def search_by_section(points: DataFrame, queries: DataFrame, section: str, **options) -> DataFrame:

@@ -23,7 +23,9 @@ def build_points(documents: DataFrame, courses: DataFrame) -> DataFrame:
         "section", "question", "answer", "text", F.col("doc_id").cast("string").alias("doc_id"),
         F.col("course_name").alias("course"), "course_id",
     )
-    return with_vectors(kept).select("id", "collection", "dense", "sparse", payload.alias("payload"))
+    return with_vectors(kept).select(
+        "id", "collection", "course_id", F.col("course_name").alias("course"), "dense", "sparse", payload.alias("payload")
+    )
 
 
 def index_documents(

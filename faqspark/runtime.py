@@ -42,6 +42,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/faqspark/{name}-{uuid.uuid4().hex}"
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A stored table that Spark would read in fewer tasks than it has cores, dealt evenly to all of them.
+
+    One small file is one task, and so is all that follows it up to the first exchange. A table of more files or splits than
+    cores is left alone, so nothing large is ever moved.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to shared storage and read it back.
 

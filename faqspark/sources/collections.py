@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from math import ceil
 
-# Fixed value: number of storage buckets per collection, part of the stored layout.
-BUCKETS = 16
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+
+# Storage buckets of a batch by default; points of a bucket of a compacted store, about.
+BUCKETS, BUCKET_POINTS = 16, 200_000
+# Columns that partition a store, so far as the points have them; always text.
+PARTITIONS = ("collection", "course_id", "course")
 
 
 def collection_name(base: Column, suffix: Column) -> Column:
@@ -24,25 +28,28 @@ def upsert(current: DataFrame, batch: DataFrame, key: list[str] | None = None) -
     return latest_by_key(both, key or ["collection", "id"], ["_batch"]).drop("_batch")
 
 
-def bucket_of(point: Column, buckets: int = BUCKETS) -> Column:
+def bucket_of(point: Column, buckets: int) -> Column:
     """Storage bucket of a point id."""
     return F.pmod(F.xxhash64(point), F.lit(buckets)).cast("int")
 
 
-def write_batch(points: DataFrame, root: str, batch: int, dim: int) -> None:
-    """Store one upsert batch, by collection and id bucket; the place is created if missing.
+def write_batch(points: DataFrame, root: str, batch: int, dim: int, buckets: int = BUCKETS) -> None:
+    """Store one upsert batch, by collection, course and id bucket; the place is created if missing.
 
     Writing the same batch again replaces it, so a retry is harmless. Nothing already stored is
     rewritten; ``read_points`` merges batches and ``compact`` folds them. A vector of another
-    length than the collection's fails the write.
+    length than the collection's fails the write. Points with a payload lie ordered by section, so that row groups of other
+    sections are skipped. Batches may differ in their number of buckets.
     """
     fits = F.when(F.size("dense") == dim, F.col("dense")).otherwise(
         F.raise_error(F.concat(F.lit("wrong vector length: "), F.size("dense").cast("string")))
     )
+    by = [*(c for c in PARTITIONS if c in points.columns), "bucket"]
+    section = ["payload.section"] if "payload" in points.columns else []
     (
-        points.withColumn("dense", fits).withColumn("bucket", bucket_of(F.col("id")))
-        .hint("rebalance", "collection", "bucket")
-        .write.mode("overwrite").partitionBy("collection", "bucket").parquet(f"{root}/batch={batch:012d}")
+        points.withColumn("dense", fits).withColumn("bucket", bucket_of(F.col("id"), buckets))
+        .hint("rebalance", *by).sortWithinPartitions(*by, *section)
+        .write.mode("overwrite").partitionBy(*by).parquet(f"{root}/batch={batch:012d}")
     )
 
 
@@ -52,7 +59,11 @@ def read_points(spark: SparkSession, root: str, single_batch: bool = False) -> D
     Keys and batch numbers alone tell which rows a later batch has replaced; they are few, and leaving
     them out by an anti join moves no vector as long as they can be broadcast.
     """
-    kept = spark.read.option("basePath", root).parquet(root)
+    reader = spark.read.option("basePath", root)
+    found = reader.parquet(root).schema
+    # Names of courses may look like numbers: they are read as the text they were.
+    text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in PARTITIONS else f for f in found.fields])
+    kept = reader.schema(text).parquet(root)
     if single_batch:
         return kept.drop("batch")
     last = kept.groupBy(F.col("collection").alias("_collection"), F.col("id").alias("_id")).agg(
@@ -63,8 +74,9 @@ def read_points(spark: SparkSession, root: str, single_batch: bool = False) -> D
 
 
 def compact(spark: SparkSession, root: str, target: str, dim: int) -> None:
-    """Fold all batches into one at a new place."""
-    write_batch(read_points(spark, root), target, 0, dim)
+    """Fold all batches into one at a new place, in as many buckets as its points need."""
+    points = read_points(spark, root)
+    write_batch(points, target, 0, dim, max(1, ceil(points.count() / BUCKET_POINTS)))
 
 
 def replace_documents(current: DataFrame, batch: DataFrame, doc: str = "doc_id") -> DataFrame:

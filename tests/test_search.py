@@ -234,13 +234,62 @@ def test_top_k_is_exact(spark, corpus, kind, scoped):
         assert [s for _, s in got[name]] == pytest.approx([s for _, s in want[name]], abs=2e-6)
 
 
-def test_small_blocks_and_slabs_change_nothing(spark, corpus, monkeypatch):
+@pytest.mark.parametrize("scoped", [False, True])
+def test_small_groups_shards_and_slabs_change_nothing(spark, corpus, monkeypatch, scoped):
+    """Many groups of queries meet many shards in one cogroup, which no broadcast and no driver takes part in."""
     p, q = frames(spark, corpus)
-    q = q.drop("scope")
+    if not scoped:
+        q = q.drop("scope")
+    p = p.withColumn("payload", F.struct("id"))
     whole = lists(retrieval.hybrid_search(p, q))
-    for name, value in (("QUERY_BLOCK", 7), ("SLAB", 13), ("PAIRS", 50), ("TERM_BLOCK", 40)):
+    few = {"GROUP_QUERIES": max(1, q.count() // 5), "SHARD_POINTS": 40, "CELLS": 100, "PAIRS": 50, "TIER_SHARDS": 3}
+    for name, value in few.items():
         monkeypatch.setattr(retrieval, name, value)
-    assert lists(retrieval.hybrid_search(p, q)) == whole
+    gathered = []
+    monkeypatch.setattr(retrieval, "_by_broadcast", lambda *args: gathered.append(args))
+    assert lists(retrieval.hybrid_search(p, q)) == whole and not gathered
+    plan = retrieval.top_k(p, q, "dense", 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInArrow") == 1 and "CartesianProduct" not in plan
+
+
+def test_many_query_terms_make_more_groups(spark, corpus, monkeypatch):
+    p, q = frames(spark, corpus)
+    whole = lists(retrieval.top_k(p, q.drop("scope"), "sparse", 20))
+    monkeypatch.setattr(retrieval, "GROUP_TERMS", 40)
+    assert lists(retrieval.top_k(p, q.drop("scope"), "sparse", 20)) == whole
+
+
+def test_queries_of_no_known_scope_have_no_hits(spark, corpus):
+    p, q = frames(spark, corpus)
+    lost = q.withColumn("scope", F.when(F.col("query_id") == q.first().query_id, F.lit(None)).otherwise(F.lit("nowhere")))
+    assert retrieval.top_k(p, lost, "dense", 5).count() == 0
+
+
+def test_a_course_filter_opens_its_files_only(spark, sf):
+    points, stats = index_documents(spark, fx.styled_documents(spark, sf), fx.faq_courses(spark))
+    for name in ("Course 1", "course-1"):
+        own = retrieval.of_course(points, name)
+        plan = own._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [((" in plan and own.count() == points.where("payload.course = 'Course 1'").count() > 0
+        read = {r.file for r in own.select(F.col("_metadata.file_path").alias("file")).distinct().collect()}
+        assert read and all("/course_id=course-1/" in file for file in read)
+
+
+def test_names_that_look_like_numbers_stay_text(spark):
+    root = scratch_path(spark, "points")
+    rows = [("c", "007", "1e3", "a", [1.0, 2.0]), ("c", None, "", "b", [1.0, 2.0])]
+    store.write_batch(spark.createDataFrame(rows, "collection string, course_id string, course string, id string, dense array<float>"), root, 0, 2)
+    got = {r.id: (r.course_id, r.course) for r in store.read_points(spark, root).collect()}
+    assert got["a"] == ("007", "1e3")
+
+
+def test_compaction_chooses_buckets_by_size(spark, monkeypatch):
+    root, target = scratch_path(spark, "points"), scratch_path(spark, "points")
+    points = spark.range(500).select(F.col("id").cast("string"), F.lit("c").alias("collection"), F.array(F.lit(1.0).cast("float")).alias("dense"))
+    store.write_batch(points, root, 0, 1)
+    monkeypatch.setattr(store, "BUCKET_POINTS", 100)
+    store.compact(spark, root, target, 1)
+    assert store.read_points(spark, target).select("bucket").distinct().count() == 5
 
 
 def test_fusion(spark, corpus):
