@@ -225,11 +225,17 @@ def unreadable_lines(spark, sf):
 
 @query
 def replace_documents(spark, sf):
-    """A quarter of the documents is cut anew and keeps its first chunk only; the others stay."""
-    current = stored(_chunks(spark, sf).select("doc_id", "chunk_no", "question"), "chunks")
-    first = current.groupBy("doc_id").agg(F.min("chunk_no").alias("chunk_no"))
-    batch = current.where("doc_id % 4 = 1").join(first, ["doc_id", "chunk_no"], "left_semi")
-    return store.replace_documents(current, batch)
+    """A quarter of the stored documents is cut anew and keeps its first chunk only; the others stay."""
+    root = scratch_path(spark, "points")
+    points = stored(_chunks(spark, sf).select(
+        F.lit("faq").alias("collection"), F.concat_ws(":", "doc_id", "chunk_no").alias("id"), "doc_id", "chunk_no", "question",
+        F.array(F.lit(1.0).cast("float")).alias("dense")), "chunks")
+    store.write_batch(points, root, 0, 1)
+    first = points.groupBy("doc_id").agg(F.min("chunk_no").alias("chunk_no"))
+    batch = points.where("doc_id % 4 = 1").join(first, ["doc_id", "chunk_no"], "left_semi").select(*points.columns)
+    store.replace_stored_documents(batch, root, 1, 1, F.col("doc_id"))
+    store.fold_points(spark, root, grown=0.0)
+    return store.read_points(spark, root).select("doc_id", "chunk_no", "question")
 
 
 # --- projections and filters ---------------------------------------------------------------
@@ -719,12 +725,12 @@ def stream_ingest(spark, sf):
 
 @query
 def stream_dedupe(spark, sf):
-    """The second arrival replays copies from the whole history, so the delay must span it."""
+    """The second arrival replays copies from the whole history, whose days are looked up."""
     root = _feed(
         spark, _arrivals(spark, sf, _by_fetch()), "dedupe",
-        lambda stream, out, state: jobs.start_dedupe(stream, fx.courses(spark), out, state, "3650 days"),
+        lambda stream, out, state: jobs.start_dedupe(stream, fx.courses(spark), out, state),
     )
-    return spark.read.parquet(root).select("course_id", "channel_id", "ts", "fetched_at")
+    return jobs.read_first(spark, root).select("course_id", "channel_id", "ts", "fetched_at")
 
 
 def _event_panes(spark: SparkSession, sf: str, length: str) -> DataFrame:

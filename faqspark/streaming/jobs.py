@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from faqspark.operators.ingest import DAY, dedupe_messages, enrich_messages
@@ -17,6 +17,7 @@ from faqspark.operators.threads import THREAD, compact_threads, with_thread
 from faqspark.functions.privacy import scrub_pii
 from faqspark.functions.text import thread_id
 from faqspark.schemas import RAW_MESSAGE
+from faqspark.sources import versions
 from faqspark.sources.collections import latest_by_key
 
 # Fixed value: storage buckets of the thread store.
@@ -50,22 +51,51 @@ def start_ingest(
     )
 
 
-def start_dedupe(
-    stream: DataFrame, courses: DataFrame, root: str, checkpoint: str, delay: str = "2 days"
-) -> StreamingQuery:
-    """First arrival of each ``(channel_id, ts)``; a copy is recognized while it is at most
-    ``delay`` behind the newest message, which bounds the state."""
-    first = (
-        enrich_messages(stream, courses)
-        .withWatermark("event_ts", delay)
-        .dropDuplicatesWithinWatermark(["channel_id", "ts"])
-    )
+KEY = ["channel_id", "ts"]
+
+
+def keep_first(root: str) -> Callable[[DataFrame, int], None]:
+    """The first arrival of each ``(channel_id, ts)`` of a micro-batch of enriched messages, if no earlier batch brought it.
+
+    A message's time is part of its key, so its copies share its day: only the stored days that the batch touches are
+    looked at, keys alone, however late a copy comes. No state is held between batches, and a replay replaces its rows.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        days = [row["day"] for row in batch.select(_day().alias("day")).distinct().collect()]
+        if days:
+            spark = batch.sparkSession
+            new = latest_by_key(batch.withColumn("day_of", _day()), KEY, ["fetched_at", "text"], first=True)
+            known = versions.read(spark, root, before=number, text=["day_of"])
+            if known is not None:
+                seen = known.where(F.col("day_of").isin(days)).select(*[F.col(c).alias(f"_{c}") for c in KEY])
+                new = new.join(seen, [F.col(c) == F.col(f"_{c}") for c in KEY], "left_anti")
+            versions.add(new, root, number, "day_of")
+            versions.fold(spark, root, lambda rows: rows, "day_of", text=["day_of"])
+        batch.unpersist()
+
+    return keep
+
+
+def _day() -> Column:
+    """Day of a message, at most a few thousand different ones in any table."""
+    return F.date_format("event_ts", "yyyy-MM-dd")
+
+
+def start_dedupe(stream: DataFrame, courses: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """First arrival of each ``(channel_id, ts)``, by ``keep_first``: no watermark, so no copy comes too late."""
     return (
-        first.writeStream.format("parquet").option("path", root).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
+        enrich_messages(stream, courses).writeStream.foreachBatch(keep_first(root))
+        .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     )
 
 
+def read_first(spark: SparkSession, root: str) -> DataFrame:
+    """What ``start_dedupe`` kept."""
+    return versions.read(spark, root, text=["day_of"]).drop("batch", "day_of")
+
+
 def _store_batches(root: str):
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/batch={number:012d}")
@@ -114,28 +144,48 @@ def merge_threads(root: str) -> Callable[[DataFrame, int], None]:
     """The merge of enriched messages into stored threads.
 
     A micro-batch adds its messages to the message store and writes the rows of the threads it touched anew, from
-    all messages of those threads; other threads are neither rebuilt nor rewritten. Buckets of the message store keep the
-    look-up to part of it. Directories are named by micro-batch and replaced on a replay.
+    all messages of those threads; other threads are neither rebuilt nor rewritten. Only the buckets of touched threads
+    are read. Both stores are folded as they grow, so that a batch reads a fold and the few batches after it, of a message
+    its first and last fetch, and of a thread its current rows.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
+        batch.persist()
         threaded = with_thread(batch).withColumn("bucket", _thread_bucket())
-        threaded.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/messages/batch={number:012d}")
-        messages = spark.read.option("basePath", f"{root}/messages").parquet(f"{root}/messages").where(F.col("batch") <= number)
-        touched = messages.where(F.col("batch") == number).select("bucket", *THREAD).distinct()
-        theirs = dedupe_messages(messages.join(touched, ["bucket", *THREAD], "left_semi"))
-        seen = messages.join(touched, ["bucket", *THREAD], "left_semi").groupBy(*THREAD).agg(
-            F.min("fetched_at").alias("created_at"), F.max("fetched_at").alias("updated_at")
-        )
-        packed = compact_threads(theirs.withColumn("text", scrub_pii(F.col("text"))), same_day=False)
-        packed.join(seen, THREAD).write.mode("overwrite").parquet(f"{root}/threads/batch={number:012d}")
+        touched_buckets = [row["bucket"] for row in threaded.select("bucket").distinct().collect()]
+        if touched_buckets:
+            spark = batch.sparkSession
+            versions.add(threaded, f"{root}/messages", number, "bucket")
+            messages = versions.read(spark, f"{root}/messages", before=number + 1).where(F.col("bucket").isin(touched_buckets))
+            touched = threaded.select("bucket", *THREAD).distinct()
+            theirs = messages.join(touched, ["bucket", *THREAD], "left_semi")
+            seen = theirs.groupBy(*THREAD).agg(F.min("fetched_at").alias("created_at"), F.max("fetched_at").alias("updated_at"))
+            kept = dedupe_messages(theirs).withColumn("text", scrub_pii(F.col("text")))
+            packed = compact_threads(kept, same_day=False)
+            versions.add(packed.join(seen, THREAD), f"{root}/threads", number)
+            versions.fold(spark, f"{root}/messages", _first_and_last, "bucket")
+            versions.fold(spark, f"{root}/threads", _current_threads)
+        batch.unpersist()
 
     return merge
 
 
+def _first_and_last(messages: DataFrame) -> DataFrame:
+    """Of the fetches of a message the first and the last, which is all that later merges look at."""
+    order = Window.partitionBy(*KEY)
+    ranked = messages.withColumns({
+        "_first": F.row_number().over(order.orderBy("fetched_at", "text")),
+        "_last": F.row_number().over(order.orderBy(F.desc_nulls_last("fetched_at"), F.desc_nulls_last("text"))),
+    })
+    return ranked.where("_first = 1 OR _last = 1").drop("_first", "_last")
+
+
+def _current_threads(kept: DataFrame) -> DataFrame:
+    """Of each thread the rows of the last batch that touched it."""
+    last = kept.groupBy(*[F.col(c).alias(f"_{c}") for c in THREAD]).agg(F.max("batch").alias("_batch"))
+    return kept.join(last, [F.col(c) == F.col(f"_{c}") for c in [*THREAD, "batch"]], "left_semi")
+
+
 def start_thread_updates(stream: DataFrame, courses: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Late replies into the threads they belong to, by ``merge_threads``."""
     return (
@@ -155,8 +205,6 @@ def read_threads(spark: SparkSession, root: str) -> DataFrame:
     A message seen twice counts once. ``created_at`` is the first fetch that brought anything
     of the thread and ``updated_at`` the last, so replaying a batch changes nothing.
     """
-    kept = spark.read.option("basePath", f"{root}/threads").parquet(f"{root}/threads")
-    last = kept.groupBy(*[F.col(c).alias(f"_{c}") for c in THREAD]).agg(F.max("batch").alias("_batch"))
-    same = [F.col(c) == F.col(f"_{c}") for c in [*THREAD, "batch"]]
-    current = kept.join(last, same, "left_semi").drop("batch")
-    return current.withColumn("id", thread_id(F.col("course_id"), F.col("thread_key")))
+    kept = versions.read(spark, f"{root}/threads")
+    several = kept if versions.state(spark, f"{root}/threads")[1] == [] else _current_threads(kept)
+    return several.drop("batch").withColumn("id", thread_id(F.col("course_id"), F.col("thread_key")))

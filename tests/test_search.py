@@ -131,6 +131,41 @@ def test_batches_merge_on_read_and_replay_harmlessly(spark):
     assert sorted((r["id"], r["v"]) for r in store.read_points(spark, target, single_batch=True).collect()) == want
 
 
+def stored_points(spark, root):
+    return sorted((r.id, r.v) for r in store.read_points(spark, root).collect())
+
+
+def test_deleted_points_stay_gone_until_they_come_again(spark):
+    root = scratch_path(spark, "points")
+    store.write_batch(points(spark, [("c", "a", [1.0], 1), ("c", "b", [1.0], 1), ("d", "a", [1.0], 1)]), root, 0, 1)
+    ended = spark.createDataFrame([("c", "a"), ("c", "never")], "collection string, id string")
+    for _ in range(2):
+        store.delete_points(ended, root, 1)
+        assert stored_points(spark, root) == [("a", 1), ("b", 1)]
+    assert store.fold_points(spark, root) and stored_points(spark, root) == [("a", 1), ("b", 1)]
+    plan = store.read_points(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan, "a folded store is read as it lies"
+    store.delete_points(ended, root, 1)
+    assert stored_points(spark, root) == [("a", 1), ("b", 1)], "a replay after the fold"
+    store.write_batch(points(spark, [("c", "a", [1.0], 3)]), root, 2, 1)
+    assert stored_points(spark, root) == [("a", 1), ("a", 3), ("b", 1)]
+    assert not store.fold_points(spark, root, grown=0.9), "one row beside two is not worth a fold"
+    assert store.fold_points(spark, root, grown=0.0) and stored_points(spark, root) == [("a", 1), ("a", 3), ("b", 1)]
+
+
+def test_reindexed_documents_end_points_they_no_longer_have(spark):
+    def chunks(rows):
+        return spark.createDataFrame(rows, "collection string, id string, dense array<float>, v int, doc string")
+
+    root = scratch_path(spark, "points")
+    store.write_batch(chunks([("c", "a", [1.0], 1, "d1"), ("c", "b", [1.0], 1, "d1"), ("c", "z", [1.0], 1, "d2")]), root, 0, 1)
+    for _ in range(2):
+        store.replace_stored_documents(chunks([("c", "b", [1.0], 2, "d1"), ("c", "n", [1.0], 2, "d1")]), root, 1, 1, F.col("doc"))
+        assert stored_points(spark, root) == [("b", 2), ("n", 2), ("z", 1)]
+    store.fold_points(spark, root)
+    assert stored_points(spark, root) == [("b", 2), ("n", 2), ("z", 1)]
+
+
 def test_wrong_vector_length_fails(spark):
     with pytest.raises(PySparkException, match="wrong vector length"):
         store.write_batch(points(spark, [("c", "a", [1.0, 2.0], 1)]), scratch_path(spark, "points"), 0, 3)

@@ -7,6 +7,7 @@ from faqspark.operators import ingest, threads
 from faqspark.runtime import scratch_path
 from faqspark.schemas import RAW_MESSAGE
 from faqspark.sources import messages as msgs
+from faqspark.sources import versions
 from faqspark.streaming import jobs
 
 BASE = 1723420800
@@ -40,7 +41,7 @@ def test_dedupe_keeps_the_first_arrival(spark):
     ):
         arrive(spark, inbox, rows)
         jobs.start_dedupe(jobs.message_stream(spark, inbox), fx.courses(spark), root, state).awaitTermination()
-    got = sorted((r["ts"], r["fetched_at"]) for r in spark.read.parquet(root).collect())
+    got = sorted((r["ts"], r["fetched_at"]) for r in jobs.read_first(spark, root).collect())
     assert got == [(f"{BASE}.1", "a"), (f"{BASE + 5}.1", "a"), (f"{BASE + 9}.1", "b")]
 
 
@@ -98,3 +99,56 @@ def test_replayed_batch_changes_nothing(spark, sf):
     assert sorted(map(str, jobs.read_threads(spark, root).collect())) == once
     batch = threads.compact_threads(ingest.dedupe_messages(enriched), same_day=False)
     assert batch.count() == len(once)
+
+
+def test_copies_of_any_age_are_recognised_and_replays_change_nothing(spark):
+    """Copies years later, a batch that runs twice, and one that runs again after it was folded in."""
+    root = scratch_path(spark, "out")
+    keep = jobs.keep_first(root)
+    year = 365 * 86400
+    batches = [[message(f"{BASE + n * year + k}.1", fetched=f"f{n}") for n in range(number + 1) for k in range(5)] for number in range(6)]
+    frames = [ingest.enrich_messages(spark.createDataFrame(b, RAW_MESSAGE), fx.courses(spark)) for b in batches]
+    want = sorted((f"{BASE + n * year + k}.1", f"f{n}") for n in range(6) for k in range(5))
+    for number, frame in enumerate(frames):
+        keep(frame, number)
+        keep(frame, number)
+    assert sorted((r.ts, r.fetched_at) for r in jobs.read_first(spark, root).collect()) == want
+    base, after = versions.state(spark, root)
+    assert base is not None and len(after) <= 3
+    keep(frames[0].limit(0), 6)
+    assert jobs.read_first(spark, root).count() == len(want)
+
+
+def test_dedupe_reads_keys_of_touched_days_only(spark):
+    root = scratch_path(spark, "out")
+    keep = jobs.keep_first(root)
+    days = [ingest.enrich_messages(spark.createDataFrame([message(f"{BASE + n * 86400 + k}.1", text="t" * 50) for k in range(5)], RAW_MESSAGE), fx.courses(spark)) for n in range(4)]
+    for number, frame in enumerate(days):
+        keep(frame, number)
+    known = versions.read(spark, root, text=["day_of"]).where(F.col("day_of").isin(["2024-08-13"])).select("channel_id", "ts")
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "day_of" in plan.split("PartitionFilters: [")[1].split("]")[0] and "text" not in plan.split("ReadSchema: ")[1]
+    assert known.count() == 5
+
+
+def test_ten_batches_leave_a_fold_and_few_batches(spark):
+    """Every batch touches the same threads; what a batch reads does not grow with the number of batches."""
+    root = scratch_path(spark, "out")
+    store, heads, everything = jobs.merge_threads(root), [f"{BASE + 100 * h}.0" for h in range(8)], []
+    folders = []
+    for number in range(10):
+        rows = [message(h, h, "head", f"d{number:02d}") for h in heads]
+        rows += [message(f"{float(h) + 1 + number}", h, f"reply {number}", f"d{number:02d}") for h in heads]
+        everything += rows
+        store(ingest.enrich_messages(spark.createDataFrame(rows, RAW_MESSAGE), fx.courses(spark)), number)
+        base, after = versions.state(spark, f"{root}/messages")
+        folders.append(len(after) + (base is not None))
+    assert max(folders) <= 6
+    kept = versions.read(spark, f"{root}/messages")
+    assert kept.where("text = 'head'").count() <= 8 * (2 + len(versions.state(spark, f"{root}/messages")[1]))
+    whole = ingest.enrich_messages(spark.createDataFrame(everything, RAW_MESSAGE), fx.courses(spark))
+    want = threads.compact_threads(ingest.dedupe_messages(whole), same_day=False)
+    got = jobs.read_threads(spark, root)
+    assert sorted((r.thread_key, r.reply_count, tuple(r.answers)) for r in got.collect()) == sorted(
+        (r.thread_key, r.reply_count, tuple(r.answers)) for r in want.collect())
+    assert {(r.created_at, r.updated_at) for r in got.collect()} == {("d00", "d09")}
