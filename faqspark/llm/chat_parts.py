@@ -120,7 +120,8 @@ def read_back(segments: DataFrame) -> DataFrame:
     """Digest per conversation of what the formatted segments hold.
 
     Conversations stream through their task turn by turn: memory holds one batch, however long a
-    conversation is. Rows of the same turn are ordered by their segment; rows without conv_id are one conversation.
+    conversation is. Rows of the same turn are ordered by their segment; rows without conv_id are one conversation. Repeated
+    rows count as often as they occur; an empty table gives no rows.
     """
     ordered = segments.select("conv_id", "turn", "segment", "loss_start", "loss_end").repartition("conv_id").sortWithinPartitions(
         "conv_id", "turn", "segment")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
 from faqspark.llm.components import components
-from faqspark.llm.store import Saved, free_name
+from faqspark.llm.store import Saved, free_name, release
 from faqspark.llm.words import Words, mix, shingles, slices
 
 WIDTH, PERCENT = 5, 75
@@ -228,6 +228,7 @@ def _compared(texts: DataFrame, entries: DataFrame, known: DataFrame | None, las
     labelled = Saved(_labelled(members.df, first), "forest-labels").df
     members.drop()
     parted = Saved(_parted(labelled), "forest-parted").df
+    release(texts.sparkSession)
     here, beyond = (parted, parted.where("false")) if last else (parted.where(F.col("others") <= CROWD), parted.where(F.col("others") > CROWD))
     second = components(_rest(labelled, here, sets.df))
     higher = second.select(F.col("id").alias("k"), F.col("component_id").alias("up"))

@@ -213,7 +213,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3
     """(doc_id, held_out, score, predicted) of every row of ``docs`` (doc_id, text, ...).
 
     The score looks at the text alone. Null and empty texts get the score of a text without words. Rows without
-    doc_id count as held out. Without anything to learn from, every score is one half.
+    doc_id count as held out. Without anything to learn from, every score is one half. Repeated rows get equal scores, an
+    empty table gives no rows, further columns of either table are left alone.
     """
     table = Saved(figure_table(docs), "figures").df
     net, _ = train(table, labels)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from faqspark.runtime import prepare, scratch_path
@@ -41,3 +43,12 @@ class Saved:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let executors delete the shuffle files of finished jobs now, ahead of a step that writes much.
+
+    Spark deletes them once the driver's garbage collector finds that nothing refers to them, which may be much later.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
