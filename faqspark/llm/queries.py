@@ -198,6 +198,50 @@ FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id"""
 
 
 
+#: Levels of doubled windows; periods up to 2 ** 19 words, beyond any text of the tables.
+_LEVELS = 20
+
+
+def _windows() -> str:
+    """Windows of 1, 2, 4, ... words from each word on, by hash, and the distances at which they come again first.
+
+    A run of period q holds a window of k words, k / 2 < q <= k, that comes again first after q words.
+    """
+    grams = ["g0 AS MATERIALIZED (SELECT doc_id, i, hash(word) AS g FROM p)"]
+    grams += [
+        f"g{j} AS MATERIALIZED (SELECT a.doc_id, a.i, hash(a.g, b.g) AS g FROM g{j - 1} a JOIN g{j - 1} b ON a.doc_id = b.doc_id AND b.i = a.i + {1 << j - 1})"
+        for j in range(1, _LEVELS)]
+    again = [
+        f"q{j} AS (SELECT DISTINCT doc_id, q FROM (SELECT doc_id, lead(i) OVER (PARTITION BY doc_id, g ORDER BY i) - i AS q FROM g{j}) WHERE 2 * q > {1 << j} AND q <= {1 << j})"
+        for j in range(_LEVELS)]
+    return ",\n".join(grams + again)
+
+
+_OP11 = rf"""
+WITH t AS (SELECT list_transform(range(256), lambda n: list_reduce([n::BIGINT] || list_transform(range(8), lambda x: 0::BIGINT),
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+          lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h FROM documents, t),
+a AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS due, h // 10 AS g FROM d),
+b AS (SELECT *, CASE WHEN due THEN g % n END AS a, CASE WHEN due THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM a),
+s AS (SELECT doc_id, CASE WHEN due THEN list_transform(w, lambda x, i: CASE WHEN i - 1 < a THEN x ELSE w[a + (i - 1 - a) % p + 1] END) ELSE w END AS w FROM b),
+p AS MATERIALIZED (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM s),
+{_windows()},
+c AS (SELECT DISTINCT doc_id, q FROM ({" UNION ALL ".join(f"SELECT * FROM q{j}" for j in range(_LEVELS))})),
+e AS (SELECT c.doc_id, c.q, x.i FROM c JOIN p x ON x.doc_id = c.doc_id JOIN p y ON y.doc_id = c.doc_id AND y.i = x.i + c.q WHERE x.word = y.word),
+l AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+m AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS n FROM l GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+r AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.doc_id = m.doc_id AND o.s = m.s AND o.n = m.n AND o.q < m.q)),
+f AS (SELECT doc_id, count(*) AS n_runs, list(struct_pack(s := s, n := n, q := q) ORDER BY s, q) AS runs,
+        list(struct_pack(s := s, n := n, q := q) ORDER BY n / q DESC, s, q)[1] AS best FROM r GROUP BY doc_id)
+SELECT s.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.n::BIGINT AS length, best.q::BIGINT AS period,
+  (1000 * best.n // best.q)::BIGINT AS exponent_milli,
+  sha256(coalesce(array_to_string(list_transform(runs, lambda x: x.s || ',' || x.n || ',' || x.q || chr(10)), ''), '')) AS runs_sha256,
+  sha256(array_to_string(list_filter(w, lambda x, i: len(list_filter(coalesce(runs, []), lambda y: i - 1 >= y.s + y.q AND i - 1 < y.s + y.n)) = 0), ' ')) AS collapsed_sha256
+FROM s LEFT JOIN f ON f.doc_id = s.doc_id"""
+
+
 def _rest(url: str) -> str:
     return f"CASE WHEN contains({url}, '://') THEN substr({url}, instr({url}, '://') + 3) ELSE '' END"
 
@@ -269,5 +313,5 @@ FROM p"""
 
 ORACLES = {
     "op1_near_duplicates": _OP1, "op3_rule_cascade": _OP3, "op5_temperature_mix": _OP5, "op6_chat_parts": _OP6, "op7_near_vectors": _OP7,
-    "op12_redirect_filter": _OP12, "op13_fill_in_middle": _OP13,
+    "op11_word_runs": _OP11, "op12_redirect_filter": _OP12, "op13_fill_in_middle": _OP13,
 }
