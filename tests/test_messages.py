@@ -11,7 +11,7 @@ from faqspark import fixtures as fx
 from faqspark.functions.times import event_time
 from faqspark.operators import ingest, order, threads
 from faqspark.plans.faq_items import build_faq_items
-from faqspark.runtime import scratch_path, shared_dir, stored
+from faqspark.runtime import scratch_path, shared_dir, spread, stored
 from faqspark.schemas import RAW_MESSAGE
 from faqspark.sources import messages as msgs
 
@@ -306,3 +306,18 @@ def test_shared_folder_is_the_sessions(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     kept = stored(spark.range(3), "x")
     assert kept.count() == 3 and "Range" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_tables_of_few_files_are_dealt_to_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    one, many = scratch_path(spark, "one"), scratch_path(spark, "many")
+    spark.range(100).coalesce(1).write.parquet(one)
+    spark.range(100).repartition(2 * cores).write.option("maxRecordsPerFile", 5).parquet(many)
+    dealt = spread(spark.read.parquet(one))
+    assert dealt.rdd.getNumPartitions() == cores and dealt.count() == 100
+    spark.conf.set("spark.sql.files.openCostInBytes", 128 << 20)
+    try:
+        large = spark.read.parquet(many)
+        assert spread(large) is large
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
