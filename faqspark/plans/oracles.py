@@ -293,6 +293,16 @@ def second_opinion() -> str:
       FROM verdicted"""
 
 
+DENSE_TOPK = sql("""SELECT * FROM (SELECT query_id,
+    row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score FROM scores)
+  WHERE rank <= 20""", {
+    "dims": """SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x
+      FROM embeddings""",
+    "means": "SELECT label, list(x ORDER BY pos) AS q FROM (SELECT label, pos, avg(x) AS x FROM dims GROUP BY 1, 2) GROUP BY 1",
+    "scores": """SELECT m.label::VARCHAR AS query_id, vec_id::VARCHAR AS id,
+        round(list_cosine_similarity(q, embedding::DOUBLE[]), 6) AS score FROM means m, embeddings""",
+})
+
 ORACLES: dict[str, str] = {
     # sources and sinks
     "scan_messages": sql(
@@ -408,15 +418,8 @@ ORACLES: dict[str, str] = {
         ((n - 1) % 16)::INTEGER AS place
       FROM (SELECT *, row_number() OVER (PARTITION BY course_id ORDER BY event_ts, channel_id, ts) AS n FROM stored)"""),
     # retrieval
-    "dense_topk": sql("""SELECT * FROM (SELECT query_id,
-        row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score FROM scores)
-      WHERE rank <= 20""", {
-        "dims": """SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x
-          FROM embeddings""",
-        "means": "SELECT label, list(x ORDER BY pos) AS q FROM (SELECT label, pos, avg(x) AS x FROM dims GROUP BY 1, 2) GROUP BY 1",
-        "scores": """SELECT m.label::VARCHAR AS query_id, vec_id::VARCHAR AS id,
-            round(list_cosine_similarity(q, embedding::DOUBLE[]), 6) AS score FROM means m, embeddings""",
-    }),
+    "dense_topk": DENSE_TOPK,
+    "dense_topk_cells": DENSE_TOPK,
     "sparse_topk": sql(f"""SELECT * FROM (SELECT query_id,
         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score
         FROM ({sparse_scores('x')})) WHERE rank <= 20"""),
@@ -456,6 +459,17 @@ ORACLES: dict[str, str] = {
     }),
     "classify_questions": sql(f"SELECT {VERDICT_COLUMNS} FROM verdicted"),
     "two_stage_verdicts": sql(second_opinion()),
+    "semantic_groups": """WITH RECURSIVE heads AS (SELECT embedding::DOUBLE[] AS v, min(vec_id) AS id FROM embeddings
+        WHERE list_min(embedding) <> 0 OR list_max(embedding) <> 0 GROUP BY 1),
+      near AS (SELECT * FROM (SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.v, b.v), 6) AS score
+          FROM heads a JOIN heads b ON a.id <> b.id) WHERE score >= 0.9
+        QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b::VARCHAR) <= 10),
+      mutual AS (SELECT x.a, x.b FROM near x JOIN near y ON x.a = y.b AND x.b = y.a),
+      reach(id, head) AS (SELECT id, id FROM heads UNION SELECT m.b, r.head FROM reach r JOIN mutual m ON m.a = r.id),
+      labels AS (SELECT id, min(head) AS canonical FROM reach GROUP BY id),
+      grouped AS (SELECT e.vec_id AS id, coalesce(l.canonical, e.vec_id) AS canonical FROM embeddings e
+        LEFT JOIN heads h ON h.v = e.embedding::DOUBLE[] LEFT JOIN labels l ON l.id = h.id)
+      SELECT id, canonical, count(*) OVER (PARTITION BY canonical) AS group_size FROM grouped""",
     "questions_by_lang": sql(f"""SELECT lang, count(*) AS total,
         count(*) FILTER (WHERE contains(text, '?') OR {LANGUAGE_TEST}) AS questions FROM documents GROUP BY lang"""),
     # streaming and incremental

@@ -16,7 +16,8 @@ from faqspark.functions.privacy import scrub_pii, strip_file_urls, user_hash
 from faqspark.functions.text import embed_text, flatten_paragraph, token_codes
 from faqspark.functions.times import event_time, stamp
 from faqspark.functions.vectors import dense_vector
-from faqspark.operators import canonical, classify, embedding, faq_documents, ingest, retrieval, threads
+from faqspark.operators import canonical, cells, classify, embedding, faq_documents, ingest, retrieval, threads
+from faqspark.operators.semantic import semantic_groups
 from faqspark.plans.faq_index import index_documents
 from faqspark.plans.faq_items import build_faq_items, question_heads
 from faqspark.runtime import prepare, scratch_path, stored
@@ -461,9 +462,8 @@ def infer_batches(spark, sf):
 # --- retrieval -----------------------------------------------------------------------------
 
 
-@query
-def dense_topk(spark, sf):
-    """Vectors nearest to the mean vector of each label."""
+def _vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All vectors, and the mean vector of each label as a query."""
     vectors = fx.table(spark, sf, "embeddings")
     means = (
         vectors.select("label", F.posexplode("embedding").alias("pos", "x"))
@@ -472,10 +472,25 @@ def dense_topk(spark, sf):
     queries = means.groupBy(F.col("label").cast("string").alias("query_id")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "x"))), lambda p: p["x"]).alias("dense")
     )
-    points = vectors.select(F.col("vec_id").cast("string").alias("id"), F.col("embedding").alias("dense"))
+    return vectors.select(F.col("vec_id").cast("string").alias("id"), F.col("embedding").alias("dense")), queries
+
+
+@query
+def dense_topk(spark, sf):
+    """Vectors nearest to the mean vector of each label."""
+    points, queries = _vectors(spark, sf)
     return retrieval.top_k(points, queries, "dense", 20)
 
 
+@query
+def dense_topk_cells(spark, sf):
+    """The same hits from a store of cells, of which only those are opened that bounds cannot rule out."""
+    points, queries = _vectors(spark, sf)
+    root = scratch_path(spark, "cells")
+    cells.write_cells(points, root)
+    return cells.cell_top_k(spark, root, queries, 20)[0]
+
+
 @query
 def sparse_topk(spark, sf):
     return retrieval.top_k(_corpus(spark, sf), _questions(spark, sf), "sparse", 20)
@@ -686,6 +701,13 @@ def canonical_groups(spark, sf):
     return canonical.canonical_groups(fx.documents(spark, sf), "doc_id", "text", 0.6)
 
 
+@query_named("semantic_groups")
+def semantic(spark, sf):
+    """Vectors that are among each other's ten nearest; the smallest id stands for the group."""
+    vectors = fx.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("dense"))
+    return semantic_groups(vectors, 10, 0.9)
+
+
 @query
 def questions_by_lang(spark, sf):
     return classify.questions_by_language(fx.documents(spark, sf))
