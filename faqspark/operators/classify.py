@@ -83,15 +83,15 @@ def model_classifier(
 
 def two_stage(
     df: DataFrame, text: str = "text", role: str | None = None, low: float = 0.5, high: float = 0.75,
-    second: Classifier | None = None,
+    second: Classifier | None = None, unsure: Column | None = None,
 ) -> DataFrame:
-    """First model for all rows, second model only inside the band ``low <= confidence <= high``.
+    """First model for all rows, second model only inside the band ``low <= confidence <= high``, or where ``unsure`` holds.
 
     With the built-in second model the choice is one CASE in the same pass; a plugged-in one
     gets its rows by filter, so it never sees the others.
     """
     first = classify(df, text, role)
-    unsure = F.col("verdict.confidence").between(low, high)
+    unsure = F.col("verdict.confidence").between(low, high) if unsure is None else unsure
     if second is None:
         return first.withColumn(
             "verdict", F.when(unsure, V.cue_count_verdict(F.col(text))).otherwise(F.col("verdict"))

@@ -277,10 +277,21 @@ LANGUAGE_TEST = " OR ".join(
 )
 
 
-def second_opinion() -> str:
+CONFIDENCE_MAP = {
+    "clean": f"SELECT * REPLACE ({scrub('text')} AS text) FROM documents",
+    "steps": f"""SELECT *, row_number() OVER (ORDER BY confidence) AS k FROM (SELECT round(confidence, 3) AS confidence, count(*) AS n,
+          avg((is_question = (quality = 1))::INTEGER) AS rate
+        FROM ({verdicts('clean', role=None)}) JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY 1)""",
+    "means": """SELECT i.k AS i, j.k AS j, sum(m.n * m.rate) / sum(m.n) AS mean
+        FROM steps i JOIN steps j ON i.k <= j.k JOIN steps m ON m.k BETWEEN i.k AND j.k GROUP BY ALL""",
+    "least": "SELECT k, i, min(mean) AS low FROM steps JOIN means ON k BETWEEN i AND j GROUP BY ALL",
+    "confidences": "SELECT confidence, n, rate, max(low) AS calibrated FROM steps JOIN least USING (k) GROUP BY ALL",
+}
+
+
+def second_opinion(unsure: str = "confidence BETWEEN 0.5 AND 0.75") -> str:
     low = "lower(text)"
     cues = f"len(regexp_extract_all({low}, {lit(V.ASK_ANYWHERE)})) >= 2"
-    unsure = "confidence BETWEEN 0.5 AND 0.75"
 
     def choose(yes: str, no: str, old: str) -> str:
         return f"CASE WHEN {unsure} THEN CASE WHEN {cues} THEN {yes} ELSE {no} END ELSE {old} END AS {old}"
@@ -384,6 +395,7 @@ ORACLES: dict[str, str] = {
           count(*) FILTER (WHERE NOT is_question AND quality <> 1) AS tn
         FROM ({verdicts('clean', role=None)}) JOIN labels USING (doc_id))""",
         {"clean": f"SELECT * REPLACE ({scrub('text')} AS text) FROM documents"}),
+    "confidence_map": sql("SELECT confidence, n, round(rate, 6) AS rate, round(calibrated, 6) AS calibrated FROM confidences", CONFIDENCE_MAP),
     # aggregations
     "course_day_groups": sql(f"""SELECT {DAY}, floor((n - 1) / 20)::INTEGER AS page, count(*) AS n,
         string_agg(concat_ws('|', channel_id, ts, user_id), ',' ORDER BY s.n) AS messages
@@ -459,6 +471,8 @@ ORACLES: dict[str, str] = {
     }),
     "classify_questions": sql(f"SELECT {VERDICT_COLUMNS} FROM verdicted"),
     "two_stage_verdicts": sql(second_opinion()),
+    "calibrated_verdicts": sql(second_opinion("""(SELECT coalesce(arg_max(calibrated, c.confidence) FILTER (c.confidence <= round(v.confidence, 3)),
+        min(calibrated)) FROM confidences c) < 0.5""").replace("FROM verdicted", "FROM verdicted v"), CONFIDENCE_MAP),
     "semantic_groups": """WITH RECURSIVE heads AS (SELECT embedding::DOUBLE[] AS v, min(vec_id) AS id FROM embeddings
         WHERE list_min(embedding) <> 0 OR list_max(embedding) <> 0 GROUP BY 1),
       near AS (SELECT * FROM (SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.v, b.v), 6) AS score
@@ -472,6 +486,21 @@ ORACLES: dict[str, str] = {
       SELECT id, canonical, count(*) OVER (PARTITION BY canonical) AS group_size FROM grouped""",
     "questions_by_lang": sql(f"""SELECT lang, count(*) AS total,
         count(*) FILTER (WHERE contains(text, '?') OR {LANGUAGE_TEST}) AS questions FROM documents GROUP BY lang"""),
+    "found_languages": r"""WITH texts AS (SELECT doc_id, lang, substr(md5(doc_id::VARCHAR), 1, 1) < '4' AS held_out,
+        ' ' || trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}]+', ' ', 'g')) || ' ' AS t FROM documents),
+      chars AS (SELECT doc_id, unnest(string_split(t, '')) AS c, unnest(range(len(t))) AS pos FROM texts),
+      coded AS (SELECT doc_id, unicode(c) AS a, unicode(lead(c) OVER w) AS b, unicode(lead(c, 2) OVER w) AS d
+        FROM chars WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+      threes AS (SELECT doc_id, (1000003 * a::BIGINT + 10007 * b + d) % 65536 AS cell, count(*) AS times FROM coded WHERE d IS NOT NULL GROUP BY ALL),
+      counts AS (SELECT lang, cell, sum(times) AS n FROM threes JOIN texts USING (doc_id) WHERE NOT held_out AND lang IS NOT NULL GROUP BY ALL),
+      langs AS (SELECT lang, sum(n) + 65536 AS total FROM counts GROUP BY lang),
+      scores AS (SELECT doc_id, l.lang AS name, sum(times * floor(1000 * ln((coalesce(c.n, 0) + 1) / total))) AS score,
+          sum(times) FILTER (c.n IS NOT NULL) AS known, sum(times) AS size
+        FROM threes t CROSS JOIN langs l LEFT JOIN counts c ON c.lang = l.lang AND c.cell = t.cell GROUP BY ALL),
+      ranked AS (SELECT *, lead(score) OVER (PARTITION BY doc_id ORDER BY score DESC, name) AS second FROM scores
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, name) = 1)
+      SELECT doc_id, lang, held_out, CASE WHEN size >= 3 AND known >= 0.5 * size AND (second IS NULL OR score - second >= 20 * size)
+        THEN name END AS found_lang FROM texts LEFT JOIN ranked USING (doc_id)""",
     # streaming and incremental
     "stream_ingest": sql(f"SELECT {DAY}, channel_id, ts, user_id, fetched_at, text FROM enriched"),
     "stream_dedupe": sql("SELECT course_id, channel_id, ts, min(fetched_at) AS fetched_at FROM enriched GROUP BY ALL"),

@@ -16,7 +16,7 @@ from faqspark.functions.privacy import scrub_pii, strip_file_urls, user_hash
 from faqspark.functions.text import embed_text, flatten_paragraph, token_codes
 from faqspark.functions.times import event_time, stamp
 from faqspark.functions.vectors import dense_vector
-from faqspark.operators import canonical, cells, classify, embedding, faq_documents, ingest, retrieval, threads
+from faqspark.operators import calibration, canonical, cells, classify, embedding, faq_documents, ingest, languages, retrieval, threads
 from faqspark.operators.semantic import semantic_groups
 from faqspark.plans.faq_index import index_documents
 from faqspark.plans.faq_items import build_faq_items, question_heads
@@ -372,17 +372,29 @@ def stale_embeddings(spark, sf):
     return embedding.stale_points(points, current)
 
 
-@query
-def golden_eval(spark, sf):
+def _golden(spark: SparkSession, sf: str) -> DataFrame:
     labels = fx.table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("labelled"))
     golden = fx.documents(spark, sf).join(labels, "doc_id").select("labelled", scrub_pii(F.col("text")).alias("text"))
-    scored = classify.classify(golden).select(F.col("verdict.is_question").alias("predicted"), "labelled")
+    return classify.classify(golden).select(
+        F.col("verdict.is_question").alias("predicted"), F.col("verdict.confidence").alias("confidence"), "labelled")
+
+
+@query
+def golden_eval(spark, sf):
+    scored = _golden(spark, sf)
     out = classify.golden_eval(scored)
     return out.select(
         "n", "tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall")]
     )
 
 
+@query
+def confidence_map(spark, sf):
+    """How often verdicts of each confidence are right, as a rising function."""
+    table = calibration.calibration(_golden(spark, sf))
+    return table.select("confidence", "n", *[F.round(c, 6).alias(c) for c in ("rate", "calibrated")])
+
+
 # --- aggregations --------------------------------------------------------------------------
 
 
@@ -687,6 +699,13 @@ def two_stage_verdicts(spark, sf):
     return _verdicts(classify.two_stage(_masked(spark, sf), "text", "role"))
 
 
+@query
+def calibrated_verdicts(spark, sf):
+    """A second opinion on messages whose confidence is right in less than half of the golden set."""
+    table = calibration.calibration(_golden(spark, sf))
+    return _verdicts(calibration.calibrated_two_stage(_masked(spark, sf), table, "text", "role", wanted=0.5))
+
+
 @query
 def faq_items(spark, sf):
     items = build_faq_items(fx.messages(spark, sf), fx.courses(spark), fx.SALT, RUN_AT)
@@ -713,6 +732,15 @@ def questions_by_lang(spark, sf):
     return classify.questions_by_language(fx.documents(spark, sf))
 
 
+@query
+def found_languages(spark, sf):
+    """Languages read off the texts; those of a quarter of the texts, by a hash of the id, are not learned from."""
+    texts = fx.documents(spark, sf)
+    held_out = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1) < "4"
+    profiles = languages.language_profiles(texts.where(~held_out))
+    return languages.with_language(texts, profiles).select("doc_id", "lang", "found_lang", held_out.alias("held_out"))
+
+
 # --- streaming and incremental -------------------------------------------------------------
 
 
