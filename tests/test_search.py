@@ -454,3 +454,36 @@ def test_groups_in_other_scripts(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["canonical"] for r in canonical.canonical_groups(df, "doc_id", "text").collect()}
     assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 5, 6: 6}
+
+
+def test_few_pairs_are_confirmed_on_whole_sets(spark, monkeypatch):
+    """Texts of unlike lengths that share common words: bit maps as wide as the sets leave hardly more than the similar pairs."""
+    rng = random.Random(12)
+    common, rare = [f"c{i}" for i in range(60)], [f"r{i}" for i in range(1500)]
+    texts = [rng.sample(common, 20) + rng.sample(rare, rng.choice([10, 60, 600])) for _ in range(150)]
+    texts += [t[:-4] + [f"own{k}"] for k, t in enumerate(texts[:15])]
+    confirmed, seen = similar_sets._confirmed, []
+
+    def counted(pairs, sets, threshold):
+        seen.append(pairs.count())
+        return confirmed(pairs, sets, threshold)
+
+    monkeypatch.setattr(similar_sets, "_confirmed", counted)
+    for name, few in (("CROWD", 8), ("PART_ROWS", 16), ("ROUND_ROWS", 4000)):
+        monkeypatch.setattr(similar_sets, name, few)
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["canonical"] for r in canonical.canonical_groups(df, "doc_id", "text").collect()}
+    links = [(k, k) for k in range(len(texts))]
+    links += [(a, b) for a in range(len(texts)) for b in range(a)
+              if len(set(texts[a]) & set(texts[b])) >= 0.6 * len(set(texts[a]) | set(texts[b])) - 1e-9]
+    assert got == plain_components(links)
+    assert sum(seen) <= 3 * sum(a != b for a, b in links)
+
+
+def test_keys_may_repeat(spark):
+    """Two unlike texts of one key are one entry, whatever their places."""
+    rows = [(5, "a b c d"), (5, "p q r s"), (3, "a b c d"), (9, "p q r s t"), (5, "a b c d"), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in canonical.canonical_groups(df, "doc_id", "text").collect())
+    assert {r[:2] for r in got} == {(5, 3), (5, 5), (3, 3), (9, 5), (7, 7)}
+    assert len(got) == len(rows)
