@@ -5,6 +5,7 @@ import random
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -487,3 +488,57 @@ def test_keys_may_repeat(spark):
     got = sorted(tuple(r) for r in canonical.canonical_groups(df, "doc_id", "text").collect())
     assert {r[:2] for r in got} == {(5, 3), (5, 5), (3, 3), (9, 5), (7, 7)}
     assert len(got) == len(rows)
+
+
+def test_pairs_are_looked_at_once_and_at_half_the_width_first(spark, monkeypatch):
+    """Unlike sets of one bucket: each pair's maps are compared once, folded to half; those of similar sets at full width too."""
+    rng = np.random.default_rng(17)
+    sets = [np.unique(rng.integers(-(1 << 62), 1 << 62, 300)) for _ in range(40)] + [np.unique(rng.integers(0, 1 << 62, 500))]
+    sets += [np.append(sets[0][:-30], rng.integers(0, 1 << 62, 30)), np.append(sets[40][:-60], rng.integers(0, 1 << 62, 90))]
+    codes = pa.RecordBatch.from_pydict({"id": pa.array(range(len(sets)), pa.int64()), "codes": pa.array([s.tolist() for s in sets], pa.list_(pa.int64()))})
+    maps = pa.Table.from_batches(similar_sets._folded(iter([codes])))
+    maps = maps.append_column("c", maps.column("id"))
+    n = len(sets)
+    rows = pa.table({"key": pa.array([7] * n + [8], pa.int64()), "id": pa.array([*range(n), 0], pa.int64()),
+                     "pos": pa.array([0] * (n + 1), pa.int32()), "role": pa.array([0] * (n + 1), pa.int32())})
+    words, real = [], similar_sets._differences
+
+    def counted(x, y):
+        words.extend([x.shape[1]] * len(x))
+        return real(x, y)
+
+    monkeypatch.setattr(similar_sets, "_differences", counted)
+    got = similar_sets.cross(0.6)(rows, maps).to_pylist()
+    assert {(r["leader"], r["id"]) for r in got} == {(0, 41), (40, 42)}
+    # Of 300 tokens have maps of 32 words, of 500 also: half of that for each pair, all of it for the two similar ones.
+    assert words.count(16) <= n * (n - 1) // 2 and sum(words) <= 16 * n * (n - 1) // 2 + 32 * 4
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.6, 0.9, 1.0])
+def test_bit_maps_lose_no_pair_at_any_width(threshold):
+    """Sets of one to 3000 tokens, whose maps are folded to the narrower one's half width."""
+    rng = np.random.default_rng(18)
+    sets = []
+    for size in (1, 2, 60, 120, 140, 260, 300, 700, 1500, 3000):
+        base = np.unique(rng.integers(-(1 << 62), 1 << 62, size))
+        sets += [base] + [np.append(base[:int(len(base) * part)], rng.integers(0, 1 << 62, int(len(base) * more))) for part, more in ((0.9, 0.0), (0.8, 0.1), (0.7, 0.4), (1.0, 0.6))]
+    sets = [s for s in map(np.unique, sets) if len(s)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(sets)), pa.int64()), "codes": pa.array([s.tolist() for s in sets], pa.list_(pa.int64()))})
+    table = pa.Table.from_batches(similar_sets._folded(iter([batch])))
+    sizes = table.column("n").to_numpy().astype(np.int64)
+    a, b = (x.ravel() for x in np.meshgrid(range(len(sets)), range(len(sets))))
+    fits = np.minimum(sizes[a], sizes[b]) >= np.maximum(sizes[a], sizes[b]) * threshold - 1e-9
+    a, b = a[fits], b[fits]
+    close = similar_sets.Maps(table.column("bits"), sizes).near(a, b, threshold)
+    for x, y, near in zip(a, b, close):
+        shared = len(np.intersect1d(sets[x], sets[y]))
+        assert near or shared < threshold * (len(sets[x]) + len(sets[y]) - shared) - 1e-9
+
+
+def test_scripts_without_blanks_lie_in_the_range_that_is_asked_for_first(spark):
+    from faqspark.functions.text import HIGH, SINGLE, tokens
+
+    points = spark.createDataFrame([(chr(k),) for k in range(1, 0x3400) if not 0xD800 <= k < 0xE000] + [("𠀀",), ("ｱ",), ("𛀁",)], "c string")
+    assert points.where(F.col("c").rlike(SINGLE) & ~F.col("c").rlike(HIGH)).count() == 0
+    df = spark.createDataFrame([("é漢字a𠀀b",), ("déjà vu",), (None,)], "t string")
+    assert [r[0] for r in df.select(tokens(F.col("t"))).collect()] == [["é", "漢", "字", "a", "𠀀", "b"], ["déjà", "vu"], None]
